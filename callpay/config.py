@@ -24,6 +24,7 @@ class PipelineConfig:
     payment_key_cols: tuple[str, ...] = PAYMENT_KEY
     match_tenant: bool = False
     null_safe_days: bool = False
+    stop_on_failure: bool = True
 
     @property
     def attribution_key(self) -> list[str]:

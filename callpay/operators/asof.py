@@ -16,9 +16,10 @@ make that scan one endless task, so such keys take a second route:
 4. the answer per (key, instant) joins back onto the events, an equi join
    whose event side adaptive execution may split.
 
-The list of hot keys has at most ``rows / hot_rows`` entries, which bounds its
-broadcast. With no hot key the second route is an empty relation that adaptive
-execution removes before running it.
+Hot keys are found by one job that reads only the key columns. At most
+``MAX_HOT_KEYS`` of them, the largest, are listed and broadcast; a key beyond
+that list holds less than ``rows / MAX_HOT_KEYS`` rows and is safe on the first
+route. With no hot key the plan is the first route alone.
 
 Timestamps are expected as TIMESTAMP_NTZ.
 """
@@ -35,15 +36,20 @@ from callpay.functions.columns import days, minute_number
 from callpay.operators.keys import join_keys
 
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 def _known(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
 
-def _hot_keys(events: DataFrame, points: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame:
+def _hot_keys(events: DataFrame, points: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """The largest keys with more than ``hot_rows`` rows, or None when there are none."""
     keys = events.select(*by).unionAll(points.select(*by)).where(_known(by))
-    return keys.groupBy(*by).count().where(F.col("count") > hot_rows).select(*by)
+    sizes = keys.groupBy(*by).count().where(F.col("count") > hot_rows)
+    hot = sizes.orderBy(F.col("count").desc(), *by).select(*by).limit(MAX_HOT_KEYS)
+    found = hot.collect()
+    return events.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def _scan_whole_keys(events, points, by, event_ts, fold) -> DataFrame:
@@ -105,8 +111,10 @@ def _running(
 ) -> DataFrame:
     """``events`` plus ``_run``, the fold of ``points`` (key, _at, _value) up to each event."""
     points = points.where(_known([*by, "_at"]))
-    hot = F.broadcast(_hot_keys(events, points, by, hot_rows))
-    timed = F.col(event_ts).isNotNull()
+    hot = _hot_keys(events, points, by, hot_rows)
+    if hot is None:
+        return _scan_whole_keys(events, points, by, event_ts, fold)
+    hot, timed = F.broadcast(hot), F.col(event_ts).isNotNull()
     ordinary = _scan_whole_keys(
         join_keys(events, hot, by, "left_anti", extra=timed), join_keys(points, hot, by, "left_anti"),
         by, event_ts, fold,

@@ -20,6 +20,10 @@ from callpay.sources.landing import load_extracts, read_manifest, read_raw
 from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, store_rates
 
 
+class ChecksFailed(RuntimeError):
+    """A model broke one of its checks; nothing downstream of it was built."""
+
+
 @dataclass
 class RunResult:
     """Everything a run published."""
@@ -86,19 +90,29 @@ def run_pipeline(
     seed = country_seed(spark)
     tables, checks = result.tables, []
 
+    def record(name: str, results: list[DataFrame], stops: bool = False) -> None:
+        """Run checks now and keep their results; a broken model stops the run."""
+        if not results:
+            return
+        stored = materialize(run_suite(results), f"checks_{name}", "table", f"{root}/checks")
+        checks.append(stored)
+        broken = quality.failed(stored).collect()
+        if broken and stops and cfg.stop_on_failure:
+            raise ChecksFailed("; ".join(f"{r.check} {r.target}: {r.failures}" for r in broken))
+
     def publish(name: str, df: DataFrame, kind: str = "table") -> DataFrame:
         tables[name] = materialize(df, name, kind, model_root)
-        checks.extend(quality.checks_of(name, tables))
+        record(name, quality.checks_of(name, tables), stops=True)
         return tables[name]
 
-    publish("country_seed", seed, "view")
-    calls = publish("stg_calls", stage_calls(raw["ameyo_calls"], seed))
-    dispositions = publish("stg_dispositions", stage_dispositions(raw["atlas_dispositions"], seed))
-    payments = publish("stg_payments", stage_payments(raw["payments"], seed, cfg.payment_key_cols))
-    agents = publish("stg_agents", stage_agents(raw["agent_mapping"]))
-    fx = publish("stg_fx", stage_fx(fx_raw), "view")
+    publish("country_code_mapping", seed, "view")
+    calls = publish("stg_ameyo__calls", stage_calls(raw["ameyo_calls"], seed))
+    dispositions = publish("stg_atlas__dispositions", stage_dispositions(raw["atlas_dispositions"], seed))
+    payments = publish("stg_atlas__payments", stage_payments(raw["payments"], seed, cfg.payment_key_cols))
+    agents = publish("stg_agent_mapping", stage_agents(raw["agent_mapping"]))
+    fx = publish("stg_fx__rates", stage_fx(fx_raw), "view")
 
-    coded = publish("int_calls_coded", code_calls(calls, dispositions))
+    coded = publish("int_calls__coded", code_calls(calls, dispositions))
     attribution = publish(
         "int_payment_attribution",
         attribute_payments(payments, dispositions, fx, cfg.window_days, cfg.attribution_key),
@@ -112,7 +126,7 @@ def run_pipeline(
     )
     publish("agg_daily_summary", marts.daily_summary(coding, paid, inbound, cfg.null_safe_days))
 
-    raw_results = quality.raw_checks(raw, payments, fx)
+    record("raw", [quality.raw_checks(raw, payments, fx)])
     loads = read_manifest(spark, raw_root).select("source_name", "loaded_at").unionByName(
         fx_raw.select(F.lit("fx_rates").alias("source_name"), F.col("fetched_at").alias("loaded_at"))
     )
@@ -120,8 +134,6 @@ def run_pipeline(
     builds = spark.range(1).select(
         F.explode(F.array(*[F.lit(n) for n in marts_built])).alias("source_name"), clock(now).alias("loaded_at")
     )
-    result.checks = materialize(
-        run_suite([*checks, raw_results, quality.freshness_checks(loads, builds, now)]),
-        "check_results", "table", model_root,
-    )
+    record("freshness", [quality.freshness_checks(loads, builds, now)])
+    result.checks = run_suite(checks)
     return result

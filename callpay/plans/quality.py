@@ -38,18 +38,18 @@ DEADLINE_HOUR = 6
 
 # Row rules per model: each model is scanned once for all of its rules.
 ROW_RULES = {
-    "country_seed": [not_null_rule(c) for c in ("country_name", "ameyo_contact_center_id", "atlas_tenant_id")],
-    "stg_calls": [
+    "country_code_mapping": [not_null_rule(c) for c in ("country_name", "ameyo_contact_center_id", "atlas_tenant_id")],
+    "stg_ameyo__calls": [
         not_null_rule("call_id"),
         accepted_values_rule("ameyo_contact_center_id", [m[1] for m in MARKETS]),
     ],
-    "stg_dispositions": [
+    "stg_atlas__dispositions": [
         not_null_rule("call_log_id"),
         accepted_values_rule("atlas_tenant_id", [m[2] for m in MARKETS]),
     ],
-    "stg_payments": [not_null_rule("payment_row_key")],
-    "stg_agents": [not_null_rule("ameyo_user_id")],
-    "int_calls_coded": [not_null_rule("call_id")],
+    "stg_atlas__payments": [not_null_rule("payment_row_key")],
+    "stg_agent_mapping": [not_null_rule("ameyo_user_id")],
+    "int_calls__coded": [not_null_rule("call_id")],
     "int_payment_attribution": [not_null_rule("payment_row_key")],
     "int_call_payment_summary": [not_null_rule("call_log_id")],
     "fct_coding_rate": [
@@ -60,19 +60,19 @@ ROW_RULES = {
 }
 
 UNIQUE = {
-    "country_seed": ["country_name", "ameyo_contact_center_id", "atlas_tenant_id"],
-    "stg_calls": ["call_id"],
-    "stg_dispositions": ["call_log_id"],
-    "stg_payments": ["payment_row_key"],
-    "int_calls_coded": ["call_id"],
+    "country_code_mapping": ["country_name", "ameyo_contact_center_id", "atlas_tenant_id"],
+    "stg_ameyo__calls": ["call_id"],
+    "stg_atlas__dispositions": ["call_log_id"],
+    "stg_atlas__payments": ["payment_row_key"],
+    "int_calls__coded": ["call_id"],
     "int_payment_attribution": ["payment_row_key"],
     "int_call_payment_summary": ["call_log_id"],
     "fct_paid_post_call": ["call_log_id"],
 }
 
 UNIQUE_TOGETHER = {
-    "stg_agents": ["country_name", "ameyo_user_id"],
-    "stg_fx": ["rate_date", "currency_code"],
+    "stg_agent_mapping": ["country_name", "ameyo_user_id"],
+    "stg_fx__rates": ["rate_date", "currency_code"],
     "fct_coding_rate": ["call_date_local", "market", "campaign_name", "agent_ameyo_user_id"],
     "fct_inbound_call_drivers": ["disposition_date_utc", "market", "level_one", "level_two", "level_three"],
     "agg_daily_summary": ["day", "market"],
@@ -91,7 +91,7 @@ def checks_of(model: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
     if model == "int_payment_attribution":
         results.append(
             relationships(
-                df, "attributed_call_log_id", tables["stg_dispositions"], "call_log_id",
+                df, "attributed_call_log_id", tables["stg_atlas__dispositions"], "call_log_id",
                 "attributed_call_log_id IS NOT NULL", prefix,
             )
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,11 @@ WHOLE_FILE_BYTES = 128 * 1024 * 1024
 _FILE_COLUMNS = ("uri", "path", "file_name", "length")
 
 
+def source_file() -> Column:
+    """Plain name of the file a row was read from (the metadata column is percent-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def find_files(spark: SparkSession, input_dir: str, expected: Sequence[str]) -> DataFrame:
     """Delivered files: (uri, path, file_name, length), content unread.
 
@@ -40,15 +45,23 @@ def find_files(spark: SparkSession, input_dir: str, expected: Sequence[str]) ->
     return listed.withColumn("file_name", name).where("file_name IS NOT NULL").select(*_FILE_COLUMNS)
 
 
-def profile_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def header_fields(header: Column) -> Column:
+    """Header line to names: byte-order mark, spaces and quotes removed."""
+    plain = F.regexp_replace(header, "^\ufeff", "")
+    return F.transform(F.split(plain, ","), lambda h: F.btrim(F.btrim(h), F.lit('"')))
+
+
+def profile_lines(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
     """Per file, from one splittable pass over its lines:
 
-    - ``header``: the first line;
+    - ``header_ok``: the first line names exactly ``columns``, in order;
     - ``broken_lines``: lines that are not complete records (a quoted newline somewhere);
     - ``blank_lines``;
     - ``fingerprint``: of all lines, independent of how the file was split.
 
-    Everything is combined map-side, so a file of any size costs one row per task.
+    Only numbers are aggregated, so this is a hash aggregate that leaves one row
+    per file and task, whatever the size of the file. Line numbers grow within
+    the block at offset 0, which tells the first line.
     """
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("uri"),
@@ -56,10 +69,12 @@ def profile_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("seq"),
         F.col("value"),
     )
-    first = F.min_by(F.when(F.col("block") == 0, F.col("value")), F.when(F.col("block") == 0, F.col("seq")))
+    at_start = F.when(F.col("block") == 0, F.col("seq"))
+    named = header_fields(F.col("value")) == F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    first_named = F.when((F.col("block") == 0) & named, F.col("seq"))
     wide = "decimal(20,0)"
     return lines.groupBy("uri").agg(
-        first.alias("header"),
+        F.coalesce(F.min(at_start) == F.min(first_named), F.lit(False)).alias("header_ok"),
         F.count_if(~F.col("value").rlike(COMPLETE_LINE)).alias("broken_lines"),
         F.count_if(F.trim("value") == "").alias("blank_lines"),
         F.sha2(
@@ -94,19 +109,11 @@ def file_hashes(
     return whole.unionByName(by_line)
 
 
-def header_fields(header: Column) -> Column:
-    """Header line to names: byte-order mark, spaces and quotes removed."""
-    plain = F.regexp_replace(header, "^\ufeff", "")
-    return F.transform(F.split(plain, ","), lambda h: F.btrim(F.btrim(F.btrim(h), F.lit('"'))))
-
-
-def check_headers(profile: DataFrame, contract: SourceContract) -> None:
+def check_headers(profile: Sequence[Row], contract: SourceContract) -> None:
     """Refuse files whose header is not exactly the contract's, in order."""
-    expected = F.array(*[F.lit(c) for c in contract.columns])
-    fields = header_fields(F.coalesce("header", F.lit("")))
-    wrong = profile.where(fields != expected).select("uri", "header").head(1)
+    wrong = [f.uri for f in profile if not f.header_ok]
     if wrong:
-        raise ValueError(f"{wrong[0].uri}: header {wrong[0].header!r} is not {list(contract.columns)}")
+        raise ValueError(f"header is not {list(contract.columns)} in {wrong}")
 
 
 def _field_count(raw_line: Column) -> Column:
@@ -115,16 +122,6 @@ def _field_count(raw_line: Column) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1
 
 
-def _reason(expected: int, got: Column) -> Column:
-    return F.concat(F.lit(f"expected {expected} fields, got "), got.cast("string"))
-
-
-def _as_rejects(df: DataFrame, contract: SourceContract, raw_line: Column, got: Column) -> DataFrame:
-    return df.select(
-        raw_line.alias("raw_line"), _reason(len(contract.columns), got).alias("reason"), "_source_file", "uri"
-    )
-
-
 def read_extract(spark: SparkSession, paths: Sequence[str], contract: SourceContract, multiline: bool) -> DataFrame:
     """Every record as text columns plus ``_corrupt``, the raw record of a row with a wrong field count.
 
@@ -140,25 +137,55 @@ def read_extract(spark: SparkSession, paths: Sequence[str], contract: SourceCont
             columnNameOfCorruptRecord="_corrupt", enforceSchema=True, columnPruning=False,
         )
         .csv(list(paths))
-        .select("*", F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.file_path").alias("uri"))
+        .select("*", source_file().alias("_source_file"), F.col("_metadata.file_path").alias("uri"))
     )
 
 
-def split_rejects(records: DataFrame, contract: SourceContract) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects). Valid cells keep ``''`` for empty; rejects keep the raw text and the reason."""
-    valid = records.where("_corrupt IS NULL").select(
-        *[F.coalesce(c, F.lit("")).alias(c) for c in contract.columns], "_source_file", "uri"
+def _reason(expected: int, got: Column) -> Column:
+    return F.concat(F.lit(f"expected {expected} fields, got "), got.cast("string"))
+
+
+def classify(records: DataFrame, contract: SourceContract) -> DataFrame:
+    """Mark each record ``valid`` or ``rejected``, in the one pass that parses it.
+
+    Valid cells keep ``''`` for empty. A rejected row keeps its raw text and the
+    reason instead of cells.
+    """
+    valid = F.col("_corrupt").isNull()
+    cells = [F.when(valid, F.coalesce(c, F.lit(""))).alias(c) for c in contract.columns]
+    marked = contract.transform(
+        records.select(
+            *cells,
+            "_source_file",
+            "uri",
+            F.col("_corrupt").alias("raw_line"),
+            F.when(~valid, _reason(len(contract.columns), _field_count(F.col("_corrupt")))).alias("reason"),
+            F.when(valid, "valid").otherwise("rejected").alias("kind"),
+        )
     )
-    broken = records.where("_corrupt IS NOT NULL")
-    rejects = _as_rejects(broken, contract, F.col("_corrupt"), _field_count(F.col("_corrupt")))
-    return contract.transform(valid), rejects
+    added = [c for c in contract.key_columns if c not in contract.columns]
+    return marked.withColumns({c: F.when(F.col("kind") == "valid", F.col(c)) for c in added}) if added else marked
+
+
+def split_rejects(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejects) of classified rows that are stored or cached.
+
+    Straight from a file Spark refuses the second: it would read the corrupt
+    column alone.
+    """
+    valid = classified.where("kind = 'valid'").drop("raw_line", "reason", "kind")
+    rejects = classified.where("kind = 'rejected'").select("raw_line", "reason", "_source_file")
+    return valid, rejects
 
 
 def blank_line_rejects(spark: SparkSession, paths: Sequence[str], contract: SourceContract) -> DataFrame:
     """Lines with nothing or only spaces on them, which the CSV reader passes over."""
-    lines = (
-        spark.read.text(list(paths))
-        .select("value", F.col("_metadata.file_name").alias("_source_file"), F.col("_metadata.file_path").alias("uri"))
-        .where(F.trim("value") == "")
+    lines = spark.read.text(list(paths)).select(
+        source_file().alias("_source_file"),
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("value").alias("raw_line"),
+    )
+    got = F.when(F.col("raw_line") == "", 0).otherwise(1)
+    return lines.where(F.trim("raw_line") == "").withColumns(
+        {"reason": _reason(len(contract.columns), got), "kind": F.lit("rejected")}
     )
-    return _as_rejects(lines, contract, F.col("value"), F.when(F.col("value") == "", 0).otherwise(1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from callpay.sources.contracts import MANIFEST_SCHEMA, SOURCES, SourceContract
 from callpay.sources.extracts import (
     blank_line_rejects,
     check_headers,
+    classify,
     file_hashes,
     find_files,
     profile_lines,
@@ -81,30 +83,25 @@ def land(
     Returns the landed rows of these files.
     """
     paths = [f.path for f in files]
-    profile = profile_lines(spark, paths)
+    profile = profile_lines(spark, paths, contract.columns).collect()
     check_headers(profile, contract)
-    whole_uris = {r.uri for r in profile.where("broken_lines > 0").select("uri").collect()}
-    blank_uris = {r.uri for r in profile.where("blank_lines > 0").select("uri").collect()}
+    whole_uris = {r.uri for r in profile if r.broken_lines}
+    blank_uris = {r.uri for r in profile if r.blank_lines}
     whole = [f.path for f in files if f.uri in whole_uris]
     split = [f.path for f in files if f.uri not in whole_uris]
     blank = [f.path for f in files if f.uri in blank_uris - whole_uris]
 
-    parts = []
-    for group, multiline in ((whole, True), (split, False)):
-        if group:
-            valid, rejects = split_rejects(read_extract(spark, group, contract, multiline), contract)
-            parts += [valid.withColumn("kind", F.lit("valid")), rejects.withColumn("kind", F.lit("rejected"))]
+    parts = [
+        classify(read_extract(spark, group, contract, multiline), contract)
+        for group, multiline in ((whole, True), (split, False))
+        if group
+    ]
     if blank:
-        parts.append(blank_line_rejects(spark, blank, contract).withColumn("kind", F.lit("rejected")))
+        parts.append(blank_line_rejects(spark, blank, contract))
 
     hashes = spark.createDataFrame([(f.uri, f.file_hash) for f in files], "uri string, file_hash string")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     schema = land_schema(contract)
-    for field in schema.fields:
-        if field.name not in rows.columns and field.name not in ("file_hash", "load_date", "_ingested_at"):
-            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
     target = f"{root}/{contract.name}"
     (
         rows.join(broadcast_checked(hashes), "uri")
@@ -121,15 +118,14 @@ def land(
     )
 
 
-def read_raw(spark: SparkSession, root: str, contract: SourceContract) -> DataFrame:
-    """All valid rows ever landed for a source; empty before the first load."""
-    rows = read_or_empty(spark, f"{root}/{contract.name}", land_schema(contract))
-    return rows.where("kind = 'valid'").drop("raw_line", "reason", *_LANDING_KEYS)
+def read_landed(spark: SparkSession, root: str, contract: SourceContract) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) rows ever landed for a source; empty before the first load."""
+    landed = read_or_empty(spark, f"{root}/{contract.name}", land_schema(contract))
+    return split_rejects(landed.drop("load_date", "file_hash"))
 
 
-def read_rejects(spark: SparkSession, root: str, contract: SourceContract) -> DataFrame:
-    rows = read_or_empty(spark, f"{root}/{contract.name}", land_schema(contract))
-    return rows.where("kind = 'rejected'").select("raw_line", "reason", "_source_file", "_ingested_at")
+def read_raw(spark: SparkSession, root: str, contract: SourceContract) -> DataFrame:
+    return read_landed(spark, root, contract)[0]
 
 
 def record_loads(manifest: str, loads: DataFrame) -> None:

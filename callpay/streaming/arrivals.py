@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from callpay.functions.columns import clock
 from callpay.operators.asof import HOT_ROWS, attribute_nearest
 from callpay.sources.contracts import SourceContract
+from callpay.sources.extracts import source_file
 
 
 def stream_table(spark: SparkSession, schema: T.StructType, folder: str, pattern: str = "*.parquet") -> DataFrame:
@@ -38,7 +39,7 @@ def stream_extract(spark: SparkSession, folder: str, contract: SourceContract) -
         *[F.coalesce(c, F.lit("")).alias(c) for c in contract.columns],
         F.col("_corrupt").alias("raw_line"),
         F.when(F.col("_corrupt").isNull(), "valid").otherwise("rejected").alias("kind"),
-        F.col("_metadata.file_name").alias("_source_file"),
+        source_file().alias("_source_file"),
     )
 
 

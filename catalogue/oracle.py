@@ -64,7 +64,7 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("keyed", "seed"),
     ),
     "fx": (
-        """SELECT d AS rate_date, currency_code, CAST(100 + 10 * ameyo_contact_center_id + day(d) AS DOUBLE) AS usd_to_local_rate,
+        """SELECT d AS rate_date, currency_code, CAST(100.7 AS DOUBLE) + 10 * ameyo_contact_center_id + day(d) AS usd_to_local_rate,
              day(d) % 2 = 0 AS rate_is_estimated,
              CASE WHEN day(d) % 2 = 0 THEN 'latest_fallback' ELSE 'history' END AS rate_source,
              CAST(d AS TIMESTAMP) AS fetched_at
@@ -283,13 +283,13 @@ ORACLE: dict[str, str] = {
     "attribute_payments_by_tenant": _sql(_ATTR, "attr", days=1, tenant="AND d.atlas_tenant_id = p.atlas_tenant_id"),
     "payment_summary": _sql(
         """SELECT * REPLACE (round(attributed_payment_amount_local, 2) AS attributed_payment_amount_local,
-             round(attributed_payment_amount_usd, 4) AS attributed_payment_amount_usd) FROM summ""",
+             round(attributed_payment_amount_usd, 6) AS attributed_payment_amount_usd) FROM summ""",
         "summ",
     ),
     "coding_rate": _sql("SELECT * REPLACE (round(coding_rate, 6) AS coding_rate) FROM coding", "coding"),
     "paid_post_call": _sql(
         """SELECT * REPLACE (round(attributed_payment_amount_local, 2) AS attributed_payment_amount_local,
-             round(attributed_payment_amount_usd, 4) AS attributed_payment_amount_usd) FROM paid""",
+             round(attributed_payment_amount_usd, 6) AS attributed_payment_amount_usd) FROM paid""",
         "paid",
     ),
     "inbound_drivers": _sql("SELECT * FROM inbound", "inbound"),

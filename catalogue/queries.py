@@ -75,12 +75,12 @@ def local_clock_to_utc(spark, sf_dir):
 
 @query
 def bridge_calls_to_market(spark, sf_dir):
-    return shown(Models(spark, sf_dir).calls())
+    return shown(Models(spark, sf_dir).calls)
 
 
 @query
 def bridge_dispositions(spark, sf_dir):
-    return shown(Models(spark, sf_dir).dispositions())
+    return shown(Models(spark, sf_dir).dispositions)
 
 
 @query
@@ -101,12 +101,12 @@ def hash_key_payments(spark, sf_dir):
 
 @query
 def stage_agents(spark, sf_dir):
-    return shown(Models(spark, sf_dir).agents())
+    return shown(Models(spark, sf_dir).agents)
 
 
 @query
 def stage_fx(spark, sf_dir):
-    return Models(spark, sf_dir).fx()
+    return Models(spark, sf_dir).fx
 
 
 @query
@@ -133,7 +133,7 @@ def digit_run_candidates(spark, sf_dir):
 
 @query
 def code_calls(spark, sf_dir):
-    return Models(spark, sf_dir).coded().select(
+    return Models(spark, sf_dir).coded.select(
         "call_id", "agent_ameyo_user_id", "country_name", "matched_call_log_id", "is_coded"
     )
 
@@ -143,19 +143,19 @@ def candidate_calls_in_window(spark, sf_dir):
     """The interval join, counted: calls on the payment's contract in the three days before it."""
     m = Models(spark, sf_dir)
     return asof.count_in_window(
-        m.payments().select("payment_row_key", "contract_id", "paid_at_utc"), m.dispositions(),
+        m.payments().select("payment_row_key", "contract_id", "paid_at_utc"), m.dispositions,
         by=["contract_id"], event_ts="paid_at_utc", anchor_ts="disposed_at_utc", within_days=3, out="candidate_calls",
     )
 
 
 @query
 def candidate_calls_sliced(spark, sf_dir):
-    """The same with every key taking the route of hot keys."""
+    """The same with contracts of more than 10 rows taking the route of hot keys."""
     m = Models(spark, sf_dir)
     return asof.count_in_window(
-        m.payments().select("payment_row_key", "contract_id", "paid_at_utc"), m.dispositions(),
+        m.payments().select("payment_row_key", "contract_id", "paid_at_utc"), m.dispositions,
         by=["contract_id"], event_ts="paid_at_utc", anchor_ts="disposed_at_utc", within_days=3, out="candidate_calls",
-        hot_rows=0,
+        hot_rows=10,
     )
 
 
@@ -179,7 +179,7 @@ def attribute_payments_by_tenant(spark, sf_dir):
 @query
 def payment_summary(spark, sf_dir):
     return rounded(
-        Models(spark, sf_dir).summary(), attributed_payment_amount_local=2, attributed_payment_amount_usd=4
+        Models(spark, sf_dir).summary, attributed_payment_amount_local=2, attributed_payment_amount_usd=6
     )
 
 
@@ -188,34 +188,34 @@ def payment_summary(spark, sf_dir):
 
 @query
 def coding_rate(spark, sf_dir):
-    return rounded(Models(spark, sf_dir).coding(), coding_rate=6)
+    return rounded(Models(spark, sf_dir).coding, coding_rate=6)
 
 
 @query
 def paid_post_call(spark, sf_dir):
     return rounded(
-        shown(Models(spark, sf_dir).paid()), attributed_payment_amount_local=2, attributed_payment_amount_usd=4
+        shown(Models(spark, sf_dir).paid), attributed_payment_amount_local=2, attributed_payment_amount_usd=6
     )
 
 
 @query
 def inbound_drivers(spark, sf_dir):
-    return Models(spark, sf_dir).inbound()
+    return Models(spark, sf_dir).inbound
 
 
 @query
 def daily_coding(spark, sf_dir):
-    return marts.daily_coding(Models(spark, sf_dir).coding())
+    return marts.daily_coding(Models(spark, sf_dir).coding)
 
 
 @query
 def daily_paid(spark, sf_dir):
-    return rounded(marts.daily_paid(Models(spark, sf_dir).paid()), value_recovered_usd=2)
+    return rounded(marts.daily_paid(Models(spark, sf_dir).paid), value_recovered_usd=2)
 
 
 @query
 def daily_inbound(spark, sf_dir):
-    return marts.daily_inbound(Models(spark, sf_dir).inbound())
+    return marts.daily_inbound(Models(spark, sf_dir).inbound)
 
 
 def _daily(daily: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def slice_mart(spark, sf_dir):
 @query
 def slice_paid_by_time(spark, sf_dir):
     """A slice by day of a mart that stores timestamps."""
-    paid = consume.slice_mart(Models(spark, sf_dir).paid(), SLICE_MARKETS, SLICE_DAYS, "country_name", "disposed_at_utc")
+    paid = consume.slice_mart(Models(spark, sf_dir).paid, SLICE_MARKETS, SLICE_DAYS, "country_name", "disposed_at_utc")
     return paid.select("call_log_id", "country_name", "disposed_at_utc", "is_paid_post_call")
 
 
@@ -265,7 +265,7 @@ def kpi_totals(spark, sf_dir):
 
 @query
 def market_coding(spark, sf_dir):
-    return in_order(rounded(consume.market_coding(Models(spark, sf_dir).coding()), coding_rate=6), "market", MARKET_ORDER)
+    return in_order(rounded(consume.market_coding(Models(spark, sf_dir).coding), coding_rate=6), "market", MARKET_ORDER)
 
 
 def _market_paid(paid: DataFrame) -> DataFrame:
@@ -277,25 +277,25 @@ def _market_paid(paid: DataFrame) -> DataFrame:
 @query
 def market_paid(spark, sf_dir):
     """Flagship: per market, how many calls were followed by a payment, and how much was paid."""
-    return _market_paid(Models(spark, sf_dir).paid())
+    return _market_paid(Models(spark, sf_dir).paid)
 
 
 @query
 def paid_rate_two_denominators(spark, sf_dir):
-    return rounded(consume.paid_rates(Models(spark, sf_dir).paid()), rate_all=6, rate_with_contract=6)
+    return rounded(consume.paid_rates(Models(spark, sf_dir).paid), rate_all=6, rate_with_contract=6)
 
 
 @query
 def worst_agents_first(spark, sf_dir):
     keys = ["call_date_local", "market", "campaign_name", "agent_ameyo_user_id"]
-    mart = rounded(Models(spark, sf_dir).coding(), coding_rate=6)
+    mart = rounded(Models(spark, sf_dir).coding, coding_rate=6)
     return consume.worst_first(mart.select(*keys, "total_outbound_calls", "coded_calls", "coding_rate"), "coding_rate", keys)
 
 
 @query
 def present_markets(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return consume.present_markets(m.daily(), m.coding())
+    return consume.present_markets(m.daily(), m.coding)
 
 
 @query
@@ -305,32 +305,32 @@ def present_days(spark, sf_dir):
 
 @query
 def drill_levels(spark, sf_dir):
-    return consume.drill_levels(Models(spark, sf_dir).inbound())
+    return consume.drill_levels(Models(spark, sf_dir).inbound)
 
 
 @query
 def drill_level_two(spark, sf_dir):
-    return consume.drill(Models(spark, sf_dir).inbound(), ["L1"])
+    return consume.drill(Models(spark, sf_dir).inbound, ["L1"])
 
 
 @query
 def drill_level_three(spark, sf_dir):
-    return consume.drill(Models(spark, sf_dir).inbound(), ["L1", "M2"])
+    return consume.drill(Models(spark, sf_dir).inbound, ["L1", "M2"])
 
 
 @query
 def share_of_total(spark, sf_dir):
-    return rounded(consume.share_of_total(consume.drill(Models(spark, sf_dir).inbound()), "call_count"), share=6)
+    return rounded(consume.share_of_total(consume.drill(Models(spark, sf_dir).inbound), "call_count"), share=6)
 
 
 @query
 def top_driver(spark, sf_dir):
-    return consume.top_label(Models(spark, sf_dir).inbound(), "level_one")
+    return consume.top_label(Models(spark, sf_dir).inbound, "level_one")
 
 
 @query
 def default_drill(spark, sf_dir):
-    return consume.default_drill(Models(spark, sf_dir).inbound())
+    return consume.default_drill(Models(spark, sf_dir).inbound)
 
 
 # --- exchange rates ----------------------------------------------------------
@@ -349,7 +349,7 @@ def fx_needed_pairs(spark, sf_dir):
 @query
 def fx_uncovered_dates(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return fx.uncovered_dates(m.payments(), m.fx())
+    return fx.uncovered_dates(m.payments(), m.fx)
 
 
 def _rate_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -406,7 +406,7 @@ def fx_latest_rows(spark, sf_dir):
 
 @query
 def check_not_null(spark, sf_dir):
-    return checks.not_null(Models(spark, sf_dir).dispositions(), "contract_id")
+    return checks.not_null(Models(spark, sf_dir).dispositions, "contract_id")
 
 
 @query
@@ -465,7 +465,7 @@ def check_key_present(spark, sf_dir):
 @query
 def check_covers_dates(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return checks.covers_dates(m.payments(), m.fx())
+    return checks.covers_dates(m.payments(), m.fx)
 
 
 @query
@@ -530,7 +530,9 @@ def _delivered(spark, sf_dir) -> str:
         "payments": roles.raw_payments, "agent_mapping": roles.raw_agents,
     }
     for name, role in made.items():
-        role(spark, sf_dir).write.options(header=True, escape='"', emptyValue="").csv(f"{folder}/{SOURCES[name].file_name}")
+        role(spark, sf_dir).write.options(
+            header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{folder}/{SOURCES[name].file_name}")
     return folder
 
 
@@ -586,5 +588,5 @@ def stream_attribution(spark, sf_dir):
     payments = _event_stream(spark, sf_dir).where("event_type = 'purchase'").select(
         F.col("event_id").alias("payment_id"), F.col("user_id").alias("contract_id"), F.col("ts").alias("paid_at_utc")
     )
-    dispositions = Models(spark, sf_dir).dispositions().where("contract_id IS NOT NULL")
+    dispositions = Models(spark, sf_dir).dispositions.where("contract_id IS NOT NULL")
     return arrivals.attribute_stream(payments, dispositions, f"{out}/table", f"{out}/checkpoint")

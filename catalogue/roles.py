@@ -103,7 +103,7 @@ def raw_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "rate_date",
             F.col("c.currency").alias("currency"),
-            (F.lit(100) + 10 * F.col("c.centre") + number).cast("double").alias("usd_to_local_rate"),
+            (F.lit(100.7) + 10 * F.col("c.centre") + number).alias("usd_to_local_rate"),
             (number % 2 == 0).alias("rate_is_estimated"),
             F.when(number % 2 == 0, "latest_fallback").otherwise("history").alias("rate_source"),
             F.col("rate_date").cast("timestamp_ntz").alias("fetched_at"),
