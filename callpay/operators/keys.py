@@ -39,6 +39,20 @@ def join_keys(
     return a.join(right, on, how)
 
 
+def join_per_key(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows to a side that has at most one row per key; a NULL key matches nothing.
+
+    The rows may hold any number of copies of a key. Adaptive execution splits
+    such a key only if the other side was shuffled for this very join; a side
+    that was just aggregated by the same key is not. Null-safe equality over
+    non-NULL keys means the same and shuffles both sides by an expression of the
+    key, so the split always applies. It costs one more shuffle of the small side.
+    """
+    present = per_key.dropna(subset=list(keys))
+    kept = [c for c in per_key.columns if c not in keys] if how == "left" else []
+    return join_keys(df, present, keys, how, null_safe=True).select(*df.columns, *kept)
+
+
 def flag_duplicates(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Mark every row whose key occurs more than once (NULLs equal each other).
 

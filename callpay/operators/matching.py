@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpay.functions.columns import digit_runs
+from callpay.operators.keys import join_per_key
 
 
 def explode_digit_runs(df: DataFrame, text: str, out: str, keep: list[str]) -> DataFrame:
@@ -16,19 +17,16 @@ def explode_digit_runs(df: DataFrame, text: str, out: str, keep: list[str]) -> D
 def match_ids_in_text(df: DataFrame, key: str, text: str, ids: DataFrame, id_col: str, out: str) -> DataFrame:
     """Smallest real id named in ``text``, one row per ``key`` that names any.
 
-    Only (key, candidate) travels to the semi join; its left side may be split
-    by adaptive execution when one number fills many notes. The minimum is
-    combined map-side before the second shuffle.
+    Only (key, candidate) travels to the semi join; its rows are split when one
+    number fills many notes. The minimum is combined map-side before the second
+    shuffle.
     """
     candidates = explode_digit_runs(df, text, "_candidate", [key])
-    known = ids.select(F.col(id_col).alias("_known")).where(F.col("_known").isNotNull())
-    return (
-        candidates.join(known, F.col("_candidate") == F.col("_known"), "left_semi")
-        .groupBy(key)
-        .agg(F.min("_candidate").alias(out))
-    )
+    known = ids.select(F.col(id_col).alias("_candidate")).distinct()
+    hits = join_per_key(candidates, known, ["_candidate"], "left_semi")
+    return hits.groupBy(key).agg(F.min("_candidate").alias(out))
 
 
 def attach_match(df: DataFrame, matched: DataFrame, key: str) -> DataFrame:
     """Left join of a per-key result onto every row of that key."""
-    return df.join(matched, key, "left")
+    return join_per_key(df, matched, [key])

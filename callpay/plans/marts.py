@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callpay.functions.columns import coalesce_label, is_window_closed, safe_divide, window_closes_at
 from callpay.operators.joins import full_join_on
+from callpay.operators.keys import join_per_key
 
 
 def coding_rate(coded: DataFrame, agents: DataFrame) -> DataFrame:
@@ -26,8 +27,8 @@ def coding_rate(coded: DataFrame, agents: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_outbound_calls"),
         F.count_if("is_coded").alias("coded_calls"),
     )
-    on = (F.col("market") == F.col("country_name")) & (F.col("agent_ameyo_user_id") == F.col("ameyo_user_id"))
-    return counts.join(agents, on, "left").select(
+    people = agents.withColumnsRenamed({"country_name": "market", "ameyo_user_id": "agent_ameyo_user_id"})
+    return join_per_key(counts, people, ["market", "agent_ameyo_user_id"]).select(
         "call_date_local",
         "market",
         "campaign_name",
@@ -45,7 +46,7 @@ def paid_post_call(
     dispositions: DataFrame, summary: DataFrame, window_days: int = 3, as_of: datetime | None = None
 ) -> DataFrame:
     """Every disposition: was it followed by a payment, how much, and is that final?"""
-    joined = dispositions.join(summary, "call_log_id", "left")
+    joined = join_per_key(dispositions, summary, ["call_log_id"])
     paid_count = F.coalesce("attributed_payment_count", F.lit(0)).cast("bigint")
     return joined.select(
         *dispositions.columns,

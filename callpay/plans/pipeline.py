@@ -17,7 +17,7 @@ from callpay.plans.intermediate import attribute_payments, code_calls, summarise
 from callpay.plans.staging import stage_agents, stage_calls, stage_dispositions, stage_fx, stage_payments
 from callpay.sources.contracts import SOURCES, country_seed
 from callpay.sources.landing import load_extracts, read_manifest, read_raw
-from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, store_rates
+from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, record_run, store_rates
 
 
 class ChecksFailed(RuntimeError):
@@ -38,6 +38,7 @@ def refresh_rates(
     spark: SparkSession,
     raw_payments: DataFrame,
     root: str,
+    run_root: str,
     cfg: PipelineConfig,
     history: DataFrame | None,
     latest: DataFrame | None,
@@ -59,11 +60,11 @@ def refresh_rates(
     )
     given = history is not None or latest is not None
     summary = materialize(
-        fx_summary(needed_dates(raw_payments, paid_at), resolved, given), "fx_run_summary", "table", root
+        fx_summary(needed_dates(raw_payments, paid_at), resolved, given), "fx_run_summary", "table", run_root
     )
     if not given:
         return stored, summary
-    updates = materialize(resolved_only(resolved), "fx_updates", "table", root)
+    updates = materialize(resolved_only(resolved), "fx_updates", "table", run_root)
     export_json_by_date(updates, f"{root}/fx_export", "rate_date")
     return store_rates(spark, path, updates), summary
 
@@ -79,13 +80,16 @@ def run_pipeline(
     """One daily run below ``root``, a folder every executor can reach.
 
     Staged tables are stored typed and columnar because several models read
-    them; each later model is stored once and read back by its consumers.
+    them; each later model is stored once and read back by its consumers. Every
+    run rebuilds into a folder of its own, so readers of the last run are not
+    disturbed and a failed run leaves it standing.
     """
     now = cfg.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-    raw_root, model_root = f"{root}/raw", f"{root}/models"
+    run_id = now.strftime("%Y%m%dT%H%M%S")
+    raw_root, model_root = f"{root}/raw", f"{root}/models/{run_id}"
     result = RunResult(loads=load_extracts(spark, input_dir, raw_root, loaded_at=now), fx=None)
     raw = {name: read_raw(spark, raw_root, c) for name, c in SOURCES.items()}
-    fx_raw, result.fx = refresh_rates(spark, raw["payments"], root, cfg, fx_history, fx_latest)
+    fx_raw, result.fx = refresh_rates(spark, raw["payments"], root, model_root, cfg, fx_history, fx_latest)
 
     seed = country_seed(spark)
     tables, checks = result.tables, []
@@ -94,7 +98,7 @@ def run_pipeline(
         """Run checks now and keep their results; a broken model stops the run."""
         if not results:
             return
-        stored = materialize(run_suite(results), f"checks_{name}", "table", f"{root}/checks")
+        stored = materialize(run_suite(results), f"checks_{name}", "table", model_root)
         checks.append(stored)
         broken = quality.failed(stored).collect()
         if broken and stops and cfg.stop_on_failure:
@@ -136,4 +140,5 @@ def run_pipeline(
     )
     record("freshness", [quality.freshness_checks(loads, builds, now)])
     result.checks = run_suite(checks)
+    record_run(spark, root, run_id, model_root)
     return result

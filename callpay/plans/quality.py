@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpay.operators.checks import (
+    Rule,
     accepted_range_rule,
     accepted_values_rule,
     covers_dates,
@@ -36,29 +37,6 @@ RAW_ALLOWANCE = timedelta(hours=2)
 MART_ALLOWANCE = timedelta(hours=3)
 DEADLINE_HOUR = 6
 
-# Row rules per model: each model is scanned once for all of its rules.
-ROW_RULES = {
-    "country_code_mapping": [not_null_rule(c) for c in ("country_name", "ameyo_contact_center_id", "atlas_tenant_id")],
-    "stg_ameyo__calls": [
-        not_null_rule("call_id"),
-        accepted_values_rule("ameyo_contact_center_id", [m[1] for m in MARKETS]),
-    ],
-    "stg_atlas__dispositions": [
-        not_null_rule("call_log_id"),
-        accepted_values_rule("atlas_tenant_id", [m[2] for m in MARKETS]),
-    ],
-    "stg_atlas__payments": [not_null_rule("payment_row_key")],
-    "stg_agent_mapping": [not_null_rule("ameyo_user_id")],
-    "int_calls__coded": [not_null_rule("call_id")],
-    "int_payment_attribution": [not_null_rule("payment_row_key")],
-    "int_call_payment_summary": [not_null_rule("call_log_id")],
-    "fct_coding_rate": [
-        accepted_range_rule("total_outbound_calls", low=0),
-        expect_rule("coded_calls <= total_outbound_calls"),
-    ],
-    "fct_paid_post_call": [not_null_rule("call_log_id"), accepted_range_rule("attributed_payment_count", low=0)],
-}
-
 UNIQUE = {
     "country_code_mapping": ["country_name", "ameyo_contact_center_id", "atlas_tenant_id"],
     "stg_ameyo__calls": ["call_id"],
@@ -79,12 +57,36 @@ UNIQUE_TOGETHER = {
 }
 
 
+def row_rules() -> dict[str, list[Rule]]:
+    """Row rules per model: each model is scanned once for all of its rules."""
+    return {
+        "country_code_mapping": [not_null_rule(c) for c in ("country_name", "ameyo_contact_center_id", "atlas_tenant_id")],
+        "stg_ameyo__calls": [
+            not_null_rule("call_id"),
+            accepted_values_rule("ameyo_contact_center_id", [m[1] for m in MARKETS]),
+        ],
+        "stg_atlas__dispositions": [
+            not_null_rule("call_log_id"),
+            accepted_values_rule("atlas_tenant_id", [m[2] for m in MARKETS]),
+        ],
+        "stg_atlas__payments": [not_null_rule("payment_row_key")],
+        "stg_agent_mapping": [not_null_rule("ameyo_user_id")],
+        "int_calls__coded": [not_null_rule("call_id")],
+        "int_payment_attribution": [not_null_rule("payment_row_key")],
+        "int_call_payment_summary": [not_null_rule("call_log_id")],
+        "fct_coding_rate": [
+            accepted_range_rule("total_outbound_calls", low=0),
+            expect_rule("coded_calls <= total_outbound_calls"),
+        ],
+        "fct_paid_post_call": [not_null_rule("call_log_id"), accepted_range_rule("attributed_payment_count", low=0)],
+    }
+
+
 def checks_of(model: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
     """The checks to run right after one model is built."""
     df, prefix = tables[model], f"{model}."
-    results = []
-    if model in ROW_RULES:
-        results.append(measure(df, ROW_RULES[model], prefix))
+    rules = row_rules().get(model)
+    results = [measure(df, rules, prefix)] if rules else []
     results += [unique(df, c, prefix) for c in UNIQUE.get(model, [])]
     if model in UNIQUE_TOGETHER:
         results.append(unique_combination(df, UNIQUE_TOGETHER[model], prefix))

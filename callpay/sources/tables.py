@@ -35,8 +35,24 @@ def materialize(df: DataFrame, name: str, kind: str, root: str | None = None) ->
     return stored
 
 
-def read_mart(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+RUNS_SCHEMA = T.StructType(
+    [T.StructField("run_id", T.StringType()), T.StructField("path", T.StringType())]
+)
+
+
+def record_run(spark: SparkSession, root: str, run_id: str, path: str) -> None:
+    """Publish a finished run: from now on it is the one consumers read."""
+    spark.createDataFrame([(run_id, path)], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/runs")
+
+
+def read_mart(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
+    """A whole mart: from the session's views, or of the latest published run below ``root``."""
+    if root is None:
+        return spark.table(name)
+    latest = read_or_empty(spark, f"{root}/runs", RUNS_SCHEMA).agg(F.max(F.struct("run_id", "path")).alias("r")).first().r
+    if latest is None:
+        raise LookupError(f"no run was published below {root}")
+    return spark.read.parquet(f"{latest.path}/{name}")
 
 
 def ensure_fx_table(spark: SparkSession, path: str) -> DataFrame:

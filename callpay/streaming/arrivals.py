@@ -77,6 +77,7 @@ def attribute_stream(
     """
 
     def attribute(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         span = batch.agg(F.min("paid_at_utc").alias("first"), F.max("paid_at_utc").alias("last")).first()
         reachable = dispositions
         if span["first"] is not None:
@@ -88,6 +89,7 @@ def attribute_stream(
             batch, reachable, by=list(by), event_ts="paid_at_utc", anchor_ts="disposed_at_utc",
             anchor_id="call_log_id", within_days=window_days, out="attributed_call_log_id", hot_rows=hot_rows,
         ).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.unpersist()
 
     (
         payments.writeStream.foreachBatch(attribute)
