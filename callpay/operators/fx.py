@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callpay.functions.columns import clock
@@ -20,6 +20,11 @@ FROM_HISTORY = "history"
 FROM_LATEST = "latest_fallback"
 
 
+def rates_from_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """Rates given as literal rows (rate_date, currency, rate, is_estimated, source, fetched_at)."""
+    return spark.createDataFrame(list(rows), FX_SCHEMA)
+
+
 def needed_dates(payments: DataFrame, ts: str | Column = "paid_at_utc") -> DataFrame:
     """Distinct calendar days on which a payment was made, in order."""
     ts = F.col(ts) if isinstance(ts, str) else ts

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callpay.functions.columns import clock, safe_divide
+from callpay.operators.filters import only, require
 from callpay.sources.contracts import MARKET_ORDER
 
 
@@ -76,7 +77,7 @@ def kpi_totals(daily: DataFrame) -> DataFrame:
 
 def market_coding(mart: DataFrame) -> DataFrame:
     return (
-        mart.where("market IS NOT NULL")
+        require(mart, "market")
         .groupBy("market")
         .agg(F.sum("total_outbound_calls").alias("total_outbound_calls"), F.sum("coded_calls").alias("coded_calls"))
         .withColumn("coding_rate", safe_divide("coded_calls", "total_outbound_calls"))
@@ -86,7 +87,7 @@ def market_coding(mart: DataFrame) -> DataFrame:
 def market_paid(mart: DataFrame) -> DataFrame:
     """Per market; the rate counts only dispositions that have a contract."""
     return (
-        mart.where("country_name IS NOT NULL")
+        require(mart, "country_name")
         .groupBy(F.col("country_name").alias("market"))
         .agg(
             F.count("call_log_id").alias("total_dispositions"),
@@ -129,7 +130,7 @@ def drill(df: DataFrame, path: Sequence[str] = ()) -> DataFrame:
     """Calls per label of the next reason level below ``path`` (chosen labels, top level first)."""
     levels = ["level_one", "level_two", "level_three"]
     for level, label in zip(levels, path):
-        df = df.where(F.col(level) == label)
+        df = only(df, level, label)
     below = levels[len(path)]
     return largest_first(df.groupBy(below).agg(F.sum("call_count").alias("call_count")), "call_count", below)
 
@@ -170,5 +171,5 @@ def default_drill(df: DataFrame) -> DataFrame:
     for depth, level in enumerate(levels, start=1):
         best = top_label(df, level)
         steps.append(best.select(F.lit(depth).cast("bigint").alias("depth"), F.col(level).alias("label"), "call_count"))
-        df = df.where(F.col(level) == best.select(level).scalar())
+        df = only(df, level, best.select(level).scalar())
     return steps[0].unionByName(steps[1]).unionByName(steps[2])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callpay.functions.columns import convert_amount
 from callpay.operators.asof import HOT_ROWS, attribute_nearest
+from callpay.operators.filters import nonzero, only_true, require
 from callpay.operators.joins import lookup_rate
 from callpay.operators.matching import attach_match, match_ids_in_text
 
@@ -16,7 +17,7 @@ from callpay.operators.matching import attach_match, match_ids_in_text
 def code_calls(calls: DataFrame, dispositions: DataFrame) -> DataFrame:
     """Calls whose note names a real disposition id; the smallest such id is kept."""
     matched = match_ids_in_text(
-        calls.where("notes_raw IS NOT NULL"), "call_id", "notes_raw",
+        require(calls, "notes_raw"), "call_id", "notes_raw",
         dispositions, "call_log_id", "matched_call_log_id",
     )
     return attach_match(calls, matched, "call_id").select(
@@ -39,8 +40,8 @@ def attribute_payments(
     A payment whose amount could not be read has no zero flag and is left out too.
     """
     nearest = attribute_nearest(
-        payments.where(~F.col("is_zero_amount")),
-        dispositions.where("contract_id IS NOT NULL"),
+        nonzero(payments),
+        require(dispositions, "contract_id"),
         by=list(by),
         event_ts="paid_at_utc",
         anchor_ts="disposed_at_utc",
@@ -62,7 +63,7 @@ def attribute_payments(
 def summarise_payments(attribution: DataFrame) -> DataFrame:
     """One row per call with attributed payments. Sums skip what has no rate; a flag says so."""
     return (
-        attribution.where("is_attributed_to_a_call")
+        only_true(attribution, "is_attributed_to_a_call")
         .groupBy(F.col("attributed_call_log_id").alias("call_log_id"))
         .agg(
             F.count(F.lit(1)).alias("attributed_payment_count"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callpay.functions.columns import coalesce_label, is_window_closed, safe_divide, window_closes_at
+from callpay.operators.filters import only
 from callpay.operators.joins import full_join_on
 from callpay.operators.keys import join_per_key
 
@@ -68,7 +69,7 @@ def inbound_drivers(
     """Inbound calls per (UTC day, market, three reason levels)."""
     levels = [coalesce_label(c, missing_label).alias(c) for c in ("level_one", "level_two", "level_three")]
     return (
-        dispositions.where(F.col("call_type") == inbound_type)
+        only(dispositions, "call_type", inbound_type)
         .groupBy(
             F.to_date("disposed_at_utc").alias("disposition_date_utc"),
             F.col("country_name").alias("market"),

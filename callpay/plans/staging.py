@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callpay.functions.columns import clean_string, local_to_utc, try_double, try_long, try_ts
+from callpay.operators.filters import drop_blank_keys
 from callpay.operators.joins import bridge_market
 from callpay.operators.keys import hash_key, keep_first, row_key
 from callpay.sources.contracts import PAYMENT_COLUMNS, PAYMENT_KEY, PAYMENT_KEY_SHORT
@@ -101,13 +102,13 @@ def stage_agents(raw: DataFrame) -> DataFrame:
     aggregate: structs compare field by field with NULL lowest, which is that
     preference order.
     """
-    typed = raw.select(
+    typed = drop_blank_keys(raw, "ameyo_user_id").select(
         clean_string("contact_centre").alias("country_name"),
         clean_string("ameyo_user_id").alias("ameyo_user_id"),
         clean_string("team").alias("team"),
         clean_string("atlas_user_name").alias("atlas_user_name"),
         *load_metadata(raw),
-    ).where("ameyo_user_id IS NOT NULL")
+    )
     preferred = F.max(
         F.struct(
             F.col("atlas_user_name").isNotNull().alias("named"),

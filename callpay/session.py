@@ -8,12 +8,29 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "callpay", master: str | None = None, cores: int | None = None) -> SparkSession:
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 60_000
+LARGE_INPUT = 10 * 1024**4
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Enough partitions that one holds about 256 MB, within what the driver can track.
+
+    Beyond the limit partitions grow (100 TB: about 1.7 GB each) and sorts spill.
+    Adaptive execution merges partitions that turn out small.
+    """
+    return max(200, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES)))
+
+
+def build_session(
+    app: str = "callpay", master: str | None = None, cores: int | None = None, input_bytes: int | None = None
+) -> SparkSession:
     """A session with the settings this package is tuned for.
 
-    On a cluster leave ``master`` unset and let spark-submit decide; shuffle
-    partitions stay at the cluster default there and AQE coalesces or splits
-    them by bytes.
+    On a cluster leave ``master`` unset, spark-submit decides, and pass the size
+    of the input so that windows and aggregates get partitions of a fitting size;
+    very large inputs are also scanned in larger splits. ``cores`` fixes a small
+    number of partitions for local runs.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -24,7 +41,11 @@ def build_session(app: str = "callpay", master: str | None = None, cores: int |
     )
     if master:
         builder = builder.master(master).config("spark.driver.memory", "8g")
-    if cores:
+    if input_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
+        if input_bytes >= LARGE_INPUT:
+            builder = builder.config("spark.sql.files.maxPartitionBytes", "512MB")
+    elif cores:
         builder = builder.config("spark.sql.shuffle.partitions", str(cores))
     return builder.getOrCreate()
 

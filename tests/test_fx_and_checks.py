@@ -5,7 +5,6 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from callpay.operators import checks, fx
-from callpay.sources.contracts import FX_SCHEMA
 from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, read_mart, store_rates
 
 D1, D2, D3 = date(2026, 8, 4), date(2026, 8, 5), date(2026, 8, 6)
@@ -68,7 +67,7 @@ def test_run_summary_states(spark, resolved):
 
 
 def rates(spark, *rows):
-    return spark.createDataFrame([(d, c, r, False, "history", AT) for d, c, r in rows], FX_SCHEMA)
+    return fx.rates_from_rows(spark, [(d, c, r, False, "history", AT) for d, c, r in rows])
 
 
 def test_upsert_updates_inserts_and_refuses_repeated_keys(spark):
