@@ -33,19 +33,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpay.functions.columns import days, minute_number
+from callpay.operators.filters import require
 from callpay.operators.keys import join_keys
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 
 
-def _known(cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-
-
 def _hot_keys(events: DataFrame, points: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame | None:
     """The largest keys with more than ``hot_rows`` rows, or None when there are none."""
-    keys = events.select(*by).unionAll(points.select(*by)).where(_known(by))
+    keys = require(events.select(*by).unionAll(points.select(*by)), *by)
     sizes = keys.groupBy(*by).count().where(F.col("count") > hot_rows)
     hot = sizes.orderBy(F.col("count").desc(), *by).select(*by).limit(MAX_HOT_KEYS)
     found = hot.collect()
@@ -54,7 +51,8 @@ def _hot_keys(events: DataFrame, points: DataFrame, by: Sequence[str], hot_rows:
 
 def _scan_whole_keys(events, points, by, event_ts, fold) -> DataFrame:
     """One window per key. Events without key or time get a group of their own."""
-    lonely = F.when(~_known([*by, event_ts]), F.xxhash64(*events.columns))
+    lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in (*by, event_ts)])
+    lonely = F.when(lacking, F.xxhash64(*events.columns))
     timeline = points.withColumn("_kind", F.lit(0)).unionByName(
         events.withColumns({"_at": F.col(event_ts), "_kind": F.lit(1), "_lonely": lonely}),
         allowMissingColumns=True,
@@ -110,7 +108,7 @@ def _running(
     hot_rows: int,
 ) -> DataFrame:
     """``events`` plus ``_run``, the fold of ``points`` (key, _at, _value) up to each event."""
-    points = points.where(_known([*by, "_at"]))
+    points = require(points, *by, "_at")
     hot = _hot_keys(events, points, by, hot_rows)
     if hot is None:
         return _scan_whole_keys(events, points, by, event_ts, fold)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ def nonzero(df: DataFrame, flag: str = "is_zero_amount") -> DataFrame:
 
 
 def require(df: DataFrame, *cols: str) -> DataFrame:
-    """Rows in which every named column is filled."""
-    return df.dropna(subset=list(cols))
+    """Rows in which every named column is filled (as ``IS NOT NULL``, which reaches the scan)."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
 
 
 def only(df: DataFrame, c: str, value) -> DataFrame:

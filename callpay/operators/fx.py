@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callpay.functions.columns import clock
+from callpay.operators.filters import require
 from callpay.sources.contracts import CURRENCIES, FX_SCHEMA
 
 # How a stored rate says where it came from.
@@ -132,5 +133,5 @@ def uncovered_dates(payments: DataFrame, fx: DataFrame, dates_only: bool = False
     """Payment days (per currency unless ``dates_only``) for which no rate is stored."""
     keys = ["rate_date"] if dates_only else ["rate_date", "currency_code"]
     days = payments.select(F.to_date("paid_at_utc").alias("rate_date"), "currency_code")
-    needed = days.select(*keys).dropna().distinct()
+    needed = require(days.select(*keys), *keys).distinct()
     return needed.join(fx.select(*keys), keys, "left_anti")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callpay.operators.filters import require
+
 
 def row_key(cols: Sequence[str], sep: str = "-") -> Column:
     """Readable composite key. An empty slot is kept, so two keys never shift into each other."""
@@ -48,7 +50,7 @@ def join_per_key(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: st
     non-NULL keys means the same and shuffles both sides by an expression of the
     key, so the split always applies. It costs one more shuffle of the small side.
     """
-    present = per_key.dropna(subset=list(keys))
+    present = require(per_key, *keys)
     kept = [c for c in per_key.columns if c not in keys] if how == "left" else []
     return join_keys(df, present, keys, how, null_safe=True).select(*df.columns, *kept)
 

@@ -39,7 +39,7 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("seed",),
     ),
     "sent": (
-        """SELECT e.*, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
+        """SELECT e.*, rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS ts_text,
              CASE WHEN event_id % 50 = 0 THEN 'MANUAL' ELSE ' mobile ' END AS provider,
              CASE WHEN event_id % 50 = 0 THEN '0.0' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS amount
            FROM events e, (VALUES (1), (2)) AS c(n)

@@ -68,7 +68,7 @@ def clean_and_type_strings(spark, sf_dir):
 def local_clock_to_utc(spark, sf_dir):
     """Timestamps from text, moved to UTC by a per-row offset."""
     o = table(spark, sf_dir, "orders")
-    placed = try_ts(F.date_format("o_orderdate", roles.TS_TEXT))
+    placed = try_ts(F.col("o_orderdate").cast("string"))
     offset = F.when(F.col("o_orderstatus") == "F", 3).when(F.col("o_orderstatus") == "O", 1)
     return o.select("o_orderkey", local_to_utc(placed, offset).alias("placed_at_utc"))
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from callpay.sources.contracts import MARKETS
 
 AS_OF = datetime(2024, 1, 29)
-TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +25,7 @@ def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").cast("string").alias("ch_call_id"),
-        F.date_format("ts", TS_TEXT).alias("ch_date_added"),
+        F.col("ts").cast("string").alias("ch_date_added"),
         (F.col("user_id") % 4 + 1).cast("string").alias("ch_contact_center_id"),
         F.col("event_type").alias("ch_system_disposition"),
         F.lit(" outbound ").alias("ch_call_type"),
@@ -49,7 +48,7 @@ def raw_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (u % 4 + 1001).cast("string").alias("tenant_id"),
         u.cast("string").alias("customer_id"),
         F.when(i % 8 == 0, "").otherwise(u.cast("string")).alias("contract_id"),
-        F.date_format("ts", TS_TEXT).alias("created_timestamp_utc"),
+        F.col("ts").cast("string").alias("created_timestamp_utc"),
         F.concat(F.lit("agent "), u.cast("string")).alias("createdby"),
         F.when(F.col("event_type") == "signup", "Inbound Team").otherwise("Outbound Team").alias("call_type"),
         numbered("L", 4).alias("level_one"),
@@ -64,7 +63,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, u = F.col("event_id"), F.col("user_id")
     sent = F.explode(F.sequence(F.lit(1), F.when(F.col("value") >= 100, 2).otherwise(1)))
     return e.select(
-        F.date_format("ts", TS_TEXT).alias("pay_timestamp_utc"),
+        F.col("ts").cast("string").alias("pay_timestamp_utc"),
         (u % 4 + 1001).cast("string").alias("tenant_id"),
         u.cast("string").alias("contract_id"),
         F.when(i % 50 == 0, "MANUAL").otherwise(" mobile ").alias("payment_request_provider"),
