@@ -23,6 +23,9 @@ HEADLINE = [
     "flag_repeated_lineitem_keys",
     "digit_run_candidates",
     "code_calls",
+    "nearest_click_before_purchase",
+    "nearest_order_by_status",
+    "orders_in_window_by_status",
     "candidate_calls_in_window",
     "attribute_payments",
     "payment_summary",

@@ -145,11 +145,11 @@ def relationships(
 ) -> DataFrame:
     """Counts rows whose non-NULL ``c`` is absent from ``to.field``.
 
-    Rows shrink to one per value before the anti join, so a popular value is one row.
+    Both sides shrink to one row per value before the anti join, so a popular value is one row.
     """
     rows = df.where(where) if where else df
     values = rows.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-    parents = to.select(F.col(field).alias("_parent"))
+    parents = to.select(F.col(field).alias("_parent")).distinct()
     orphans = values.join(parents, F.col("_value") == F.col("_parent"), "left_anti")
     return _counted(orphans, "relationships", prefix + c, weight="_rows")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callpay.operators.keys import join_keys
+from callpay.operators.keys import join_keys, join_per_key
 
 BROADCAST_ROWS = 200_000
 
@@ -28,14 +28,15 @@ def bridge_market(df: DataFrame, seed: DataFrame, on: str, wanted: Sequence[str]
 
 def lookup_rate(df: DataFrame, fx: DataFrame, currency: str, ts: str) -> DataFrame:
     """Attach the rate of the row's own currency and day, or NULL."""
+    keys = ["_fx_currency", "_fx_date"]
     rates = fx.select(
         F.col("currency_code").alias("_fx_currency"),
         F.col("rate_date").alias("_fx_date"),
         "usd_to_local_rate",
         F.col("rate_is_estimated").alias("fx_rate_is_estimated"),
     )
-    on = (F.col(currency) == F.col("_fx_currency")) & (F.to_date(F.col(ts)) == F.col("_fx_date"))
-    return df.join(broadcast_checked(rates), on, "left").drop("_fx_currency", "_fx_date")
+    dated = df.withColumns({"_fx_currency": F.col(currency), "_fx_date": F.to_date(F.col(ts))})
+    return join_per_key(dated, broadcast_checked(rates), keys).drop(*keys)
 
 
 def full_join_on(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
 from callpay.operators.joins import broadcast_checked
+from callpay.operators.keys import join_per_key
 from callpay.sources.contracts import MANIFEST_SCHEMA, SOURCES, SourceContract
 from callpay.sources.extracts import (
     blank_line_rejects,
@@ -41,8 +42,13 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def new_files(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files whose content was not landed before for that source."""
-    return hashes.join(manifest.select("source_name", "file_hash"), ["source_name", "file_hash"], "left_anti")
+    """Files whose content was not landed before for that source.
+
+    The manifest shrinks to one row per content, and many deliveries of one
+    content may be split.
+    """
+    keys = ["source_name", "file_hash"]
+    return join_per_key(hashes, manifest.select(*keys).distinct(), keys, "left_anti")
 
 
 def plan_loads(registry: DataFrame, found: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -53,7 +59,7 @@ def plan_loads(registry: DataFrame, found: DataFrame, manifest: DataFrame) -> Da
     for one to load.
     """
     done = manifest.select("source_name", "file_hash").distinct().withColumn("_done", F.lit(True))
-    joined = registry.join(found, "file_name", "left").join(done, ["source_name", "file_hash"], "left")
+    joined = join_per_key(registry.join(found, "file_name", "left"), done, ["source_name", "file_hash"])
     reason = F.when(F.col("file_hash").isNull(), NOT_FOUND).when(F.col("_done"), UNCHANGED)
     carried = [c for c in found.columns if c not in ("file_name", "file_hash")]
     return joined.select("source_name", "file_name", "file_hash", *carried, reason.alias("reason"))

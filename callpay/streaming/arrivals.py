@@ -19,9 +19,9 @@ from callpay.sources.contracts import SourceContract
 from callpay.sources.extracts import source_file
 
 
-def stream_table(spark: SparkSession, schema: T.StructType, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """New Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def stream_table(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """New Parquet files below a folder, or matching a glob, as a stream."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def stream_extract(spark: SparkSession, folder: str, contract: SourceContract) -> DataFrame:

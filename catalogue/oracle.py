@@ -281,6 +281,24 @@ ORACLE: dict[str, str] = {
     "attribute_payments": _sql(_ATTR, "attr"),
     "attribute_payments_sliced": _sql(_ATTR, "attr"),
     "attribute_payments_by_tenant": _sql(_ATTR, "attr", days=1, tenant="AND d.atlas_tenant_id = p.atlas_tenant_id"),
+    "nearest_order_by_status": """WITH a AS (SELECT o_orderstatus AS status, o_orderdate, max(o_orderkey) AS id FROM orders GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, l_linestatus AS status, l_shipdate,
+          CASE WHEN a.o_orderdate > l_shipdate - INTERVAL 3 DAY THEN a.id END AS nearest_order
+        FROM lineitem ASOF LEFT JOIN a ON a.status = l_linestatus AND l_shipdate >= a.o_orderdate""",
+    "orders_in_window_by_status": """WITH d AS (SELECT o_orderstatus AS status, o_orderdate AS d_at, count(*) AS n FROM orders GROUP BY ALL),
+        c AS (SELECT status, d_at, sum(n) OVER (PARTITION BY status ORDER BY d_at) AS upto FROM d),
+        x AS (SELECT DISTINCT l_linestatus AS status, l_shipdate FROM lineitem),
+        y AS (SELECT x.status, x.l_shipdate, coalesce(a.upto, 0) - coalesce(b.upto, 0) AS n FROM x
+              ASOF LEFT JOIN c a ON a.status = x.status AND x.l_shipdate >= a.d_at
+              ASOF LEFT JOIN c b ON b.status = x.status AND x.l_shipdate - INTERVAL 3 DAY >= b.d_at)
+        SELECT l_orderkey, l_linenumber, l_linestatus AS status, l.l_shipdate, CAST(y.n AS BIGINT) AS orders_in_window
+        FROM lineitem l JOIN y ON y.status = l_linestatus AND y.l_shipdate = l.l_shipdate""",
+    "nearest_click_before_purchase": """WITH r AS (SELECT p.event_id, c.event_id AS seen, row_number() OVER (
+          PARTITION BY p.event_id ORDER BY c.ts DESC, c.event_id DESC) AS rn
+          FROM events p JOIN events c ON c.user_id = p.user_id AND c.ts <= p.ts AND c.ts > p.ts - INTERVAL 3 DAY
+          WHERE p.event_type = 'purchase' AND c.event_type IN ('click', 'view'))
+        SELECT p.event_id, p.user_id, p.ts, r.seen AS nearest_event FROM events p
+        LEFT JOIN r ON r.event_id = p.event_id AND r.rn = 1 WHERE p.event_type = 'purchase'""",
     "payment_summary": _sql(
         """SELECT * REPLACE (round(attributed_payment_amount_local, 2) AS attributed_payment_amount_local,
              round(attributed_payment_amount_usd, 6) AS attributed_payment_amount_usd) FROM summ""",

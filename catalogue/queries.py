@@ -183,6 +183,45 @@ def payment_summary(spark, sf_dir):
     )
 
 
+def _shipped_and_ordered(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Line items and orders keyed by status: three keys in all, each a large part of the rows."""
+    li = table(spark, sf_dir, "lineitem")
+    items = li.select("l_orderkey", "l_linenumber", F.col("l_linestatus").alias("status"), "l_shipdate")
+    return items, table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"), "o_orderkey", "o_orderdate")
+
+
+@query
+def nearest_order_by_status(spark, sf_dir):
+    """Nearest preceding order of the same status, under extreme key skew and day-grained ties."""
+    items, orders = _shipped_and_ordered(spark, sf_dir)
+    return asof.attribute_nearest(
+        items, orders, by=["status"], event_ts="l_shipdate", anchor_ts="o_orderdate", anchor_id="o_orderkey",
+        within_days=3, out="nearest_order", hot_rows=1000,
+    )
+
+
+@query
+def orders_in_window_by_status(spark, sf_dir):
+    """How many orders of the same status fall into the three days before each shipment."""
+    items, orders = _shipped_and_ordered(spark, sf_dir)
+    return asof.count_in_window(
+        items, orders, by=["status"], event_ts="l_shipdate", anchor_ts="o_orderdate", within_days=3,
+        out="orders_in_window", hot_rows=1000,
+    )
+
+
+@query
+def nearest_click_before_purchase(spark, sf_dir):
+    """The bare operator on typed events: the latest click or view of the user within three days."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    purchases = e.where("event_type = 'purchase'").drop("event_type")
+    seen = e.where(F.col("event_type").isin("click", "view")).select("user_id", F.col("ts").alias("seen_at"), F.col("event_id").alias("seen_id"))
+    return asof.attribute_nearest(
+        purchases, seen, by=["user_id"], event_ts="ts", anchor_ts="seen_at", anchor_id="seen_id", within_days=3,
+        out="nearest_event",
+    )
+
+
 # --- marts -------------------------------------------------------------------
 
 
@@ -517,7 +556,8 @@ def new_documents(spark, sf_dir):
 @query
 def file_manifest(spark, sf_dir):
     """SHA-256 of the table files themselves."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir).select("path")
+    reader = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", recursiveFileLookup=True)
+    files = reader.load(sf_dir).select("path")
     hashes = extracts.file_hashes(spark, [r.path for r in files.collect()])
     return hashes.select(F.element_at(F.split("uri", "/"), -1).alias("file_name"), "file_hash")
 
@@ -563,7 +603,7 @@ def load_summary_second_run(spark, sf_dir):
 
 def _event_stream(spark, sf_dir) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    return arrivals.stream_table(spark, schema, sf_dir, "events.parquet")
+    return arrivals.stream_table(spark, schema, f"{sf_dir}/events.parquet*")
 
 
 @query

@@ -8,6 +8,7 @@ plays the agent list; rates are derived from the payment days.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from callpay.sources.contracts import MARKETS
 AS_OF = datetime(2024, 1, 29)
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a lazy DataFrame; its files are listed once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from callpay.operators import asof
 from callpay.operators.asof import attribute_nearest, count_in_window
 
 START = datetime(2024, 3, 30, 22)
@@ -69,6 +70,19 @@ def test_count_equals_brute_force(spark, seed, hot_rows):
     assert {r.event_id: r.n for r in got.collect()} == {ev[0]: len(candidates(ev, anchors, 3)) for ev in events}
 
 
+def test_more_hot_keys_than_may_be_listed(spark, monkeypatch):
+    """Keys beyond the list stay on the first route; the result is the same."""
+    monkeypatch.setattr(asof, "MAX_HOT_KEYS", 2)
+    events, anchors = make(8)
+    e, a = frames(spark, events, anchors)
+    got = attribute_nearest(
+        e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
+        hot_rows=0,
+    )
+    want = {ev[0]: (max(candidates(ev, anchors, 3))[1] if candidates(ev, anchors, 3) else None) for ev in events}
+    assert {r.event_id: r.near for r in got.collect()} == want
+
+
 def test_two_column_key(spark):
     e = spark.createDataFrame(
         [(1, 1, 7, START), (2, 2, 7, START)], "event_id long, tenant long, k long, at timestamp_ntz"
