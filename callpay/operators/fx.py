@@ -16,9 +16,13 @@ from callpay.functions.columns import clock
 from callpay.operators.filters import require
 from callpay.sources.contracts import CURRENCIES, FX_SCHEMA
 
-# How a stored rate says where it came from.
+# How a stored rate says where it came from, and how a run ended.
 FROM_HISTORY = "history"
 FROM_LATEST = "latest_fallback"
+NO_SOURCE = "no_api_key"
+UP_TO_DATE = "up_to_date"
+OK = "ok"
+PARTIAL = "partial_failure"
 
 
 def rates_from_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
@@ -90,7 +94,7 @@ def fx_summary(needed: DataFrame, resolved: DataFrame, source_given: bool = True
     if not source_given:
         zero = F.lit(0).cast("bigint")
         return per_day.agg(F.count(F.lit(1)).alias("_n")).select(
-            F.lit("no_api_key").alias("status"),
+            F.lit(NO_SOURCE).alias("status"),
             zero.alias("rows_upserted"),
             zero.alias("dates_needed"),
             zero.alias("dates_failed"),
@@ -103,7 +107,7 @@ def fx_summary(needed: DataFrame, resolved: DataFrame, source_given: bool = True
     )
     nothing = F.col("missing_days") == 0
     return totals.select(
-        F.when(nothing, "up_to_date").when(F.col("dates_failed") == 0, "ok").otherwise("partial_failure").alias("status"),
+        F.when(nothing, UP_TO_DATE).when(F.col("dates_failed") == 0, OK).otherwise(PARTIAL).alias("status"),
         "rows_upserted",
         F.when(nothing, all_days).otherwise(F.col("missing_days")).alias("dates_needed"),
         "dates_failed",

@@ -58,12 +58,14 @@ def join_per_key(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: st
 def flag_duplicates(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Mark every row whose key occurs more than once (NULLs equal each other).
 
-    The count is a map-side combined aggregate joined back, not a window: a key
-    that holds a third of the rows never has to be sorted inside one task, and
-    adaptive execution can split its side of the join.
+    Not a window over the key: a key that holds a third of the rows would have
+    to pass through one task. Keys are counted map-side first, only the repeated
+    ones are joined back, and adaptive execution can split their rows.
     """
-    repeated = df.groupBy(*keys).agg((F.count(F.lit(1)) > 1).alias(out))
-    return join_keys(df, repeated, keys, "left", null_safe=True).select(*df.columns, out)
+    repeated = df.groupBy(*keys).count().where("count > 1").select(*keys, F.lit(True).alias("_repeated"))
+    return join_keys(df, repeated, keys, "left", null_safe=True).select(
+        *df.columns, F.coalesce("_repeated", F.lit(False)).alias(out)
+    )
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -109,9 +109,9 @@ def file_hashes(
     return whole.unionByName(by_line)
 
 
-def check_headers(profile: Sequence[Row], contract: SourceContract) -> None:
-    """Refuse files whose header is not exactly the contract's, in order."""
-    wrong = [f.uri for f in profile if not f.header_ok]
+def check_headers(profile: Sequence[Row], uris: Sequence[str], contract: SourceContract) -> None:
+    """Refuse files whose header is not exactly the contract's, in order; an empty file has none."""
+    wrong = sorted(set(uris) - {f.uri for f in profile if f.header_ok})
     if wrong:
         raise ValueError(f"header is not {list(contract.columns)} in {wrong}")
 

@@ -90,7 +90,7 @@ def land(
     """
     paths = [f.path for f in files]
     profile = profile_lines(spark, paths, contract.columns).collect()
-    check_headers(profile, contract)
+    check_headers(profile, [f.uri for f in files], contract)
     whole_uris = {r.uri for r in profile if r.broken_lines}
     blank_uris = {r.uri for r in profile if r.blank_lines}
     whole = [f.path for f in files if f.uri in whole_uris]

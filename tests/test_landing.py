@@ -79,6 +79,21 @@ def test_wrong_header_is_refused(spark, tmp_path, header):
         run(spark, tmp_path, f"{header}\n{GOOD}\n")
 
 
+def test_file_with_only_a_header_loads_nothing(spark, tmp_path):
+    summary, valid, rejects = run(spark, tmp_path, f"{HEADER}\n")
+    assert (summary.skipped, summary.rows_loaded, summary.rejected) == (False, 0, 0)
+    assert not valid and not rejects
+
+
+def test_empty_file_is_never_loaded(spark, tmp_path):
+    try:
+        summary, valid, _ = run(spark, tmp_path, "")
+    except ValueError as refused:
+        assert "header is not" in str(refused)
+    else:
+        assert summary.reason == "file_not_found" and not valid
+
+
 def test_header_may_have_spaces_and_quotes(spark, tmp_path):
     header = ",".join(f' "{c}" ' for c in CALLS.columns)
     summary, valid, _ = run(spark, tmp_path, f"{header}\n{GOOD}\n")
