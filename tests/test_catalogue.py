@@ -4,10 +4,10 @@ import pytest
 from conftest import SF_CHECK, SF_SMALL
 
 import __spark_entry__ as entry_file
+from catalogue.oracle import ORACLE
+from catalogue.queries import QUERIES
 from compare import difference, duck, duck_rows, spark_rows
 
-QUERIES = entry_file.queries()
-ORACLE = entry_file.oracle_sql()
 
 
 @pytest.fixture(scope="module")
