@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -48,7 +49,7 @@ def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
 
 def batches_of(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each."""
-    sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < len(sizes):
@@ -124,3 +125,32 @@ def bloom_has(filled: bytes, codes: np.ndarray) -> np.ndarray:
     for s in (codes & mask, (codes >> np.uint64(24)) & mask):
         found &= ((words[s >> np.uint64(6)] >> (s & np.uint64(63))) & np.uint64(1)).astype(bool)
     return found
+
+
+#: Kinds of bytes, one bit each: capitals, small letters, digits, symbols, exclamation, punctuation, beyond ASCII, other.
+KINDS = np.full(256, 128, np.uint8)
+KINDS[65:91], KINDS[97:123], KINDS[48:58], KINDS[128:] = 1, 2, 4, 64
+KINDS[[ord(c) for c in "#*$%&|<>"]] = 8
+KINDS[ord("!")] = 16
+KINDS[[ord(c) for c in ".,;:?"]] = 32
+
+
+def word_masks(texts: pa.Array, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word, the kinds of bytes it has, and its length in bytes; words as in :func:`word_codes`."""
+    plain = texts.fill_null("").cast(pa.large_binary())
+    _, offsets, data = plain.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    inside = np.concatenate([is_word[LOWER[raw]], [False]])
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    opens[offsets] = inside[offsets]
+    closes[:-1] &= ~inside[1:]
+    ends = offsets[offsets > 0] - 1
+    closes[ends] = inside[ends]
+    first, last = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    if not len(first):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    kinds = np.concatenate([np.where(inside[:-1], KINDS[raw], 0), [0]]).astype(np.uint8)
+    return np.bitwise_or.reduceat(kinds, first), last - first
