@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callpay.llm.shared import bloom_bits, stored
+from callpay.llm.shared import bloom_bits, drop_ids, stored
 from callpay.llm.textcodes import ALPHANUMERIC, batches_of, bloom_has, grams, mix, word_codes
 
 SPAN, GRAM = 10, 5
@@ -222,5 +222,5 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents without a hit, as they came. A document id counts as hit if any row of it is."""
-    bad = contamination(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(stored(bad, "hit-ids"), F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    bad = contamination(docs, items).where("n_hit > 0").select("doc_id").distinct()
+    return drop_ids(docs, stored(bad, "hit-ids"))

@@ -130,11 +130,9 @@ def mix(docs: DataFrame, seed: int = 23) -> DataFrame:
     )
     ranked = rank_within(
         sized.withColumn("__id", F.col("doc_id")), ["__source", "size"], unit(F.col("__h")), ["__h", "__id"],
-        "__r", offsets_of=narrow,
+        "__r", offsets_of=narrow, carry=takes,
     )
-    chosen = takes.where("__take > 0").withColumnsRenamed({"__source": "__s", "size": "__size"})
-    joined = ranked.join(chosen, (F.col("__source") == F.col("__s")) & (F.col("size") == F.col("__size")), "left")
-    planned = joined.join(plan.drop("__budget", "weight"), "__source")
+    planned = ranked.join(plan.drop("__budget", "weight"), "__source")
     once = F.when(F.col("__r") < F.coalesce("__take", F.lit(0)), 1).otherwise(0)
     times = F.when(F.col("size") > 0, F.col("__whole") + once).otherwise(0)
     extra = ["size", "source_size", "target", "times"]

@@ -6,12 +6,15 @@ input pass through. A result column replaces an input column of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from callpay.llm.textcodes import bloom_has, id_codes
 from callpay.session import scratch_path
 
 #: Separators of words, `[\x20\x09-\x0D]`, as text and as a pattern.
@@ -20,6 +23,8 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the inputs. Python workers started from now on find this package where the driver does."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -70,27 +75,24 @@ def rank_within(
     out: str,
     per_bucket: int = 512,
     offsets_of: DataFrame | None = None,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row within ``keys`` (none of them NULL), exactly, for groups of any size.
 
     ``position`` lies in [0, 1) and rows are ranked by it, then by ``order``. Rows meet in one task
     only per (keys, slice of positions); a slice holds about ``per_bucket`` rows when positions
     are spread evenly, as hashes and fractional ranks are. The ranks of earlier slices come from
-    counts. ``offsets_of`` has the same rows in narrow form, if ``df`` carries long texts.
+    counts. ``offsets_of`` has the same rows in narrow form, if ``df`` carries long texts. Columns of
+    ``carry``, one row per ``keys`` at most, come along without a join of their own.
     """
     narrow = df if offsets_of is None else offsets_of
     slices = max(1, -(-narrow.count() // per_bucket))
     slot = F.least(F.floor(position * slices), F.lit(slices - 1)).cast("bigint")
     before = Window.partitionBy(*keys).orderBy("__slot") if keys else Window.orderBy("__slot")
     counts = narrow.withColumn("__slot", slot).groupBy(*keys, "__slot").agg(F.count("*").alias("__n"))
-    offsets = stored(
-        counts.select(
-            *keys,
-            "__slot",
-            (F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__n")).alias("__before"),
-        ),
-        "offsets",
-    )
+    so_far = F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offsets = counts.select(*keys, "__slot", (so_far - F.col("__n")).alias("__before"))
+    offsets = stored(offsets if carry is None else offsets.join(carry, list(keys), "left"), "offsets")
     here = Window.partitionBy(*keys, "__slot").orderBy(*order)
     return (
         df.withColumn("__slot", slot)
@@ -123,6 +125,38 @@ def bloom_bits(df: DataFrame, key: str, bits: int = 1 << 24) -> bytes:
     return filled.tobytes()
 
 
+def bloom_of_ids(ids: DataFrame) -> bytes:
+    """A Bloom filter of the integer ids in the one column of ``ids``, for ``textcodes.id_codes``."""
+    name = ids.columns[0]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([id_codes(batch.column(name))], ["code"])
+
+    return bloom_bits(ids.mapInArrow(code, "code bigint"), "code")
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``ids`` (distinct; NULL equals NULL).
+
+    Rows that a filter of fixed size rules out pass straight through; only the others, with their texts, are
+    shuffled for the exact join.
+    """
+    names, name = docs.columns, ids.columns[0]
+    filled = bloom_of_ids(ids)
+
+    def side(listed: bool):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                may = bloom_has(filled, np.asarray(id_codes(batch.column(key))).view(np.uint64))
+                yield batch.filter(pa.array(may == listed))
+
+        return docs.mapInArrow(pick, docs.schema)
+
+    exact = ids.withColumnRenamed(name, "__drop")
+    return side(False).unionByName(side(True).join(exact, F.col(key).eqNullSafe(F.col("__drop")), "left_anti")).select(*names)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of undirected edges (a, b): one row (node, component), the smallest node.
 

@@ -106,6 +106,11 @@ def _block(raw: np.ndarray, offsets: np.ndarray, at: int, is_word: np.ndarray) -
         return mix(code + (last - first).astype(np.uint64) * _B), first + at
 
 
+def id_codes(ids: pa.Array) -> pa.Array:
+    """Mixed codes of integer ids (NULL like 0), for Bloom filters."""
+    return pa.array(mix(np.asarray(ids.fill_null(0), np.int64).view(np.uint64) + np.uint64(1)).view(np.int64))
+
+
 def grams(codes: np.ndarray, k: int) -> np.ndarray:
     """A code for each run of ``k`` words, at its first word; runs past the end are not returned."""
     if len(codes) < k:
