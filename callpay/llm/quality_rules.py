@@ -55,24 +55,39 @@ def _repeat_words(words: Column, n: Column) -> Column:
     return F.when(n >= WINDOW, let(windows, covered)).otherwise(0).cast("bigint")
 
 
+def _measured(text: Column) -> Column:
+    """All measures of a text as one struct, bound inside one expression.
+
+    An optimiser that moves a filter below the measuring then copies one expression, not parts
+    that would be evaluated again for every word.
+    """
+    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(BLANKS))) > 0)
+
+    def counted(words: Column) -> Column:
+        n = F.size(words)
+        return let(
+            _repeat_words(words, n),
+            lambda repeats: F.struct(
+                n.cast("bigint").alias("n_words"),
+                F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
+                (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+                let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+                repeats.alias("n_repeat_words"),
+                ((n < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * n)).alias("base_failed"),
+            ),
+        )
+
+    return let(split_words(text), counted)
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.withColumn("__words", split_words(F.col("text"))).withColumn("__n", F.size("__words"))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(BLANKS))) > 0)
-    rows = rows.withColumns(
-        {
-            "n_words": F.col("__n").cast("bigint"),
-            "word_chars": F.length(F.array_join("__words", "")).cast("bigint"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint"),
-            "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-            "n_repeat_words": _repeat_words(F.col("__words"), F.col("__n")),
-        }
-    ).drop("__words", "__n")
-    return rows.withColumn(
-        "base_failed",
-        (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")),
-    )
+    rows = docs.withColumn("__m", _measured(F.coalesce("text", F.lit(""))))
+    kept = [c for c in docs.columns if c not in MEASURES]
+    return rows.select(*kept, *[F.col(f"__m.{m}").alias(m) for m in MEASURES])
 
 
 def failures() -> dict[str, Column]:
@@ -114,14 +129,14 @@ def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
     return judged.withColumn("host_kept", kept).drop("__p")
 
 
-def judge(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataFrame:
-    """Measured documents plus ``kept``; ``hosts`` as :func:`host_verdicts` gives them, one row per host."""
+def judge(measured: DataFrame, hosts: DataFrame, host: str = "source", failed: str = "base_failed", out: str = "kept") -> DataFrame:
+    """Measured documents plus ``out``: passes the base rule, host not rejected. ``hosts`` as :func:`host_verdicts` gives them."""
     verdict = hosts.select(F.col("__host").alias("__b_host"), F.col("host_kept").alias("__host_kept"))
     joined = measured.withColumn("__host", named(host)).join(
         verdict, F.col("__host").eqNullSafe(F.col("__b_host")), "left"
     )
-    kept = ~F.col("base_failed") & F.coalesce("__host_kept", F.lit(True))
-    return joined.withColumn("kept", kept).drop("__host", "__b_host", "__host_kept")
+    kept = ~F.col(failed) & F.coalesce("__host_kept", F.lit(True))
+    return joined.withColumn(out, kept).drop("__host", "__b_host", "__host_kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -131,4 +146,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     shuffled or stored; the verdicts are stored, a few bytes per host, and joined by their size.
     """
     hosts = stored(host_verdicts(measures(docs.select("text", "source"))), "verdicts")
-    return judge(measures(docs), hosts).where("kept").select(*docs.columns)
+    texts = docs.withColumn("__bad", _measured(F.coalesce("text", F.lit("")))["base_failed"])
+    return judge(texts, hosts, failed="__bad", out="__kept").where("__kept").select(*docs.columns)
