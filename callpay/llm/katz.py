@@ -38,7 +38,7 @@ from callpay.llm.textcodes import NOT_BLANK, batches_of, mix, word_codes
 
 CUTOFF = 5
 KNOWN = 1 << 20
-BUCKET_TOKENS, BUCKETS_IN_TASK, CHUNK_TOKENS = 1 << 20, 6, 1 << 21
+BUCKET_TOKENS, BUCKETS_IN_TASK, CHUNK_TOKENS = 1 << 20, 6, 1 << 20
 HOT = 1 << 21
 END, START = np.uint64(0x5EED0FE4D), np.uint64(0x57A47)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
