@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callpay.llm.shared import bloom_bits, components, stored
-from callpay.llm.textcodes import NOT_BLANK, batches_of, bloom_has, grams, mix, word_codes
+from callpay.llm.shared import bloom_of_ids, components, drop_ids, stored
+from callpay.llm.textcodes import NOT_BLANK, batches_of, bloom_has, grams, id_codes, mix, word_codes
 
 SHINGLE, PERCENT = 4, 85
 COUNTER_BITS, RANGE_BITS = 16, 4
@@ -76,7 +76,7 @@ def needed(a, b):
 
 
 def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
-    """Per row: doc_id, its mixed code, set size n, two codes of the set, prefix in order, counts by hash range."""
+    """Per row: doc_id, set size n, two codes of the set, prefix in order, counts by hash range."""
     seen = counters.tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,27 +103,22 @@ def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
                 )
                 both = np.array(sums, np.uint64).view(np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), _id_codes(part), pa.array(sizes, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), prefix, spread],
-                    ["doc_id", "id_code", "n", "set_a", "set_b", "prefix", "ranges"],
+                    [part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), prefix, spread],
+                    ["doc_id", "n", "set_a", "set_b", "prefix", "ranges"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        cut, "doc_id bigint, id_code bigint, n int, set_a bigint, set_b bigint, prefix array<bigint>, ranges array<int>"
+        cut, "doc_id bigint, n int, set_a bigint, set_b bigint, prefix array<bigint>, ranges array<int>"
     )
 
 
-def _id_codes(part: pa.RecordBatch) -> pa.Array:
-    ids = np.asarray(part.column("doc_id").fill_null(0), np.int64).view(np.uint64)
-    return pa.array(mix(ids + np.uint64(1)).view(np.int64))
-
-
-def _whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(doc_id, whole set as sorted bytes) of at least the given documents, picked by a filter of fixed size."""
-    filled = bloom_bits(nodes, "id_code")
+def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, whole set as sorted bytes) of at least the documents named by ``ids``, picked by a filter of fixed size."""
+    filled = bloom_of_ids(ids)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = bloom_has(filled, np.asarray(_id_codes(batch)).view(np.uint64))
+            wanted = bloom_has(filled, np.asarray(id_codes(batch.column("doc_id"))).view(np.uint64))
             for part in batches_of(batch.filter(pa.array(wanted))):
                 codes, ends = _shingles(part)
                 sets = [np.unique(codes[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -143,12 +138,17 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, spread: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """Pairs (a, b) that pass the suffix filter and then the exact test, each tested once."""
+def _verified(pairs: DataFrame, spread: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """Pairs (a, b) that pass the suffix filter and then the exact test, each tested once.
+
+    Whole sets are made again from the texts, of the documents that are left in a pair.
+    """
     side = lambda c: spread.select(F.col("doc_id").alias(f"{c}_id"), F.col("n").alias(f"{c}_n"), F.col("ranges").alias(f"{c}_r"))
     sized = pairs.distinct().join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
     apart = F.aggregate(F.zip_with("a_r", "b_r", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, d: s + d)
     left = sized.where(apart <= F.col("a_n") + F.col("b_n") - 2 * needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
+    left = stored(left.distinct(), f"{name}-pairs")
+    sets = _whole_sets(docs, left.select("a").union(left.select("b")).distinct())
     members = lambda c, out: sets.select(F.col("doc_id").alias(f"{c}_id"), F.col("members").alias(out))
     whole = left.join(members("a", "x"), F.col("a") == F.col("a_id")).join(members("b", "y"), F.col("b") == F.col("b_id"))
     return stored(whole.select("a", "b", "x", "y").mapInArrow(_similar, "a bigint, b bigint").distinct(), name)
@@ -170,25 +170,24 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     )
     equal = (F.col("set_a") == F.col("f_set_a")) & (F.col("set_b") == F.col("f_set_b")) & (F.col("n") == F.col("f_n"))
     nodes = rows.join(firsts, equal & (F.col("doc_id") == F.col("node")))
-    places = nodes.select("doc_id", "id_code", "n", F.posexplode("prefix").alias("at", "shingle")).repartition("shingle")
+    places = nodes.select("doc_id", "n", F.posexplode("prefix").alias("at", "shingle")).repartition("shingle")
     lists = places.groupBy("shingle").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     lists = lists.where("members > 1").withColumnRenamed("shingle", "l_shingle")
     smallest = F.greatest(F.col("least"), F.ceil(PERCENT * F.col("n") / 100.0 - 1e-9))
     met = stored(
         places.join(lists, F.col("shingle") == F.col("l_shingle"))
         .where(F.col("n") - F.col("at") >= needed(F.col("n"), smallest))
-        .select("shingle", "doc_id", "id_code", "n", "at"),
+        .select("shingle", "doc_id", "n", "at"),
         "prefix-lists",
     )
     spread = rows.join(met.select(F.col("doc_id").alias("m_id")).distinct(), F.col("doc_id") == F.col("m_id")).select("doc_id", "n", "ranges")
     spread = stored(spread.distinct(), "ranges")
-    sets = _whole_sets(docs, met)
 
     center = met.groupBy("shingle").agg(F.min(F.struct("at", "n", "doc_id")).alias("c"))
     center = center.select(F.col("shingle").alias("c_shingle"), F.col("c.at").alias("to"), F.col("c.n").alias("m"), F.col("c.doc_id").alias("center"))
     near = met.join(center, F.col("shingle") == F.col("c_shingle")).where(F.col("doc_id") != F.col("center"))
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    first = _verified(near.where(_may_link("n", "at", "m", "to")).select(*ordered("doc_id", "center")), spread, sets, "links-center")
+    first = _verified(near.where(_may_link("n", "at", "m", "to")).select(*ordered("doc_id", "center")), spread, docs, "links-center")
 
     groups = components(first, "groups-center")
     member = groups.select(F.col("node").alias("g_node"), F.col("component").alias("g"))
@@ -207,7 +206,7 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     across = open_lists.join(
         outside, (F.col("shingle") == F.col("o_shingle")) & (F.col("g") != F.col("o_g")) & once & _may_link("n", "at", "m", "to")
     )
-    second = _verified(across.select(*ordered("doc_id", "o_id")), spread, sets, "links-across")
+    second = _verified(across.select(*ordered("doc_id", "o_id")), spread, docs, "links-across")
     final = components(first.unionByName(second), "groups")
 
     joined = firsts.join(final.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")
@@ -221,6 +220,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ids = stored(similarity_groups(docs), "similar")
     once = ids.groupBy("doc_id").agg(F.count("*").alias("copies"), F.min(F.col("doc_id") == F.col("component_id")).alias("first"))
     odd = stored(once.where("not first or copies > 1").select(F.col("doc_id").alias("__odd"), "first"), "not-first")
-    plain = docs.join(odd, F.col("doc_id") == F.col("__odd"), "left_anti")
-    repeated = docs.join(odd.where("first"), F.col("doc_id") == F.col("__odd"), "left_semi").dropDuplicates(["doc_id"])
+    plain = drop_ids(docs, odd.select("__odd"))
+    # rows that share an id and are their group's first: few, one of them stays
+    again = stored(odd.where("first").select("__odd"), "repeated")
+    repeated = docs.join(again, F.col("doc_id").eqNullSafe(F.col("__odd")), "left_semi").dropDuplicates(["doc_id"])
     return plain.unionByName(repeated)
