@@ -69,14 +69,18 @@ def _scan_whole_keys(events, points, by, event_ts, fold) -> DataFrame:
     )
 
 
-def _scan_by_minute(events, points, by, event_ts, fold, merge) -> DataFrame:
-    """The route of hot keys: no group larger than the instants of one minute."""
+def _scan_by_minute(events, points, by, event_ts, fold, merge, at_instant, value) -> DataFrame:
+    """The route of hot keys: no group larger than the instants of one minute.
+
+    ``at_instant`` combines the points of one instant in plain numbers, a hash aggregate; ``value`` makes of
+    them what ``fold`` takes.
+    """
     instants = (
-        points.select(*by, "_at", "_value")
+        points.drop("_value")
         .unionByName(events.select(*by, F.col(event_ts).alias("_at")), allowMissingColumns=True)
         .groupBy(*by, "_at")
-        .agg(fold(F.col("_value")).alias("_value"))
-        .withColumn("_minute", minute_number("_at"))
+        .agg(*at_instant)
+        .withColumns({"_value": value, "_minute": minute_number("_at")})
     )
     in_minute = (
         Window.partitionBy(*by, "_minute")
@@ -106,8 +110,10 @@ def _running(
     fold: Callable[[Column], Column],
     merge: Callable[[Column, Column], Column],
     hot_rows: int,
+    at_instant: Sequence[Column],
+    value: Column,
 ) -> DataFrame:
-    """``events`` plus ``_run``, the fold of ``points`` (key, _at, _value) up to each event."""
+    """``events`` plus ``_run``, the fold of ``points`` (key, _at, _value, and a number) up to each event."""
     points = require(points, *by, "_at")
     hot = _hot_keys(events, points, by, hot_rows)
     if hot is None:
@@ -119,7 +125,7 @@ def _running(
     )
     sliced = _scan_by_minute(
         join_keys(events, hot, by, "left_semi", extra=timed), join_keys(points, hot, by, "left_semi"),
-        by, event_ts, fold, merge,
+        by, event_ts, fold, merge, at_instant, value,
     )
     return ordinary.unionByName(sliced)
 
@@ -145,9 +151,15 @@ def attribute_nearest(
     points = anchors.select(
         *by,
         F.col(anchor_ts).alias("_at"),
+        F.col(anchor_id).alias("_id"),
         F.struct(F.col(anchor_ts).alias("at"), F.col(anchor_id).alias("id")).alias("_value"),
     )
-    run = _running(events, points, by, event_ts, F.max, lambda here, carry: F.coalesce(here, carry), hot_rows)
+    latest = [F.max("_id").alias("_id"), F.count("_point").alias("_points")]
+    value = F.when(F.col("_points") > 0, F.struct(F.col("_at").alias("at"), F.col("_id").alias("id")))
+    run = _running(
+        events, points.withColumn("_point", F.lit(1)), by, event_ts, F.max,
+        lambda here, carry: F.coalesce(here, carry), hot_rows, latest, value,
+    ).drop("_id", "_point")
     in_window = F.col("_run.at") > F.col(event_ts) - days(within_days)
     return run.withColumn(out, F.when(in_window, F.col("_run.id"))).drop("_run")
 
@@ -172,9 +184,10 @@ def count_in_window(
     closes = anchors.select(
         *by, (F.col(anchor_ts) + days(within_days)).alias("_at"), F.lit(-1).cast("bigint").alias("_value")
     )
+    steps = opens.unionAll(closes).withColumn("_step", F.col("_value"))
     run = _running(
-        events, opens.unionAll(closes), by, event_ts, F.sum,
+        events, steps, by, event_ts, F.sum,
         lambda here, carry: F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0)),
-        hot_rows,
+        hot_rows, [F.sum("_step").alias("_step")], F.col("_step"),
     )
     return run.withColumn(out, F.coalesce(F.col("_run"), F.lit(0)).cast("bigint")).drop("_run")

@@ -183,15 +183,24 @@ def freshness(
     now: datetime | None = None,
     deadline_hour: int = 6,
     allowance: timedelta = timedelta(hours=2),
+    targets: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per source: was it loaded no earlier than the allowance before the last deadline?"""
+    """One row per source: was it loaded no earlier than the allowance before the last deadline?
+
+    Every one of ``targets`` gets a row; one that never loaded fails.
+    """
     due = last_deadline(clock(now), deadline_hour) - F.make_dt_interval(
         secs=F.lit(allowance.total_seconds()).cast("decimal(18,6)")
     )
     late = F.when(F.coalesce(F.col("_last") >= due, F.lit(False)), 0).otherwise(1)
+    seen = loads.select(F.col(name).alias("_name"), F.col(loaded_at).alias("_at"))
+    if targets:
+        listed = F.explode(F.array(*[F.lit(t) for t in targets])).alias("_name")
+        expected = loads.sparkSession.range(1).select(listed, F.lit(None).cast("timestamp_ntz").alias("_at"))
+        seen = seen.unionByName(expected)
     return (
-        loads.groupBy(F.col(name).alias("_name"))
-        .agg(F.max(loaded_at).alias("_last"))
+        seen.groupBy("_name")
+        .agg(F.max("_at").alias("_last"))
         .select(*_result(F.lit("freshness"), F.col("_name"), F.lit(ERROR), late))
     )
 

@@ -30,10 +30,14 @@ def rates_from_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), FX_SCHEMA)
 
 
+def _payment_days(payments: DataFrame, ts: str | Column) -> DataFrame:
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return payments.select(F.to_date(ts).alias("rate_date")).where("rate_date IS NOT NULL").distinct()
+
+
 def needed_dates(payments: DataFrame, ts: str | Column = "paid_at_utc") -> DataFrame:
     """Distinct calendar days on which a payment was made, in order."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return payments.select(F.to_date(ts).alias("rate_date")).where("rate_date IS NOT NULL").distinct().orderBy("rate_date")
+    return _payment_days(payments, ts).orderBy("rate_date")
 
 
 def missing_rates(
@@ -46,7 +50,7 @@ def missing_rates(
 
     The currencies are a short literal list, so they are exploded, not cross joined.
     """
-    wanted = needed_dates(payments, ts).select(
+    wanted = _payment_days(payments, ts).select(
         "rate_date", F.explode(F.array(*[F.lit(c) for c in currencies])).alias("currency")
     )
     return wanted.join(cached.select("rate_date", "currency"), ["rate_date", "currency"], "left_anti")

@@ -9,17 +9,6 @@ from pyspark.sql import functions as F
 
 from callpay.operators.keys import join_keys, join_per_key
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` stays within ``max_rows``.
-
-    The count stops at ``max_rows + 1``. A larger side is returned as it is and
-    joined by shuffle, where adaptive execution splits skewed keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def bridge_market(df: DataFrame, seed: DataFrame, on: str, wanted: Sequence[str]) -> DataFrame:
     """Left join to the four-row market seed; an unknown id gives a NULL market."""
@@ -27,7 +16,10 @@ def bridge_market(df: DataFrame, seed: DataFrame, on: str, wanted: Sequence[str]
 
 
 def lookup_rate(df: DataFrame, fx: DataFrame, currency: str, ts: str) -> DataFrame:
-    """Attach the rate of the row's own currency and day, or NULL."""
+    """Attach the rate of the row's own currency and day, or NULL.
+
+    No hint: adaptive execution broadcasts the rates if they turn out small.
+    """
     keys = ["_fx_currency", "_fx_date"]
     rates = fx.select(
         F.col("currency_code").alias("_fx_currency"),
@@ -36,7 +28,7 @@ def lookup_rate(df: DataFrame, fx: DataFrame, currency: str, ts: str) -> DataFra
         F.col("rate_is_estimated").alias("fx_rate_is_estimated"),
     )
     dated = df.withColumns({"_fx_currency": F.col(currency), "_fx_date": F.to_date(F.col(ts))})
-    return join_per_key(dated, broadcast_checked(rates), keys).drop(*keys)
+    return join_per_key(dated, rates, keys).drop(*keys)
 
 
 def full_join_on(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,11 +165,25 @@ def top_label(df: DataFrame, label: str, value: str = "call_count") -> DataFrame
 
 
 def default_drill(df: DataFrame) -> DataFrame:
-    """The path opened first: the top label of each level within the one above, one row per level."""
+    """The path opened first: the top label of each level within the one above, one row per level.
+
+    One grouping by all levels; sums of the upper levels are running totals over its few rows, and the
+    smallest (-sum, label) of the levels in turn is the path. An unlabelled level opens nothing below it.
+    """
     levels = ["level_one", "level_two", "level_three"]
-    steps = []
-    for depth, level in enumerate(levels, start=1):
-        best = top_label(df, level)
-        steps.append(best.select(F.lit(depth).cast("bigint").alias("depth"), F.col(level).alias("label"), "call_count"))
-        df = only(df, level, best.select(level).scalar())
-    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+    sums = df.groupBy(*levels).agg(F.sum("call_count").alias("n3"))
+    for depth in (2, 1):
+        sums = sums.withColumn(f"n{depth}", F.sum("n3").over(Window.partitionBy(*levels[:depth])))
+    steps = [F.struct((-F.col(f"n{d}")).alias("down"), F.col(level).alias("label")) for d, level in enumerate(levels, 1)]
+    path = sums.agg(F.min(F.struct(*[s.alias(f"s{d}") for d, s in enumerate(steps, 1)])).alias("p"))
+    rows = F.explode(F.array(*[F.struct(F.lit(d).cast("bigint").alias("depth"), F.col(f"p.s{d}").alias("s")) for d in (1, 2, 3)]))
+    opened = (
+        (F.col("r.depth") == 1)
+        | (F.col("p.s1.label").isNotNull() & ((F.col("r.depth") == 2) | F.col("p.s2.label").isNotNull()))
+    )
+    return (
+        path.where("p IS NOT NULL")
+        .select("p", rows.alias("r"))
+        .where(opened)
+        .select("r.depth", F.col("r.s.label").alias("label"), (-F.col("r.s.down")).alias("call_count"))
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -17,7 +18,7 @@ from callpay.plans.intermediate import attribute_payments, code_calls, summarise
 from callpay.plans.staging import stage_agents, stage_calls, stage_dispositions, stage_fx, stage_payments
 from callpay.sources.contracts import SOURCES, country_seed
 from callpay.sources.landing import load_extracts, read_manifest, read_raw
-from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, record_run, store_rates
+from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, read_runs, record_run, store_rates
 
 
 class ChecksFailed(RuntimeError):
@@ -81,11 +82,11 @@ def run_pipeline(
 
     Staged tables are stored typed and columnar because several models read
     them; each later model is stored once and read back by its consumers. Every
-    run rebuilds into a folder of its own, so readers of the last run are not
-    disturbed and a failed run leaves it standing.
+    run, also a second one for the same clock, rebuilds into a folder of its own, so
+    readers of the last run are not disturbed and a failed run leaves it standing.
     """
     now = cfg.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-    run_id = now.strftime("%Y%m%dT%H%M%S")
+    run_id = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
     raw_root, model_root = f"{root}/raw", f"{root}/models/{run_id}"
     result = RunResult(loads=load_extracts(spark, input_dir, raw_root, loaded_at=now), fx=None)
     raw = {name: read_raw(spark, raw_root, c) for name, c in SOURCES.items()}
@@ -134,11 +135,12 @@ def run_pipeline(
     loads = read_manifest(spark, raw_root).select("source_name", "loaded_at").unionByName(
         fx_raw.select(F.lit("fx_rates").alias("source_name"), F.col("fetched_at").alias("loaded_at"))
     )
-    marts_built = [n for n in tables if n.startswith(("fct_", "agg_"))]
-    builds = spark.range(1).select(
-        F.explode(F.array(*[F.lit(n) for n in marts_built])).alias("source_name"), clock(now).alias("loaded_at")
+    record_run(spark, root, run_id, model_root, now)
+    # marts are as fresh as the last run that published them, seen from the run's own clock
+    published = read_runs(spark, root).where(F.col("as_of") <= clock(now))
+    builds = published.select(
+        F.explode(F.array(*[F.lit(n) for n in quality.MART_TARGETS])).alias("source_name"), F.col("as_of").alias("loaded_at")
     )
     record("freshness", [quality.freshness_checks(loads, builds, now)])
     result.checks = run_suite(checks)
-    record_run(spark, root, run_id, model_root)
     return result

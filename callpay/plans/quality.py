@@ -33,10 +33,14 @@ RAW_KEYS = {
     "payments": "_payment_row_key",
     "agent_mapping": "ameyo_user_id",
 }
+# What has to be fresh every day, how late it may be, and the daily deadline.
+RAW_TARGETS = (*RAW_KEYS, "fx_rates")
+MART_TARGETS = ("fct_coding_rate", "fct_paid_post_call", "fct_inbound_call_drivers", "agg_daily_summary")
 RAW_ALLOWANCE = timedelta(hours=2)
 MART_ALLOWANCE = timedelta(hours=3)
 DEADLINE_HOUR = 6
 
+# The declared checks of the models.
 UNIQUE = {
     "country_code_mapping": ["country_name", "ameyo_contact_center_id", "atlas_tenant_id"],
     "stg_ameyo__calls": ["call_id"],
@@ -111,9 +115,9 @@ def raw_checks(raw: dict[str, DataFrame], payments: DataFrame, fx: DataFrame) ->
 
 
 def freshness_checks(loads: DataFrame, builds: DataFrame, now: datetime | None = None) -> DataFrame:
-    """``loads`` and ``builds``: (source_name, loaded_at) of raw sources and of marts."""
-    raw = freshness(loads, now=now, deadline_hour=DEADLINE_HOUR, allowance=RAW_ALLOWANCE)
-    marts = freshness(builds, now=now, deadline_hour=DEADLINE_HOUR, allowance=MART_ALLOWANCE)
+    """``loads`` and ``builds``: (source_name, loaded_at) of raw sources and of published marts."""
+    raw = freshness(loads, now=now, deadline_hour=DEADLINE_HOUR, allowance=RAW_ALLOWANCE, targets=RAW_TARGETS)
+    marts = freshness(builds, now=now, deadline_hour=DEADLINE_HOUR, allowance=MART_ALLOWANCE, targets=MART_TARGETS)
     return raw.unionByName(marts)
 
 

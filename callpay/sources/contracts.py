@@ -27,6 +27,7 @@ AGENT_COLUMNS = ("contact_centre", "ameyo_user_id", "team", "atlas_user_name")
 # A payment is identified by everything it says; the short form is the
 # three-column identity that also collapses payments differing in amount.
 PAYMENT_KEY = PAYMENT_COLUMNS
+# Fixed value: the columns of the short form.
 PAYMENT_KEY_SHORT = ("tenant_id", "contract_id", "pay_timestamp_utc")
 
 # Markets, their two numbering schemes, UTC offset and currency.
@@ -39,6 +40,7 @@ MARKETS = (
 MARKET_ORDER = tuple(m[0] for m in MARKETS)
 CURRENCIES = tuple(m[4] for m in MARKETS)
 
+# Columns of the load manifest (but for the load id) and of the rate table.
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("source_name", T.StringType()),
@@ -48,6 +50,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("row_count", T.LongType()),
         T.StructField("rejected_count", T.LongType()),
         T.StructField("landed_path", T.StringType()),
+        T.StructField("load_id", T.StringType()),
     ]
 )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,6 @@ from callpay.sources.contracts import SourceContract
 _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
 COMPLETE_LINE = rf"\A\x{{FEFF}}?{_FIELD}(?:,{_FIELD})*+\z"
 
-# Files up to this size are hashed whole (SHA-256 of the bytes).
-WHOLE_FILE_BYTES = 128 * 1024 * 1024
-
 _FILE_COLUMNS = ("uri", "path", "file_name", "length")
 
 
@@ -56,8 +53,7 @@ def profile_lines(spark: SparkSession, paths: Sequence[str], columns: Sequence[s
 
     - ``header_ok``: the first line names exactly ``columns``, in order;
     - ``broken_lines``: lines that are not complete records (a quoted newline somewhere);
-    - ``blank_lines``;
-    - ``fingerprint``: of all lines, independent of how the file was split.
+    - ``blank_lines``.
 
     Only numbers are aggregated, so this is a hash aggregate that leaves one row
     per file and task, whatever the size of the file. Line numbers grow within
@@ -72,41 +68,44 @@ def profile_lines(spark: SparkSession, paths: Sequence[str], columns: Sequence[s
     at_start = F.when(F.col("block") == 0, F.col("seq"))
     named = header_fields(F.col("value")) == F.array(*[F.lit(c) for c in columns]).cast("array<string>")
     first_named = F.when((F.col("block") == 0) & named, F.col("seq"))
-    wide = "decimal(20,0)"
     return lines.groupBy("uri").agg(
         F.coalesce(F.min(at_start) == F.min(first_named), F.lit(False)).alias("header_ok"),
         F.count_if(~F.col("value").rlike(COMPLETE_LINE)).alias("broken_lines"),
         F.count_if(F.trim("value") == "").alias("blank_lines"),
-        F.sha2(
-            F.concat_ws(
-                ":",
-                F.count(F.lit(1)).cast("string"),
-                F.sum(F.xxhash64("value").cast(wide)).cast("string"),
-                F.sum(F.xxhash64(F.lit("callpay"), F.col("value")).cast(wide)).cast("string"),
-            ),
-            256,
-        ).alias("fingerprint"),
     )
 
 
-def file_hashes(
-    spark: SparkSession, paths: Sequence[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(uri, file_hash) per file.
+def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(uri, file_hash) per file, by one rule for files of any size, read in splits.
 
-    Files up to the limit get the SHA-256 of their bytes. A larger one would
-    have to pass through a single task as one value, so it gets the fingerprint
-    of its lines instead, marked by a prefix.
+    The hash covers every line with its number, so that other lines or the same ones in another order give
+    another hash, and it does not depend on how the file was split: lines are numbered within their
+    block, blocks follow each other by the counts of those before. Line ends count as far as
+    they are not a plain newline. Spark passes over empty files, here as in every read.
     """
-    files = spark.read.format("binaryFile").load(list(paths))
-    whole = files.where(F.col("length") <= whole_file_bytes).select(
-        F.col("_metadata.file_path").alias("uri"), F.sha2("content", 256).alias("file_hash")
+    lines = (
+        spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(list(paths)).select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("seq"),
+            "value",
+        )
     )
-    large = [r.path for r in files.where(F.col("length") > whole_file_bytes).select("path").collect()]
-    if not large:
-        return whole
-    by_line = profile_lines(spark, large).select("uri", F.concat(F.lit("lines-"), "fingerprint").alias("file_hash"))
-    return whole.unionByName(by_line)
+    blocks = lines.groupBy("uri", "block").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
+    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blocks = blocks.select(
+        F.col("uri").alias("b_uri"), F.col("block").alias("b_block"), "first", (F.sum("n").over(before) - F.col("n")).alias("before")
+    )
+    numbered = lines.join(blocks, (F.col("uri") == F.col("b_uri")) & (F.col("block") == F.col("b_block")))
+    at = F.col("before") + F.col("seq") - F.col("first")
+    coded = numbered.select("uri", F.sha2(F.concat_ws(":", at.cast("string"), "value"), 256).alias("h"))
+
+    def total(start: int) -> Column:
+        number = F.conv(F.substring("h", start, 15), 16, 10).cast("decimal(20,0)")
+        return F.sum(number).cast("string")
+
+    sums = coded.groupBy("uri").agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), total(1), total(16)).alias("sums"))
+    return sums.select("uri", F.sha2("sums", 256).alias("file_hash"))
 
 
 def check_headers(profile: Sequence[Row], uris: Sequence[str], contract: SourceContract) -> None:
@@ -178,14 +177,27 @@ def split_rejects(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, rejects
 
 
-def blank_line_rejects(spark: SparkSession, paths: Sequence[str], contract: SourceContract) -> DataFrame:
-    """Lines with nothing or only spaces on them, which the CSV reader passes over."""
+def blank_line_rejects(spark: SparkSession, paths: Sequence[str], contract: SourceContract, multiline: bool) -> DataFrame:
+    """Lines with nothing or only spaces on them, which the CSV reader passes over.
+
+    In files with quoted newlines (``multiline``, read by one task each as they are) a line is empty only
+    outside quotes, where the quotes before it are even in number; lines of spaces are records there.
+    """
     lines = spark.read.text(list(paths)).select(
         source_file().alias("_source_file"),
         F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_seq"),
         F.col("value").alias("raw_line"),
     )
+    if multiline:
+        before = Window.partitionBy("uri").orderBy("_block", "_seq").rowsBetween(Window.unboundedPreceding, -1)
+        quotes = F.length("raw_line") - F.length(F.replace("raw_line", F.lit('"')))
+        open_quotes = F.coalesce(F.sum(quotes).over(before), F.lit(0)) % 2
+        blank = lines.withColumn("_open", open_quotes).where((F.col("raw_line") == "") & (F.col("_open") == 0)).drop("_open")
+    else:
+        blank = lines.where(F.trim("raw_line") == "")
     got = F.when(F.col("raw_line") == "", 0).otherwise(1)
-    return lines.where(F.trim("raw_line") == "").withColumns(
+    return blank.drop("_block", "_seq").withColumns(
         {"reason": _reason(len(contract.columns), got), "kind": F.lit("rejected")}
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime, timezone
 from functools import reduce
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
-from callpay.operators.joins import broadcast_checked
 from callpay.operators.keys import join_per_key
 from callpay.sources.contracts import MANIFEST_SCHEMA, SOURCES, SourceContract
 from callpay.sources.extracts import (
@@ -30,7 +30,7 @@ from callpay.sources.tables import read_or_empty
 NOT_FOUND = "file_not_found"
 UNCHANGED = "unchanged_since_last_run"
 
-_LANDING_KEYS = ["kind", "load_date", "file_hash"]
+_LANDING_KEYS = ["kind", "load_id"]
 
 
 def manifest_path(root: str) -> str:
@@ -74,19 +74,17 @@ def land_schema(contract: SourceContract) -> T.StructType:
     return T.StructType(
         [T.StructField(c, T.StringType()) for c in [*text, "_source_file"]]
         + [T.StructField("_ingested_at", T.TimestampNTZType())]
-        + [T.StructField(c, T.StringType()) for c in ("raw_line", "reason", "kind")]
-        + [T.StructField("load_date", T.DateType()), T.StructField("file_hash", T.StringType())]
+        + [T.StructField(c, T.StringType()) for c in ("raw_line", "reason", "file_hash", "kind", "load_id")]
     )
 
 
 def land(
-    spark: SparkSession, contract: SourceContract, files: list, root: str, loaded_at: datetime
+    spark: SparkSession, contract: SourceContract, files: list, root: str, loaded_at: datetime, load_id: str
 ) -> DataFrame:
-    """Parse the given files once and append their valid and rejected rows.
+    """Parse the given files once and append their valid and rejected rows under kind / load_id.
 
-    Rows land under kind / load_date / file_hash. Only partitions of these very
-    files are overwritten, so a run repeated after a crash does not add rows twice.
-    Returns the landed rows of these files.
+    Readers see only loads that the manifest names, so what a crashed run left behind is never
+    read, whenever it is repeated. Returns the rows of this load.
     """
     paths = [f.path for f in files]
     profile = profile_lines(spark, paths, contract.columns).collect()
@@ -95,39 +93,35 @@ def land(
     blank_uris = {r.uri for r in profile if r.blank_lines}
     whole = [f.path for f in files if f.uri in whole_uris]
     split = [f.path for f in files if f.uri not in whole_uris]
-    blank = [f.path for f in files if f.uri in blank_uris - whole_uris]
+    blank = [([f.path for f in files if f.uri in uris], many) for uris, many in ((blank_uris - whole_uris, False), (blank_uris & whole_uris, True))]
 
     parts = [
         classify(read_extract(spark, group, contract, multiline), contract)
         for group, multiline in ((whole, True), (split, False))
         if group
     ]
-    if blank:
-        parts.append(blank_line_rejects(spark, blank, contract))
+    parts += [blank_line_rejects(spark, paths, contract, many) for paths, many in blank if paths]
 
     hashes = spark.createDataFrame([(f.uri, f.file_hash) for f in files], "uri string, file_hash string")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     schema = land_schema(contract)
     target = f"{root}/{contract.name}"
     (
-        rows.join(broadcast_checked(hashes), "uri")
-        .withColumns({"_ingested_at": clock(loaded_at), "load_date": F.lit(loaded_at.date())})
+        rows.join(hashes, "uri")
+        .withColumns({"_ingested_at": clock(loaded_at), "load_id": F.lit(load_id)})
         .select(*schema.names)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
         .partitionBy(*_LANDING_KEYS)
         .parquet(target)
     )
-    landed = spark.read.schema(schema).parquet(target)
-    return landed.where(F.col("load_date") == F.lit(loaded_at.date())).join(
-        broadcast_checked(hashes.select("file_hash").distinct()), "file_hash", "left_semi"
-    )
+    return spark.read.schema(schema).parquet(target).where(F.col("load_id") == load_id)
 
 
 def read_landed(spark: SparkSession, root: str, contract: SourceContract) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows ever landed for a source; empty before the first load."""
+    """(valid, rejected) rows of all committed loads of a source; empty before the first load."""
     landed = read_or_empty(spark, f"{root}/{contract.name}", land_schema(contract))
-    return split_rejects(landed.drop("load_date", "file_hash"))
+    committed = read_manifest(spark, root).where(F.col("source_name") == contract.name).select("load_id").distinct()
+    return split_rejects(landed.join(committed, "load_id", "left_semi").drop("load_id", "file_hash"))
 
 
 def read_raw(spark: SparkSession, root: str, contract: SourceContract) -> DataFrame:
@@ -168,6 +162,7 @@ def load_extracts(
     The driver handles file names and hashes only, never rows.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    load_id = uuid.uuid4().hex
     contracts = [SOURCES[n] for n in only] if only is not None else list(SOURCES.values())
     files = find_files(spark, input_dir, [c.file_name for c in contracts])
     paths = [r.path for r in files.select("path").collect()]
@@ -182,7 +177,7 @@ def load_extracts(
         todo = [r for r in plan_rows if r.source_name == contract.name and r.reason is None]
         if not todo:
             continue
-        landed = land(spark, contract, todo, root, loaded_at)
+        landed = land(spark, contract, todo, root, loaded_at, load_id)
         counted = landed.groupBy("file_hash").agg(
             F.count_if(F.col("kind") == "valid").alias("row_count"),
             F.count_if(F.col("kind") == "rejected").alias("rejected_count"),
@@ -195,11 +190,12 @@ def load_extracts(
                 {
                     "loaded_at": clock(loaded_at),
                     "landed_path": F.lit(f"{root}/{contract.name}"),
+                    "load_id": F.lit(load_id),
                     "row_count": F.coalesce("row_count", F.lit(0)),
                     "rejected_count": F.coalesce("rejected_count", F.lit(0)),
                 }
             )
         )
         record_loads(manifest_path(root), records)
-    this_run = read_manifest(spark, root).where(F.col("loaded_at") == clock(loaded_at))
+    this_run = read_manifest(spark, root).where(F.col("load_id") == load_id)
     return load_summary(plan, this_run)

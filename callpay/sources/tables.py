@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,27 +31,41 @@ def materialize(df: DataFrame, name: str, kind: str, root: str | None = None) ->
     if kind != "table":
         raise ValueError(f"unknown kind {kind!r}, expected 'view' or 'table'")
     path = f"{root}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.createOrReplaceTempView(name)
     return stored
 
 
 RUNS_SCHEMA = T.StructType(
-    [T.StructField("run_id", T.StringType()), T.StructField("path", T.StringType())]
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("as_of", T.TimestampNTZType()),
+        T.StructField("sequence", T.LongType()),
+        T.StructField("published_at", T.TimestampNTZType()),
+    ]
 )
 
 
-def record_run(spark: SparkSession, root: str, run_id: str, path: str) -> None:
-    """Publish a finished run: from now on it is the one consumers read."""
-    spark.createDataFrame([(run_id, path)], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/runs")
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Published runs; the largest ``sequence`` is the last one published, whatever clock it ran for."""
+    return read_or_empty(spark, f"{root}/runs", RUNS_SCHEMA)
+
+
+def record_run(spark: SparkSession, root: str, run_id: str, path: str, as_of: datetime) -> None:
+    """Publish a finished run: from now on it is the one consumers read. Runs of one root publish one by one."""
+    last = read_runs(spark, root).agg(F.max("sequence").alias("n")).first().n or 0
+    published = datetime.now(timezone.utc).replace(tzinfo=None)
+    row = spark.createDataFrame([(run_id, path, as_of, last + 1, published)], RUNS_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/runs")
 
 
 def read_mart(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
     """A whole mart: from the session's views, or of the latest published run below ``root``."""
     if root is None:
         return spark.table(name)
-    latest = read_or_empty(spark, f"{root}/runs", RUNS_SCHEMA).agg(F.max(F.struct("run_id", "path")).alias("r")).first().r
+    latest = read_runs(spark, root).agg(F.max(F.struct("sequence", "path")).alias("r")).first().r
     if latest is None:
         raise LookupError(f"no run was published below {root}")
     return spark.read.parquet(f"{latest.path}/{name}")

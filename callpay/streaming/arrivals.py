@@ -6,7 +6,7 @@ Each run takes what has arrived since its checkpoint and stops
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +15,20 @@ from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
 from callpay.operators.asof import HOT_ROWS, attribute_nearest
+from callpay.operators.keys import join_keys
 from callpay.sources.contracts import SourceContract
 from callpay.sources.extracts import source_file
+from callpay.sources.tables import read_or_empty
 
 
-def stream_table(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    """New Parquet files below a folder, or matching a glob, as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+#: Bytes of new files that one micro-batch takes.
+BATCH_BYTES = 64 << 30
+
+
+def stream_table(spark: SparkSession, schema: T.StructType, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """New Parquet files below a folder, or matching a glob, as a stream of batches of limited size."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    return reader.option("maxBytesPerTrigger", batch_bytes).parquet(path)
 
 
 def stream_extract(spark: SparkSession, folder: str, contract: SourceContract) -> DataFrame:
@@ -52,15 +59,33 @@ def land_stream(stream: DataFrame, out: str, checkpoint: str, partition_by: Sequ
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_ts: str, delay: str = "3 days") -> DataFrame:
-    """Drop copies that arrive within ``delay`` of the first; state is bounded by the watermark."""
-    zoned = stream.withColumn("_event_time", F.col(event_ts).cast("timestamp"))
-    return zoned.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+def land_new(stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str) -> DataFrame:
+    """Land the first row of each key, however late a copy or the first row arrives.
+
+    The landed keys are the state: every micro-batch keeps one row per key and drops the keys of
+    earlier batches, so nothing hangs on a watermark and a row never seen before always lands. A
+    batch has a folder of its own, which a repeated batch replaces.
+    """
+    spark, schema = stream.sparkSession, T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        landed = read_or_empty(spark, out, schema).where(F.col("batch_id") < batch_id).select(*keys)
+        fresh = join_keys(batch.dropDuplicates(list(keys)), landed, keys, "left_anti", null_safe=True)
+        fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    (
+        stream.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return read_or_empty(spark, out, schema).drop("batch_id")
 
 
 def attribute_stream(
     payments: DataFrame,
-    dispositions: DataFrame,
+    dispositions: Callable[[], DataFrame],
     out: str,
     checkpoint: str,
     *,
@@ -70,18 +95,18 @@ def attribute_stream(
 ) -> DataFrame:
     """Attribute payments as they arrive against the dispositions landed so far.
 
-    Each micro-batch reads only the dispositions its own window can reach and
+    ``dispositions`` is called for every micro-batch, which so sees what has landed until
+    then. A batch reads only the dispositions its own window can reach and
     writes a folder of its own, so a repeated batch replaces itself. A call that
     lands later than the payments it precedes changes nothing already written;
     the daily batch run settles such rows.
     """
 
     def attribute(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
         span = batch.agg(F.min("paid_at_utc").alias("first"), F.max("paid_at_utc").alias("last")).first()
-        reachable = dispositions
+        reachable = dispositions()
         if span["first"] is not None:
-            reachable = dispositions.where(
+            reachable = reachable.where(
                 (F.col("disposed_at_utc") > clock(span["first"] - timedelta(days=window_days)))
                 & (F.col("disposed_at_utc") <= clock(span["last"]))
             )
@@ -89,7 +114,6 @@ def attribute_stream(
             batch, reachable, by=list(by), event_ts="paid_at_utc", anchor_ts="disposed_at_utc",
             anchor_id="call_log_id", within_days=window_days, out="attributed_call_log_id", hot_rows=hot_rows,
         ).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        batch.unpersist()
 
     (
         payments.writeStream.foreachBatch(attribute)

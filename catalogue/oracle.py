@@ -181,7 +181,7 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "resolved": (
         """WITH pairs AS (SELECT DISTINCT CAST(ts AS DATE) AS rate_date, currency_code AS currency
                           FROM events, seed WHERE event_type = 'purchase'),
-             hist AS (SELECT * FROM fx WHERE NOT rate_is_estimated AND currency_code <> 'TZS'),
+             hist AS (SELECT * FROM fx),
              late AS (SELECT currency_code, max(usd_to_local_rate) AS rate FROM fx GROUP BY 1)
            SELECT p.rate_date, p.currency,
              CASE WHEN p.rate_date IN (SELECT rate_date FROM hist) THEN h.usd_to_local_rate ELSE l.rate END AS usd_to_local_rate,
@@ -240,7 +240,6 @@ _WINDOW_COUNT = """SELECT p.payment_row_key, p.contract_id, p.paid_at_utc, count
     AND d.disposed_at_utc > p.paid_at_utc - INTERVAL 3 DAY
   GROUP BY ALL"""
 _SLICE = "IN (DATE '2024-01-08', DATE '2024-01-09', DATE '2024-01-15')"
-_LOADED = "events WHERE event_type <> 'view' OR ts < TIMESTAMP '2024-01-28 03:00:00'"
 
 ORACLE: dict[str, str] = {
     "clean_and_type_strings": """SELECT c_custkey AS custkey,
@@ -425,7 +424,7 @@ ORACLE: dict[str, str] = {
     "fx_resolve": _sql("SELECT * FROM resolved", "resolved"),
     "fx_run_summary": _sql(
         """, need AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase'),
-           hist AS (SELECT rate_date, currency_code FROM fx WHERE NOT rate_is_estimated AND currency_code <> 'TZS')
+           hist AS (SELECT rate_date, currency_code FROM fx)
            SELECT CASE WHEN (SELECT count(*) FROM need WHERE d NOT IN (SELECT rate_date FROM hist)) = 0
                        THEN 'ok' ELSE 'partial_failure' END AS status,
              (SELECT count(*) FROM hist) AS rows_upserted, (SELECT count(*) FROM need) AS dates_needed,
@@ -453,7 +452,7 @@ ORACLE: dict[str, str] = {
     ),
     "check_relationships": _check(
         "relationships", "l_partkey", "count(*)",
-        "lineitem WHERE l_returnflag <> 'N' AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)",
+        "lineitem WHERE l_returnflag <> 'N' AND l_partkey NOT IN (SELECT s_suppkey FROM supplier)",
     ),
     "check_unique_combination": _check(
         "unique_combination", "l_orderkey,l_linenumber", "count(*)",
@@ -480,9 +479,11 @@ ORACLE: dict[str, str] = {
         ),
         "pay", "fx",
     ),
-    "check_freshness": f"""SELECT 'freshness' AS "check", event_type AS target, 'ERROR' AS severity,
-        CAST(CASE WHEN max(ts) >= TIMESTAMP '2024-01-28 04:00:00' THEN 0 ELSE 1 END AS BIGINT) AS failures,
-        max(ts) >= TIMESTAMP '2024-01-28 04:00:00' AS passed FROM {_LOADED} GROUP BY event_type""",
+    "check_freshness": """WITH seen AS (SELECT CAST(user_id AS VARCHAR) AS target, ts FROM events
+          UNION ALL SELECT 'user never seen', NULL UNION ALL SELECT '1', NULL),
+        late AS (SELECT target, coalesce(max(ts) < TIMESTAMP '2024-01-30 04:00:00', true) AS late FROM seen GROUP BY target)
+        SELECT 'freshness' AS "check", target, 'ERROR' AS severity, CAST(late AS BIGINT) AS failures, NOT late AS passed
+        FROM late""",
     "check_suite": " UNION ALL ".join(
         [
             _check("has_rows", "orders.*", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END", "orders"),
@@ -530,6 +531,17 @@ ORACLE: dict[str, str] = {
         FROM (VALUES ('ameyo_calls'), ('atlas_dispositions'), ('payments'), ('agent_mapping')) AS t(source_name)""",
     "stream_landing": "SELECT * FROM events",
     "stream_dedupe": "SELECT * FROM events",
+    "daily_run": _sql("SELECT * REPLACE (round(coding_rate, 6) AS coding_rate) FROM coding", "coding"),
+    "load_after_crash": _sql(
+        """SELECT 'payments' AS source_name, false AS skipped, CAST(NULL AS VARCHAR) AS reason,
+             count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rejected, count(*) AS rows_readable FROM sent""",
+        "sent",
+    ),
+    "file_manifest": """WITH lines AS (SELECT n_nationkey AS nation, unnest(['name', n_name]) AS line, unnest([0, 1]) AS i FROM nation),
+        coded AS (SELECT nation, sha256(i || ':' || line) AS h FROM lines),
+        sums AS (SELECT nation, count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS b
+                 FROM coded GROUP BY nation)
+        SELECT nation, sha256(n || ':' || a || ':' || b) AS file_hash FROM sums""",
     "stream_attribution": _sql(
         """, ranked AS (SELECT e.event_id, d.call_log_id, row_number() OVER (PARTITION BY e.event_id
              ORDER BY d.disposed_at_utc DESC, d.call_log_id DESC) AS rn

@@ -13,7 +13,9 @@ from callpay.operators import asof, checks, fx
 from callpay.operators.joins import in_order
 from callpay.operators.keys import flag_duplicates, hash_key, keep_first
 from callpay.operators.matching import explode_digit_runs
+from callpay.config import PipelineConfig
 from callpay.plans import consume, marts
+from callpay.plans.pipeline import run_pipeline
 from callpay.sources import extracts, landing, tables
 from callpay.sources.contracts import MARKET_ORDER, PAYMENT_COLUMNS, PAYMENT_KEY_SHORT, SOURCES, country_seed
 from callpay.session import scratch_path
@@ -392,12 +394,11 @@ def fx_uncovered_dates(spark, sf_dir):
 
 
 def _rate_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all needed pairs, history of odd days without TZS, mean known rate per currency)."""
+    """(all needed pairs, the known rates as history, the highest known rate per currency)."""
     known = roles.raw_fx(spark, sf_dir)
-    history = known.where("NOT rate_is_estimated AND currency <> 'TZS'")
     latest = known.groupBy("currency").agg(F.max("usd_to_local_rate").alias("usd_to_local_rate"))
     nothing = known.where(F.lit(False))
-    return fx.missing_rates(Models(spark, sf_dir).payments(), nothing), history, latest
+    return fx.missing_rates(Models(spark, sf_dir).payments(), nothing), known, latest
 
 
 @query
@@ -461,7 +462,7 @@ def check_accepted_values(spark, sf_dir):
 @query
 def check_relationships(spark, sf_dir):
     return checks.relationships(
-        table(spark, sf_dir, "lineitem"), "l_partkey", table(spark, sf_dir, "part").where("p_size > 10"), "p_partkey",
+        table(spark, sf_dir, "lineitem"), "l_partkey", table(spark, sf_dir, "supplier"), "s_suppkey",
         where="l_returnflag <> 'N'",
     )
 
@@ -509,9 +510,11 @@ def check_covers_dates(spark, sf_dir):
 
 @query
 def check_freshness(spark, sf_dir):
-    """Event types as sources, their events as loads; the clock stands two days before the end."""
-    loads = table(spark, sf_dir, "events").where("event_type <> 'view' OR ts < timestamp_ntz'2024-01-28 03:00:00'")
-    return checks.freshness(loads, "event_type", "ts", now=datetime(2024, 1, 28, 7, 30), allowance=timedelta(hours=2))
+    """Users as sources, their events as loads; one of the fixed targets never loaded anything."""
+    loads = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("source_name"), "ts")
+    return checks.freshness(
+        loads, loaded_at="ts", now=datetime(2024, 1, 30, 7, 30), allowance=timedelta(hours=2), targets=["1", "user never seen"]
+    )
 
 
 @query
@@ -555,11 +558,12 @@ def new_documents(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    """SHA-256 of the table files themselves."""
-    reader = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", recursiveFileLookup=True)
-    files = reader.load(sf_dir).select("path")
-    hashes = extracts.file_hashes(spark, [r.path for r in files.collect()])
-    return hashes.select(F.element_at(F.split("uri", "/"), -1).alias("file_name"), "file_hash")
+    """One small text file per nation, and its identity."""
+    folder = scratch_path(spark, "nations")
+    lines = F.concat_ws("\n", F.lit("name"), "n_name").alias("value")
+    table(spark, sf_dir, "nation").select("n_nationkey", lines).write.partitionBy("n_nationkey").text(folder)
+    hashes = extracts.file_hashes(spark, [folder])
+    return hashes.select(F.regexp_extract("uri", "n_nationkey=([0-9]+)", 1).cast("int").alias("nation"), "file_hash")
 
 
 def _delivered(spark, sf_dir) -> str:
@@ -598,6 +602,28 @@ def load_summary_second_run(spark, sf_dir):
     return landing.load_extracts(spark, folder, root, loaded_at=AS_OF + timedelta(days=1))
 
 
+@query
+def load_after_crash(spark, sf_dir):
+    """A load that lands its rows and dies before it is recorded, repeated on the next day."""
+    folder, root = _delivered(spark, sf_dir), scratch_path(spark, "raw")
+    contract = SOURCES["payments"]
+    files = extracts.find_files(spark, folder, [contract.file_name])
+    found = files.join(extracts.file_hashes(spark, [r.path for r in files.select("path").collect()]), "uri").collect()
+    landing.land(spark, contract, found, root, AS_OF, "crashed")
+    summary = landing.load_extracts(spark, folder, root, only=["payments"], loaded_at=AS_OF + timedelta(days=1))
+    readable = landing.read_raw(spark, root, contract).select(F.count(F.lit(1))).scalar()
+    return summary.withColumn("rows_readable", readable)
+
+
+@query
+def daily_run(spark, sf_dir):
+    """The whole daily run over delivered extracts; the published coding mart, read back from the last run."""
+    root = scratch_path(spark, "daily_run")
+    cfg = PipelineConfig(as_of=AS_OF, stop_on_failure=False)
+    run_pipeline(spark, _delivered(spark, sf_dir), root, cfg, *_rate_sources(spark, sf_dir)[1:])
+    return rounded(tables.read_mart(spark, "fct_coding_rate", root), coding_rate=6)
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -618,7 +644,7 @@ def stream_dedupe(spark, sf_dir):
     out = scratch_path(spark, "stream_dedupe")
     sent = F.explode(F.sequence(F.lit(1), F.when(F.col("value") >= 100, 2).otherwise(1)))
     twice = _event_stream(spark, sf_dir).select("*", sent.alias("_sent")).drop("_sent")
-    return arrivals.land_stream(arrivals.dedupe_stream(twice, ["event_id"], "ts"), f"{out}/table", f"{out}/checkpoint")
+    return arrivals.land_new(twice, ["event_id"], f"{out}/table", f"{out}/checkpoint")
 
 
 @query
@@ -628,5 +654,8 @@ def stream_attribution(spark, sf_dir):
     payments = _event_stream(spark, sf_dir).where("event_type = 'purchase'").select(
         F.col("event_id").alias("payment_id"), F.col("user_id").alias("contract_id"), F.col("ts").alias("paid_at_utc")
     )
-    dispositions = Models(spark, sf_dir).dispositions.where("contract_id IS NOT NULL")
+
+    def dispositions() -> DataFrame:
+        return Models(spark, sf_dir).dispositions.where("contract_id IS NOT NULL")
+
     return arrivals.attribute_stream(payments, dispositions, f"{out}/table", f"{out}/checkpoint")

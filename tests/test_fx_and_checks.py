@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from callpay.operators import checks, fx
 from callpay.sources.tables import ensure_fx_table, export_json_by_date, materialize, read_mart, store_rates
@@ -105,7 +106,11 @@ def test_materialize(spark, tmp_path):
     df = spark.range(3)
     assert materialize(df, "as_view", "view").count() == 3
     materialize(df, "as_table", "table", str(tmp_path))
-    materialize(spark.range(2), "as_table", "table", str(tmp_path))
+    assert read_mart(spark, "as_table").count() == 3
+    # a published table is never overwritten in place; another run has another folder
+    with pytest.raises(AnalysisException):
+        materialize(spark.range(2), "as_table", "table", str(tmp_path))
+    materialize(spark.range(2), "as_table", "table", str(tmp_path / "next"))
     assert read_mart(spark, "as_table").count() == 2
     with pytest.raises(ValueError):
         materialize(df, "x", "stream")

@@ -15,7 +15,7 @@ GOOD = '"1","2026-08-05 06:57:26.609","1","CONNECTED","outbound","96250","u1","c
 
 
 def deliver(folder, contract, text, encoding="utf-8"):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / contract.file_name).write_bytes(text.encode(encoding))
     return str(folder)
 
@@ -126,14 +126,19 @@ def test_unchanged_missing_and_changed_files(spark, tmp_path):
 
 
 def test_landing_twice_after_a_lost_manifest_adds_nothing(spark, tmp_path):
-    """The crash between landing and recording: rows are replaced, not repeated."""
+    """The crash between landing and recording, repeated on the next day: rows are there once."""
     folder = deliver(tmp_path / "in", CALLS, f"{HEADER}\n{GOOD}\n")
     root = str(tmp_path / "raw")
     files = extracts.find_files(spark, folder, [CALLS.file_name])
     rows = files.join(extracts.file_hashes(spark, [r.path for r in files.collect()]), "uri").collect()
-    for _ in range(2):
-        landing.land(spark, CALLS, rows, root, AT)
+    landing.land(spark, CALLS, rows, root, AT, "lost")
+    assert landing.read_raw(spark, root, CALLS).count() == 0
+    after_midnight = AT.replace(day=8)
+    summary = landing.load_extracts(spark, folder, root, only=["ameyo_calls"], loaded_at=after_midnight).first()
+    assert (summary.skipped, summary.rows_loaded) == (False, 1)
     assert landing.read_raw(spark, root, CALLS).count() == 1
+    again = landing.load_extracts(spark, folder, root, only=["ameyo_calls"], loaded_at=after_midnight).first()
+    assert (again.skipped, again.rows_loaded) == (True, 0)
 
 
 def test_a_delivery_may_be_a_folder_of_parts(spark, tmp_path):
@@ -147,14 +152,40 @@ def test_a_delivery_may_be_a_folder_of_parts(spark, tmp_path):
     assert landing.read_manifest(spark, root).count() == 3
 
 
-def test_file_hashes(spark, tmp_path):
-    a, b = tmp_path / "a.csv", tmp_path / "b.csv"
-    a.write_text("x,y\n1,2\n" * 50)
-    b.write_text("x,y\n1,3\n")
-    got = {r.uri.rsplit("/", 1)[1]: r.file_hash for r in extracts.file_hashes(spark, [str(a), str(b)]).collect()}
-    assert got == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in (a, b)}
-    mixed = {r.uri.rsplit("/", 1)[1]: r.file_hash for r in extracts.file_hashes(spark, [str(a), str(b)], 100).collect()}
-    assert mixed["b.csv"] == got["b.csv"] and mixed["a.csv"].startswith("lines-")
+def hashes_of(spark, *paths):
+    return {r.uri.rsplit("/", 1)[1]: r.file_hash for r in extracts.file_hashes(spark, [str(p) for p in paths]).collect()}
+
+
+def test_file_hashes_tell_order_and_line_ends_and_not_splits(spark, tmp_path):
+    names = ["a", "b", "swapped", "same", "crlf", "empty", "moved"]
+    paths = {n: tmp_path / f"{n}.csv" for n in names}
+    rows = [f"{i},{i * 7 % 13}" for i in range(5000)]
+    swapped = [*rows[:4000], rows[4001], rows[4000], *rows[4002:]]
+    texts = {"a": rows, "b": rows[:-1], "swapped": swapped, "same": rows, "moved": [*rows[1:], rows[0]]}
+    for n, lines in texts.items():
+        paths[n].write_bytes(("\n".join(lines) + "\n").encode())
+    paths["crlf"].write_bytes(("\r\n".join(rows) + "\r\n").encode())
+    paths["empty"].write_bytes(b"")
+    whole = hashes_of(spark, *paths.values())
+    assert whole["a.csv"] == whole["same.csv"]
+    assert set(whole) == {f"{n}.csv" for n in names if n != "empty"}
+    assert len(set(whole.values())) == len(whole) - 1
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        assert spark.read.text(str(paths["a"])).rdd.getNumPartitions() > 3
+        assert hashes_of(spark, *paths.values()) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_empty_lines_are_rejected_whatever_else_a_file_holds(spark, tmp_path):
+    plain = f"{HEADER}\n{GOOD}\n\n{GOOD}\n\n"
+    quoted = plain + '5,t,1,s,o,1,u,c,"line one\n\nline two"\n'
+    for name, text, valid in (("plain", plain, 2), ("quoted", quoted, 3)):
+        summary, rows, rejects = run(spark, tmp_path / name, text)
+        assert (summary.rows_loaded, summary.rejected) == (valid, 2), name
+        assert [r.reason for r in rejects] == ["expected 9 fields, got 0"] * 2
 
 
 def test_large_files_are_read_in_splits_with_one_result(spark, tmp_path):

@@ -7,7 +7,7 @@ import pytest
 from callpay import PipelineConfig
 from callpay.plans.pipeline import ChecksFailed, run_pipeline
 from callpay.sources.contracts import SOURCES
-from callpay.sources.tables import read_mart
+from callpay.sources.tables import read_mart, read_runs
 
 AS_OF = datetime(2026, 8, 7, 6, 30)
 
@@ -128,3 +128,15 @@ def test_run_without_rate_sources(spark, tmp_path):
     assert all(r.attributed_payment_amount_usd is None and r.has_unconverted_payment for r in paid)
     coverage = result.checks.where("check = 'covers_dates'").first()
     assert (coverage.severity, coverage.passed) == ("WARN", False)
+
+
+def test_runs_of_one_clock_and_back_filled_runs_stay_readable(spark, tmp_path):
+    folder, root = deliver(tmp_path / "in"), str(tmp_path / "out")
+    clock = AS_OF.replace(day=8, hour=12)
+    runs = [run_pipeline(spark, folder, root, PipelineConfig(as_of=at), *rate_tables(spark)) for at in (clock, clock, AS_OF)]
+    closed = [r.tables["fct_paid_post_call"].where("is_window_closed").count() for r in runs]
+    assert closed == [3, 3, 1]
+    # the back-filled run was published last and is the one that is read
+    assert read_mart(spark, "fct_paid_post_call", root).where("is_window_closed").count() == 1
+    sequence = read_runs(spark, root).orderBy("sequence").collect()
+    assert [r.sequence for r in sequence] == [1, 2, 3] and len({r.path for r in sequence}) == 3

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callpay.operators import checks
 from callpay.operators.asof import attribute_nearest
-from callpay.operators.joins import broadcast_checked
+from callpay.operators.joins import lookup_rate
 from callpay.operators.keys import flag_duplicates, join_per_key, keep_first
 from callpay.operators.matching import match_ids_in_text
 from callpay.plans import consume
@@ -59,16 +59,27 @@ def test_seed_is_broadcast_without_a_job(spark):
     assert "BroadcastHashJoin" in text and "LocalTableScan" in text
 
 
-def test_broadcast_only_within_the_counted_bound(spark):
-    df = spark.range(100)
-    other = spark.range(1000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = plan(other.join(broadcast_checked(df, 100), "id"))
-        large = plan(other.join(broadcast_checked(df, 99), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+def test_rates_are_broadcast_by_size_only(spark):
+    """No counting job and no hint: the size limit decides, either way with one result."""
+    m = Models(spark, SF_SMALL)
+    paid, results = m.payments(), []
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", limit)
+        try:
+            priced = lookup_rate(paid, m.fx, "currency_code", "paid_at_utc")
+            results.append((sorted(map(str, priced.collect())), priced._jdf.queryExecution().executedPlan().toString()))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert results[0][0] == results[1][0]
+    assert "SortMergeJoin" in results[1][1]
+
+
+def test_default_drill_reads_once(spark):
+    text = plan(consume.default_drill(Models(spark, SF_SMALL).inbound))
+    assert text.count("FileScan parquet") <= 2
+    assert "rangepartitioning" not in plan(QUERIES["fx_resolve"](spark, SF_SMALL))
 
 
 @pytest.fixture

@@ -1,5 +1,3 @@
-import pytest
-
 from callpay.session import scratch_path, shared_folder, shuffle_partitions
 
 
@@ -15,19 +13,16 @@ def test_scratch_goes_below_the_named_folder(spark):
     assert a != b and a.startswith(folder + "/")
 
 
-def test_cluster_without_shared_folder_is_refused():
-    class Conf:
+def test_without_the_setting_the_shared_warehouse_is_used():
+    class Settings:
         def get(self, key, default=None):
-            return default
+            return "hdfs:///warehouse" if key == "spark.sql.warehouse.dir" else default
 
     class Context:
-        master = "yarn"
-
         def getConf(self):
-            return Conf()
+            return Settings()
 
     class Session:
-        conf, sparkContext = Conf(), Context()
+        conf, sparkContext = Settings(), Context()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+    assert shared_folder(Session()).startswith("hdfs:///warehouse/")

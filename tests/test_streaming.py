@@ -50,12 +50,16 @@ def test_copies_are_dropped_across_batches(spark, tmp_path):
 
     def land():
         stream = arrivals.stream_table(spark, spark.createDataFrame([], schema).schema, str(src))
-        return arrivals.land_stream(arrivals.dedupe_stream(stream, ["id"], "t"), out, state)
+        return arrivals.land_new(stream, ["id"], out, state)
 
-    write(spark, src, "a", [(1, T0), (1, T0), (2, T0)], schema)
+    write(spark, src, "a", [(1, T0), (1, T0), (2, T0), (None, T0)], schema)
+    assert land().count() == 4 - 1
+    write(spark, src, "b", [(2, T0), (3, T0 + timedelta(hours=1)), (None, T0)], schema)
     land()
-    write(spark, src, "b", [(2, T0), (3, T0 + timedelta(hours=1))], schema)
-    assert sorted(r.id for r in land().collect()) == [1, 2, 3]
+    # an id first seen five days late, and a copy as late
+    write(spark, src, "c", [(4, T0 - timedelta(days=5)), (1, T0 - timedelta(days=5))], schema)
+    assert sorted(r.id or 0 for r in land().collect()) == [0, 1, 2, 3, 4]
+    assert land().count() == 5
 
 
 def test_attribution_per_batch_equals_batch_result(spark, tmp_path):
@@ -68,7 +72,7 @@ def test_attribution_per_batch_equals_batch_result(spark, tmp_path):
 
     def attribute():
         stream = arrivals.stream_table(spark, spark.createDataFrame([], schema).schema, str(src))
-        rows = arrivals.attribute_stream(stream, calls, out, state).collect()
+        rows = arrivals.attribute_stream(stream, lambda: calls, out, state).collect()
         return {r.payment_id: r.attributed_call_log_id for r in rows}, len(rows)
 
     write(spark, src, "a", [(1, 7, T0 + timedelta(hours=1)), (2, 9, T0), (3, 8, T0 + timedelta(days=3))], schema)
