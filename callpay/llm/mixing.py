@@ -123,7 +123,7 @@ def mix(docs: DataFrame, seed: int = 23) -> DataFrame:
     lengths = narrow.groupBy("__source", "size").agg(F.count("*").alias("__n"))
     wanted = plan.where("__whole < 3").select("__source", "__budget")
     takes = stored(
-        lengths.join(F.broadcast(wanted) if _few(wanted) else wanted, "__source")
+        lengths.join(wanted, "__source")
         .groupBy("__source")
         .applyInPandas(_fit, "__source string, size bigint, __take bigint"),
         "takes",
@@ -141,10 +141,6 @@ def mix(docs: DataFrame, seed: int = 23) -> DataFrame:
     )
 
 
-def _few(rows: DataFrame, most: int = 100_000) -> bool:
-    return rows.limit(most + 1).count() <= most
-
-
 def repeat_taken(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each taken document as often as the mix takes it."""
     copies = F.explode(F.array_repeat(F.lit(1), F.col("times")))
