@@ -5,8 +5,8 @@ others was hit (a fixed number of counters over the whole corpus) and then by ha
 the threshold must share a shingle of their prefixes, the first n - ceil(t n) + 1 in that order;
 any order is exact, a rare-first one makes prefixes meet seldom. Prefixes are joined on the shingle. A pair
 passes the length filter, the positional filter (what may still be shared after the place where the
-prefixes met) and the suffix filter (how many shingles both have in each of 16 ranges of the hash: the
-differences bound the overlap), and is then verified once on the whole sets.
+prefixes met) and the suffix filter (how many shingles both have in each range of the hash, ranges of about
+six shingles: the differences bound the overlap), and is then verified once on the whole sets.
 
 Equal sets are one node. Groups of many near copies are not expanded into all pairs either: the members of a
 prefix's list are first compared to its most central member only. What that links is one component; a
@@ -32,7 +32,7 @@ from callpay.llm.shared import bloom_of_ids, components, drop_ids, stored
 from callpay.llm.textcodes import NOT_BLANK, batches_of, bloom_has, grams, id_codes, mix, word_codes
 
 SHINGLE, PERCENT = 4, 85
-COUNTER_BITS, RANGE_BITS = 16, 4
+COUNTER_BITS = 16
 
 
 def _shingles(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +75,27 @@ def needed(a, b):
     return F.ceil(PERCENT * (a + b) / F.lit(float(100 + PERCENT)) - 1e-9)
 
 
+def _range_counts(own: np.ndarray) -> bytes:
+    """How many members fall into each of 2, 4, 8, ... equal ranges of the hash, a byte each (at most 255)."""
+    bits = max(1, len(own).bit_length() - 3)
+    counts = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffix filter: pairs whose range counts do not rule the threshold out. Counts cut at 255 differ less, so they rule out less."""
+    for batch in batches:
+        ok = []
+        for n, m, x, y in zip(*(batch.column(c) for c in ("a_n", "b_n", "a_r", "b_r")), strict=True):
+            p, q = np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64), np.frombuffer(y.as_buffer(), np.uint8).astype(np.int64)
+            width = min(len(p), len(q))
+            p, q = p.reshape(width, -1).sum(axis=1), q.reshape(width, -1).sum(axis=1)
+            total = n.as_py() + m.as_py()
+            ok.append(np.abs(p - q).sum() <= total - 2 * (-(-PERCENT * total // (100 + PERCENT))))
+        keep = pa.array(ok, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
+
 def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
     """Per row: doc_id, set size n, two codes of the set, prefix in order, counts by hash range."""
     seen = counters.tobytes()
@@ -94,21 +115,17 @@ def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
                         sums.append((own.sum(dtype=np.uint64), mix(own).sum(dtype=np.uint64)))
                     sizes.append(n)
                     heads.append(own[order])
-                    ranges.append(np.bincount((own >> np.uint64(64 - RANGE_BITS)).astype(np.int64), minlength=1 << RANGE_BITS))
+                    ranges.append(_range_counts(own))
                 at = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
                 prefix = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(heads).view(np.int64)))
-                width = 1 << RANGE_BITS
-                spread = pa.ListArray.from_arrays(
-                    np.arange(0, len(sizes) * width + 1, width, dtype=np.int32), pa.array(np.concatenate(ranges).astype(np.int32))
-                )
                 both = np.array(sums, np.uint64).view(np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), prefix, spread],
+                    [part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), prefix, pa.array(ranges, pa.binary())],
                     ["doc_id", "n", "set_a", "set_b", "prefix", "ranges"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        cut, "doc_id bigint, n int, set_a bigint, set_b bigint, prefix array<bigint>, ranges array<int>"
+        cut, "doc_id bigint, n int, set_a bigint, set_b bigint, prefix array<bigint>, ranges binary"
     )
 
 
@@ -145,8 +162,7 @@ def _verified(pairs: DataFrame, spread: DataFrame, docs: DataFrame, name: str) -
     """
     side = lambda c: spread.select(F.col("doc_id").alias(f"{c}_id"), F.col("n").alias(f"{c}_n"), F.col("ranges").alias(f"{c}_r"))
     sized = pairs.distinct().join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
-    apart = F.aggregate(F.zip_with("a_r", "b_r", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, d: s + d)
-    left = sized.where(apart <= F.col("a_n") + F.col("b_n") - 2 * needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
+    left = sized.select("a", "b", "a_n", "b_n", "a_r", "b_r").mapInArrow(_may_overlap, "a bigint, b bigint")
     left = stored(left.distinct(), f"{name}-pairs")
     sets = _whole_sets(docs, left.select("a").union(left.select("b")).distinct())
     members = lambda c, out: sets.select(F.col("doc_id").alias(f"{c}_id"), F.col("members").alias(out))
