@@ -33,12 +33,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callpay.llm.shared import stored
+from callpay.llm.shared import arrow_rows, stored
 from callpay.llm.textcodes import NOT_BLANK, batches_of, mix, word_codes
 
 CUTOFF = 5
 KNOWN = 1 << 20
-BUCKET_TOKENS, BUCKETS_IN_TASK, CHUNK_TOKENS = 1 << 20, 6, 1 << 20
+BUCKET_TOKENS, BUCKETS_IN_TASK, CHUNK_TOKENS = 1 << 19, 12, 1 << 19
+#: Texts or records in one batch.
+BATCH_ROWS = 1000
 HOT = 1 << 21
 END, START = np.uint64(0x5EED0FE4D), np.uint64(0x57A47)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -345,11 +347,11 @@ def _buckets(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[
         yield at, last, _Bucket(records, (np.concatenate(codes), np.concatenate(counts)), words)
 
 
-_SCORED = "kind int, text bigint, history bigint, tokens bigint, known bigint, base double, score double"
+_SCORED = "kind int, text bigint, history bigint, tokens bigint, base double, score double, record binary"
 
 
 def _evaluate(bucket: _Bucket, words: Words, discount: np.ndarray, hot: np.ndarray, hot_counts: np.ndarray):
-    """Rows of kind 0: sums per text; 1: what a split history's pairs take, as (low kinds, discounted, P of words); 2: its unseen tokens per text."""
+    """Sums per text; the unseen tokens of split histories per text; and what those histories' pairs take, as (low kinds, discounted, P of words)."""
     seen = bucket.count > 0
     histories, h = np.unique(bucket.history, return_inverse=True)
     lower = words.probability(bucket.word_count)
@@ -365,25 +367,53 @@ def _evaluate(bucket: _Bucket, words: Words, discount: np.ndarray, hot: np.ndarr
         value = np.where(seen, np.log10(taken) - np.log10(total[h]), np.log10(lower) + np.where(split[h] >= 0, 0.0, alpha[h]))
     base, known = words.base(bucket.word_count), bucket.word_count > 0
     kind, text, times = bucket.once_per_text()
-    rows = [(0, *_summed(text, times, known[kind] * times, base[kind] * times, value[kind] * times), None)]
+    sums = _summed(text, known[kind] * times, base[kind] * times, value[kind] * times)
     open_kinds = (split[h] >= 0) & ~seen
     later = open_kinds[kind]
     stats = [(histories[i], low[i], mass[i], words_mass[i]) for i in np.flatnonzero(split >= 0)]
-    return rows, (text[later], histories[h[kind[later]]], times[later]), stats
+    return sums, (text[later], histories[h[kind[later]]], times[later]), stats
 
 
-def _rows(kind, text, history, tokens, known, base, score) -> pa.RecordBatch:
+def _rows(kind, text, history, tokens, base=0.0, score=0.0, records=None) -> pa.RecordBatch:
     n = len(text)
     column = lambda x, t: pa.array(np.broadcast_to(np.asarray(x), n).astype(t))
     code = lambda x: pa.array(np.broadcast_to(np.asarray(x, np.uint64), n).copy().view(np.int64))
     return pa.RecordBatch.from_arrays(
-        [column(kind, np.int32), code(text), code(history), column(tokens, np.int64), column(known, np.int64), column(base, float), column(score, float)],
-        ["kind", "text", "history", "tokens", "known", "base", "score"],
+        [column(kind, np.int32), code(text), code(history), column(tokens, np.int64), column(base, float), column(score, float), pa.array(records or [None] * n, pa.binary())],
+        ["kind", "text", "history", "tokens", "base", "score", "record"],
     )
 
 
+def _pack_sums(sums: tuple[np.ndarray, ...], groups: int) -> tuple[list[int], list[bytes]]:
+    """Sums per text as one record for each of ``groups`` groups of texts."""
+    group = (sums[0] % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    cuts = np.searchsorted(group[order], np.arange(groups + 1))
+    spans = [(g, order[a:b]) for g, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+    return [g for g, _ in spans], [b"".join(x[rows].astype(kind).tobytes() for x, kind in zip(sums, ("u8", "f8", "f8", "f8"), strict=True)) for _, rows in spans]
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of :func:`_pack_sums` to one row per text that a task has."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        for record in batch.column("record"):
+            columns = np.frombuffer(record.as_buffer(), np.uint64).reshape(4, -1)
+            held.append((columns[0], *columns[1:].view(np.float64)))
+        if held:
+            held = [_summed(*[np.concatenate(x) for x in zip(*held, strict=True)])]
+    for text, known, base, score in held:
+        names = ["text", "known", "base", "score"]
+        yield pa.RecordBatch.from_arrays([pa.array(text.view(np.int64)), pa.array(known), pa.array(base), pa.array(score)], names)
+
+
 def score_texts(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, hot_tokens: int = HOT, known: int = KNOWN) -> tuple[DataFrame, Words]:
     """Per row of ``docs`` (doc_id, text, train): doc_id, train, n_tokens, n_known, base_score, score; and the totals."""
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _score_texts(docs, bucket_tokens, hot_tokens, known)
+
+
+def _score_texts(docs: DataFrame, bucket_tokens: int, hot_tokens: int, known: int) -> tuple[DataFrame, Words]:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", "train")
     counts = stored(count_words(docs), "word-counts")
@@ -460,24 +490,21 @@ def score_texts(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, hot_tokens:
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        unseen: list[tuple[np.ndarray, ...]] = []
 
         def flush():
             if held:
-                sums = _summed(np.concatenate([x[0] for x in held]), *[np.concatenate([x[i] for x in held]) for i in range(1, 5)])
-                for a in range(0, len(sums[0]), 100_000):
-                    text, tokens, known_, base, value = (x[a : a + 100_000] for x in sums)
-                    yield _rows(0, text, 0, tokens, known_, base, value)
+                groups, packed = _pack_sums(_summed(*[np.concatenate(x) for x in zip(*held, strict=True)]), tasks)
+                yield _rows(0, np.zeros(len(groups), np.uint64), 0, groups, records=packed)
             held.clear()
 
         for _, batch, bucket in _buckets(batches, sent.value):
             discount = discounts(batch.column("of_counts")[0].as_py())
             sums, (text, history, times), stats = _evaluate(bucket, sent.value, discount, hot, hot_counts)
-            held += [s[1:6] for s in sums]
+            held.append(sums)
             if len(text):
-                yield _rows(2, text, history, times, 0, 0, 0)
+                yield _rows(2, text, history, times)
             for code, low, mass, words_mass in stats:
-                yield _rows(1, np.zeros(1, np.uint64), code, [int(low)], 0, [mass], [words_mass])
+                yield _rows(1, np.zeros(1, np.uint64), code, [int(low)], [mass], [words_mass])
             if sum(len(x[0]) for x in held) > 2_000_000:
                 yield from flush()
         yield from flush()
@@ -485,14 +512,15 @@ def score_texts(docs: DataFrame, bucket_tokens: int = BUCKET_TOKENS, hot_tokens:
     parts = stored(dealt.withColumn("of_counts", of_counts.scalar()).mapInArrow(evaluate, _SCORED), "text-parts")
     alpha = _split_alphas(parts, hot, hot_counts)
     late = parts.where("kind = 2").join(alpha, "history").select(
-        "text", F.lit(0).cast("bigint").alias("tokens"), F.lit(0).cast("bigint").alias("known"), F.lit(0.0).alias("base"),
-        (F.col("tokens") * F.col("alpha")).alias("score"),
+        "text", F.lit(0.0).alias("known"), F.lit(0.0).alias("base"), (F.col("tokens") * F.col("alpha")).alias("score")
     )
-    early = parts.where("kind = 0").select("text", "tokens", "known", "base", "score")
+    # a task has a few tokens of very many texts: their sums travel as one record for each group of texts
+    packed = parts.where("kind = 0").select(F.col("tokens").alias("texts"), "record").repartition(tasks, "texts")
+    early = packed.select("record").mapInArrow(_add_up, "text bigint, known double, base double, score double")
     sums = early.unionByName(late).groupBy("text").agg(*[F.sum(c).alias(c) for c in ("known", "base", "score")])
     sums = stored(sums.withColumnRenamed("text", "s_text"), "text-scores")
     out = texts.join(sums, F.col("text") == F.col("s_text"), "left").select(
-        "doc_id", "train", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.col("base").alias("base_score"), "score"
+        "doc_id", "train", F.col("tokens").alias("n_tokens"), F.col("known").cast("bigint").alias("n_known"), F.col("base").alias("base_score"), "score"
     )
     return out, words
 

@@ -7,6 +7,7 @@ input pass through. A result column replaces an input column of the same name.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -39,6 +40,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Plans run inside hand rows to Python in batches of at most ``rows``; for rows that are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once however often ``body`` names it."""
     return F.transform(F.array(value), body)[0]
