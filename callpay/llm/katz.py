@@ -40,7 +40,7 @@ CUTOFF = 5
 KNOWN = 1 << 20
 BUCKET_TOKENS, BUCKETS_IN_TASK, CHUNK_TOKENS = 1 << 19, 12, 1 << 19
 #: Texts or records in one batch.
-BATCH_ROWS = 1000
+BATCH_ROWS = 200
 HOT = 1 << 21
 END, START = np.uint64(0x5EED0FE4D), np.uint64(0x57A47)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
