@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callpay.llm.shared import BLANK_RUN, BLANKS, stored
+from callpay.llm.shared import BLANK_RUN, BLANKS, let, stored
 
 DEPTH = 3
 MIN_TOKENS, MIN_DOCS = 4, 10
@@ -30,18 +30,27 @@ OPEN = "<*>"
 
 def mask(line: Column) -> Column:
     """Tokens with a digit become open places; runs of blanks become one."""
-    trimmed = F.regexp_replace(F.btrim(line, F.lit(BLANKS)), BLANK_RUN, " ")
-    open_digits = F.regexp_replace(trimmed, r"[^ ]*[0-9][^ ]*", OPEN)
-    return F.when(trimmed.rlike("[0-9]"), open_digits).otherwise(trimmed)
+
+    def opened(trimmed: Column) -> Column:
+        digits = F.regexp_replace(trimmed, r"[^ ]*[0-9][^ ]*", OPEN)
+        return F.when(trimmed.rlike("[0-9]"), digits).otherwise(trimmed)
+
+    trimmed = F.btrim(line, F.lit(BLANKS))
+    plain = F.when(trimmed.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(trimmed, BLANK_RUN, " ")).otherwise(trimmed)
+    return let(plain, opened)
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """(id, text code, line number, leaf, masked line) of all lines that are long enough."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("code"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    masked = lines.select("doc_id", "code", "at", mask(F.col("line")).alias("masked"))
-    tokens = F.size(F.split("masked", " "))
-    leaf = F.xxhash64(tokens, F.substring_index("masked", " ", DEPTH))
-    return masked.where(tokens >= MIN_TOKENS).withColumn("leaf", leaf)
+    """(doc_id, text code, line number, leaf, masked line) of all lines that are long enough."""
+
+    def parsed(masked: Column) -> Column:
+        tokens = F.length(masked) - F.length(F.replace(masked, F.lit(" "))) + 1
+        leaf = F.xxhash64(tokens, F.substring_index(masked, " ", DEPTH))
+        return F.struct(masked.alias("masked"), tokens.alias("tokens"), leaf.alias("leaf"))
+
+    lines = F.transform(F.split("text", "\n"), lambda line: let(mask(line), parsed))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("code"), F.posexplode(lines).alias("at", "line"))
+    return rows.where(F.col("line.tokens") >= MIN_TOKENS).select("doc_id", "code", "at", "line.masked", "line.leaf")
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
