@@ -23,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from callpay.llm.shared import bloom_bits, drop_ids, stored
-from callpay.llm.textcodes import ALPHANUMERIC, batches_of, bloom_has, grams, mix, word_codes
+from callpay.llm.shared import bloom_bits, bloom_of_ids, stored
+from callpay.llm.textcodes import ALPHANUMERIC, batches_of, bloom_has, grams, id_codes, mix, word_codes
 
 SPAN, GRAM = 10, 5
 WINDOW = SPAN - GRAM + 1
@@ -122,6 +123,15 @@ def benchmark_marks(items: DataFrame) -> DataFrame:
     return stored(rows.groupBy("code", "length", "words").agg(F.collect_set("item").alias("items")), "marks")
 
 
+def _text_codes(codes: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+    """Two codes of each text, from its words and their places."""
+    with np.errstate(over="ignore"):
+        place = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
+        placed = mix(codes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (placed, mix(placed))]
+        return [pa.array((s[offsets[1:]] - s[offsets[:-1]]).view(np.int64)) for s in sums]
+
+
 def find_hits(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, two text codes, and the places that may hold a mark."""
     filled = bloom_bits(marks, "code")
@@ -135,15 +145,11 @@ def find_hits(docs: DataFrame, marks: DataFrame) -> DataFrame:
                 order = np.argsort(text, kind="stable")
                 found = _table_of(text[order], *[x[order] for x in rest])
                 ends = np.searchsorted(text[order], np.arange(len(offsets)), "left").astype(np.int32)
-                with np.errstate(over="ignore"):
-                    place = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
-                    placed = mix(codes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (placed, mix(placed))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(np.diff(offsets)),
-                        *[pa.array((s[offsets[1:]] - s[offsets[:-1]]).view(np.int64)) for s in sums],
+                        *_text_codes(codes, offsets),
                         pa.ListArray.from_arrays(pa.array(ends), found),
                     ],
                     ["doc_id", "n_words", "code_a", "code_b", "hits"],
@@ -190,6 +196,11 @@ def _covered(spans):
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit (words inside shared runs) and ``items`` (their ids as sorted strings)."""
+    return _coded_contamination(docs, items).drop("code_a", "code_b")
+
+
+def _coded_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """:func:`contamination` with the two codes of each row's text."""
     marks = benchmark_marks(items)
     found = stored(find_hits(docs, marks), "hits")
     texts = found.where(F.size("hits") > 0).dropDuplicates(["code_a", "code_b"])
@@ -214,6 +225,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     joined = found.drop("hits").join(hits, (F.col("code_a") == F.col("h_a")) & (F.col("code_b") == F.col("h_b")), "left")
     return joined.select(
         "doc_id",
+        "code_a",
+        "code_b",
         "n_words",
         F.coalesce("hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("ids", F.array().cast("array<string>")).alias("items"),
@@ -221,6 +234,26 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents without a hit, as they came. A document id counts as hit if any row of it is."""
-    bad = contamination(docs, items).where("n_hit > 0").select("doc_id").distinct()
-    return drop_ids(docs, stored(bad, "hit-ids"))
+    """Rows without a hit, as they came. Each row is judged by its own words, whatever other rows of its id, or without id, have."""
+    names, schema = docs.columns, docs.schema
+    found = _coded_contamination(docs, items).where("n_hit > 0")
+    bad = stored(found.select(F.col("doc_id").alias("__b_id"), F.col("code_a").alias("__b_a"), F.col("code_b").alias("__b_b")).distinct(), "hit-rows")
+    filled = bloom_of_ids(bad.select("__b_id"))
+
+    def may(batch: pa.RecordBatch) -> np.ndarray:
+        return bloom_has(filled, np.asarray(id_codes(batch.column("doc_id"))).view(np.uint64))
+
+    def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~may(batch)))
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batches_of(batch.filter(pa.array(may(batch)))):
+                own = _text_codes(*word_codes(part.column("text"), ALPHANUMERIC))
+                yield pa.RecordBatch.from_arrays([*part.columns, *own], [*names, "__a", "__b"])
+
+    # rows that share no id with a hit pass straight through, only the others are shuffled
+    kept = docs.mapInArrow(coded, StructType([*schema.fields, StructField("__a", LongType()), StructField("__b", LongType())]))
+    same = F.col("doc_id").eqNullSafe(F.col("__b_id")) & (F.col("__a") == F.col("__b_a")) & (F.col("__b") == F.col("__b_b"))
+    return docs.mapInArrow(clear, schema).unionByName(kept.join(bad, same, "left_anti").select(*names))

@@ -15,7 +15,8 @@ other components, with the same filters. A pair left out is inside one component
 components are exact.
 
 Cases: NULL text and text without words have an empty set and no links; shorter texts are one shingle;
-repeated rows and equal texts share a group; rows of one id are one document; long texts are worked off in blocks;
+repeated rows and equal texts share a group; rows of one id are one document in the
+groups; ``keep_one`` judges each row by its own text, also rows without id; long texts are worked off in blocks;
 an empty table gives no rows. Other columns do not pass through the join; ``keep_one`` keeps all.
 """
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callpay.llm.shared import bloom_of_ids, components, drop_ids, stored
@@ -231,13 +232,65 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def _separate(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of an id of their own, the others): rows without id, or of an id that occurs again, are listed once per text.
+
+    The others have their id in ``__id``, a code of their text in ``__tie``, and in ``doc_id`` a number that no row has.
+    """
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    odd = stored(counts.where("n > 1 or doc_id is null").select(F.col("doc_id").alias("__odd")), "odd-ids")
+    if odd.isEmpty():
+        return docs, None
+    single = drop_ids(docs, odd)
+    again = docs.join(odd, F.col("doc_id").eqNullSafe(F.col("__odd")), "left_semi").dropDuplicates(["doc_id", "text"])
+    again = stored(
+        again.withColumns({"__id": F.col("doc_id"), "__tie": F.xxhash64("text"), "__n": F.monotonically_increasing_id()}), "odd-rows"
+    )
+    part, at = F.shiftright("__n", 33), F.col("__n").bitwiseAND((1 << 33) - 1)
+    so_far = F.sum("rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = again.groupBy(part.alias("__part")).agg(F.count("*").alias("rows"))
+    parts = stored(parts.select("__part", (so_far - F.col("rows")).alias("__before")), "odd-parts")
+    low, high = counts.agg(F.min("doc_id"), F.max("doc_id")).first()
+    low, high, rows = low or 0, high or 0, again.count()
+    if high + rows < 1 << 63:
+        base = high + 1
+    elif low - rows >= -(1 << 63):
+        base = low - rows
+    else:
+        raise ValueError("no numbers left for rows without an id of their own")
+    numbered = again.join(parts, part == F.col("__part")).withColumn("doc_id", F.lit(base) + F.col("__before") + at)
+    return single, numbered.drop("__n", "__part", "__before")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents with one left of each group, the one of the smallest id, with the columns they came with."""
-    ids = stored(similarity_groups(docs), "similar")
-    once = ids.groupBy("doc_id").agg(F.count("*").alias("copies"), F.min(F.col("doc_id") == F.col("component_id")).alias("first"))
-    odd = stored(once.where("not first or copies > 1").select(F.col("doc_id").alias("__odd"), "first"), "not-first")
-    plain = drop_ids(docs, odd.select("__odd"))
-    # rows that share an id and are their group's first: few, one of them stays
-    again = stored(odd.where("first").select("__odd"), "repeated")
-    repeated = docs.join(again, F.col("doc_id").eqNullSafe(F.col("__odd")), "left_semi").dropDuplicates(["doc_id"])
-    return plain.unionByName(repeated)
+    """Rows with one left of each group of similar texts, the one of the smallest id, with the columns they came with.
+
+    Each row is judged by its own text: rows without id and different texts of one id are documents of their own. Of
+    rows with equal id and text one counts. Among equal ids a code of the text decides, an id goes before none.
+    """
+    names = docs.columns
+    single, others = _separate(docs)
+    if others is None:
+        ids = stored(similarity_groups(docs), "similar")
+        return drop_ids(docs, stored(ids.where("doc_id <> component_id").select("doc_id"), "not-first"))
+    rows = single.select("doc_id", "text").unionByName(others.select("doc_id", "text"))
+    groups = similarity_groups(rows).select(F.col("doc_id").alias("key"), "component_id")
+    own = others.select(F.col("doc_id").alias("o_key"), "__id", "__tie")
+    placed = stored(
+        groups.join(own, F.col("key") == F.col("o_key"), "left").select(
+            "component_id",
+            "key",
+            F.col("o_key").isNotNull().alias("other"),
+            F.when(F.col("o_key").isNull(), F.col("key")).otherwise(F.col("__id")).alias("id"),
+            F.coalesce("__tie", F.lit(0)).alias("tie"),
+        ),
+        "similar",
+    )
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "tie", "key")
+    first = placed.groupBy(F.col("component_id").alias("c")).agg(F.min(order)["key"].alias("first"))
+    gone = stored(
+        placed.join(first, F.col("component_id") == F.col("c")).where("key <> first").select(F.col("key").alias("__gone"), "other"), "not-first"
+    )
+    left = others.join(gone.where("other"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    left = left.withColumn("doc_id", F.col("__id")).select(*names)
+    return drop_ids(single, gone.where("not other").select("__gone")).select(*names).unionByName(left)

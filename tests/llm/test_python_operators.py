@@ -138,6 +138,27 @@ def test_jaccard_of_repeated_rows_and_empty_table(spark):
     assert jaccard.similarity_groups(df.limit(0)).count() == 0
 
 
+def test_stages_judge_rows_not_ids(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    a, b, c, d = map(text, "abcd")
+    near = lambda t: t + " more"
+    rows = [(None, a, 1), (None, near(a), 2), (None, b, 3), (None, b, 4), (None, None, 5), (None, None, 6), (7, a + " x", 7)]
+    rows += [(3, near(c), 8), (5, c, 9), (5, d, 10), (8, near(d), 11), (9, "one two", 12), (9, "one two", 13), (4, "", 14), (None, text("e"), 15)]
+    df = spark.createDataFrame(rows, DOCS + ", part int").repartition(3)
+    kept = jaccard.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
+    assert got == sorted([("None", b), ("None", "None"), ("7", a + " x"), ("3", near(c)), ("5", d), ("9", "one two"), ("4", ""), ("None", text("e"))])
+    bare = df.where("doc_id is null")
+    assert sorted(str(r.text)[:2] for r in jaccard.keep_one(bare).collect()) == ["No", "a0", "b0", "e0"]
+    high = spark.createDataFrame([((1 << 63) - 1, c), (-5, near(c)), (None, near(c)), (None, d)], DOCS)
+    assert sorted(str(r.doc_id) for r in jaccard.keep_one(high).collect()) == ["-5", "None"]
+    bench = spark.createDataFrame([(1, a), (2, c)], "item_id bigint, text string")
+    clean = decontaminate.drop_contaminated(df, bench)
+    assert clean.columns == df.columns
+    assert sorted(r.part for r in clean.collect()) == [3, 4, 5, 6, 10, 11, 12, 13, 14, 15]
+
+
 def test_components_of_long_chains(spark):
     rng = random.Random(4)
     ids = list(range(120))
