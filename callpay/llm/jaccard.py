@@ -23,6 +23,7 @@ an empty table gives no rows. Other columns do not pass through the join; ``keep
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +33,20 @@ from pyspark.sql import functions as F
 from callpay.llm.shared import bloom_of_ids, components, drop_ids, stored
 from callpay.llm.textcodes import NOT_BLANK, batches_of, bloom_has, grams, id_codes, mix, word_codes
 
+#: Defaults: words of a shingle, and the least similarity in percent.
 SHINGLE, PERCENT = 4, 85
 COUNTER_BITS = 16
 
 
-def _shingles(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _shingles(part: pa.RecordBatch, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Shingle codes of a slice of texts, in order, and the offsets of the texts; a short text is one shingle."""
     codes, offsets = word_codes(part.column("text"), NOT_BLANK)
     n = np.diff(offsets)
-    counts = np.where(n >= SHINGLE, n - SHINGLE + 1, (n > 0).astype(np.int64))
+    counts = np.where(n >= shingle, n - shingle + 1, (n > 0).astype(np.int64))
     ends = np.concatenate([[0], np.cumsum(counts)])
     out = np.zeros(ends[-1], np.uint64)
-    runs = grams(codes, SHINGLE)
-    long = n >= SHINGLE
+    runs = grams(codes, shingle)
+    long = n >= shingle
     text = np.repeat(np.flatnonzero(long), counts[long])
     nth = np.arange(len(text)) - np.repeat(np.cumsum(counts[long]) - counts[long], counts[long])
     out[ends[text] + nth] = runs[offsets[text] + nth]
@@ -53,14 +55,14 @@ def _shingles(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, ends
 
 
-def count_shingles(docs: DataFrame) -> np.ndarray:
+def count_shingles(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
     """How often each of the counters was hit, over all texts. Fixed size: 2 ** COUNTER_BITS numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in batches:
             for part in batches_of(batch):
-                codes, _ = _shingles(part)
+                codes, _ = _shingles(part, shingle)
                 total += np.bincount((codes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
@@ -71,9 +73,9 @@ def count_shingles(docs: DataFrame) -> np.ndarray:
     return total
 
 
-def needed(a, b):
+def needed(a, b, percent: int = PERCENT):
     """Least overlap of two sets of these sizes that reaches the threshold."""
-    return F.ceil(PERCENT * (a + b) / F.lit(float(100 + PERCENT)) - 1e-9)
+    return F.ceil(percent * (a + b) / F.lit(float(100 + percent)) - 1e-9)
 
 
 def _range_counts(own: np.ndarray) -> bytes:
@@ -83,7 +85,7 @@ def _range_counts(own: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _may_overlap(batches: Iterator[pa.RecordBatch], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
     """Suffix filter: pairs whose range counts do not rule the threshold out. Counts cut at 255 differ less, so they rule out less."""
     for batch in batches:
         ok = []
@@ -92,12 +94,12 @@ def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             width = min(len(p), len(q))
             p, q = p.reshape(width, -1).sum(axis=1), q.reshape(width, -1).sum(axis=1)
             total = n.as_py() + m.as_py()
-            ok.append(np.abs(p - q).sum() <= total - 2 * (-(-PERCENT * total // (100 + PERCENT))))
+            ok.append(np.abs(p - q).sum() <= total - 2 * (-(-percent * total // (100 + percent))))
         keep = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
 
-def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, counters: np.ndarray, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, set size n, two codes of the set, prefix in order, counts by hash range."""
     seen = counters.tobytes()
 
@@ -105,12 +107,12 @@ def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
         often = np.frombuffer(seen, np.int64)
         for batch in batches:
             for part in batches_of(batch):
-                codes, ends = _shingles(part)
+                codes, ends = _shingles(part, shingle)
                 sizes, sums, heads, ranges = [], [], [], []
                 for a, b in zip(ends[:-1], ends[1:], strict=True):
                     own = np.unique(codes[a:b])
                     n = len(own)
-                    kept = n + (PERCENT * n) // -100 + 1 if n else 0
+                    kept = n + (percent * n) // -100 + 1 if n else 0
                     order = np.lexsort((own, often[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]))[:kept]
                     with np.errstate(over="ignore"):
                         sums.append((own.sum(dtype=np.uint64), mix(own).sum(dtype=np.uint64)))
@@ -130,7 +132,7 @@ def prefixes(docs: DataFrame, counters: np.ndarray) -> DataFrame:
     )
 
 
-def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _whole_sets(docs: DataFrame, ids: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, whole set as sorted bytes) of at least the documents named by ``ids``, picked by a filter of fixed size."""
     filled = bloom_of_ids(ids)
 
@@ -138,48 +140,51 @@ def _whole_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             wanted = bloom_has(filled, np.asarray(id_codes(batch.column("doc_id"))).view(np.uint64))
             for part in batches_of(batch.filter(pa.array(wanted))):
-                codes, ends = _shingles(part)
+                codes, ends = _shingles(part, shingle)
                 sets = [np.unique(codes[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "members"])
 
     return stored(docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(pick, "doc_id bigint, members binary"), "sets")
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _similar(batches: Iterator[pa.RecordBatch], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
             p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             both = len(p) + len(q) - len(np.union1d(p, q))
-            ok.append(100 * both >= PERCENT * (len(p) + len(q) - both))
+            ok.append(100 * both >= percent * (len(p) + len(q) - both))
         keep = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, spread: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, spread: DataFrame, docs: DataFrame, name: str, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) that pass the suffix filter and then the exact test, each tested once.
 
     Whole sets are made again from the texts, of the documents that are left in a pair.
     """
     side = lambda c: spread.select(F.col("doc_id").alias(f"{c}_id"), F.col("n").alias(f"{c}_n"), F.col("ranges").alias(f"{c}_r"))
     sized = pairs.distinct().join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
-    left = sized.select("a", "b", "a_n", "b_n", "a_r", "b_r").mapInArrow(_may_overlap, "a bigint, b bigint")
+    left = sized.select("a", "b", "a_n", "b_n", "a_r", "b_r").mapInArrow(partial(_may_overlap, percent=percent), "a bigint, b bigint")
     left = stored(left.distinct(), f"{name}-pairs")
-    sets = _whole_sets(docs, left.select("a").union(left.select("b")).distinct())
+    sets = _whole_sets(docs, left.select("a").union(left.select("b")).distinct(), shingle)
     members = lambda c, out: sets.select(F.col("doc_id").alias(f"{c}_id"), F.col("members").alias(out))
     whole = left.join(members("a", "x"), F.col("a") == F.col("a_id")).join(members("b", "y"), F.col("b") == F.col("b_id"))
-    return stored(whole.select("a", "b", "x", "y").mapInArrow(_similar, "a bigint, b bigint").distinct(), name)
+    return stored(whole.select("a", "b", "x", "y").mapInArrow(partial(_similar, percent=percent), "a bigint, b bigint").distinct(), name)
 
 
-def _may_link(n: str, at: str, m: str, to: str) -> Column:
+def _may_link(n: str, at: str, m: str, to: str, percent: int = PERCENT) -> Column:
     """Length and positional filter for prefix places ``at`` and ``to`` of sets of sizes ``n`` and ``m``."""
     n, at, m, to = F.col(n), F.col(at), F.col(m), F.col(to)
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (F.least(n - at, m - to) >= needed(n, m))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(n - at, m - to) >= needed(n, m, percent))
 
 
-def similarity_groups(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (smallest id reachable by links)."""
-    rows = stored(prefixes(docs, count_shingles(docs)), "prefixes")
+def similarity_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (smallest id reachable by links).
+
+    Texts are linked if their sets of runs of ``shingle`` words have a Jaccard similarity of ``percent`` or more.
+    """
+    rows = stored(prefixes(docs, count_shingles(docs, shingle), shingle, percent), "prefixes")
     same = ["set_a", "set_b", "n"]
     firsts = stored(
         rows.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("node")).withColumnsRenamed({c: f"f_{c}" for c in same}),
@@ -190,10 +195,10 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     places = nodes.select("doc_id", "n", F.posexplode("prefix").alias("at", "shingle")).repartition("shingle")
     lists = places.groupBy("shingle").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     lists = lists.where("members > 1").withColumnRenamed("shingle", "l_shingle")
-    smallest = F.greatest(F.col("least"), F.ceil(PERCENT * F.col("n") / 100.0 - 1e-9))
+    smallest = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100.0 - 1e-9))
     met = stored(
         places.join(lists, F.col("shingle") == F.col("l_shingle"))
-        .where(F.col("n") - F.col("at") >= needed(F.col("n"), smallest))
+        .where(F.col("n") - F.col("at") >= needed(F.col("n"), smallest, percent))
         .select("shingle", "doc_id", "n", "at"),
         "prefix-lists",
     )
@@ -204,7 +209,7 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     center = center.select(F.col("shingle").alias("c_shingle"), F.col("c.at").alias("to"), F.col("c.n").alias("m"), F.col("c.doc_id").alias("center"))
     near = met.join(center, F.col("shingle") == F.col("c_shingle")).where(F.col("doc_id") != F.col("center"))
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    first = _verified(near.where(_may_link("n", "at", "m", "to")).select(*ordered("doc_id", "center")), spread, docs, "links-center")
+    first = _verified(near.where(_may_link("n", "at", "m", "to", percent)).select(*ordered("doc_id", "center")), spread, docs, "links-center", shingle, percent)
 
     groups = components(first, "groups-center")
     member = groups.select(F.col("node").alias("g_node"), F.col("component").alias("g"))
@@ -221,9 +226,9 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     )
     once = (F.col("g") == F.col("main")) | (F.col("doc_id") < F.col("o_id"))
     across = open_lists.join(
-        outside, (F.col("shingle") == F.col("o_shingle")) & (F.col("g") != F.col("o_g")) & once & _may_link("n", "at", "m", "to")
+        outside, (F.col("shingle") == F.col("o_shingle")) & (F.col("g") != F.col("o_g")) & once & _may_link("n", "at", "m", "to", percent)
     )
-    second = _verified(across.select(*ordered("doc_id", "o_id")), spread, docs, "links-across")
+    second = _verified(across.select(*ordered("doc_id", "o_id")), spread, docs, "links-across", shingle, percent)
     final = components(first.unionByName(second), "groups")
 
     joined = firsts.join(final.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left")
@@ -262,7 +267,7 @@ def _separate(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return single, numbered.drop("__n", "__part", "__before")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Rows with one left of each group of similar texts, the one of the smallest id, with the columns they came with.
 
     Each row is judged by its own text: rows without id and different texts of one id are documents of their own. Of
@@ -271,10 +276,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     names = docs.columns
     single, others = _separate(docs)
     if others is None:
-        ids = stored(similarity_groups(docs), "similar")
+        ids = stored(similarity_groups(docs, shingle, percent), "similar")
         return drop_ids(docs, stored(ids.where("doc_id <> component_id").select("doc_id"), "not-first"))
     rows = single.select("doc_id", "text").unionByName(others.select("doc_id", "text"))
-    groups = similarity_groups(rows).select(F.col("doc_id").alias("key"), "component_id")
+    groups = similarity_groups(rows, shingle, percent).select(F.col("doc_id").alias("key"), "component_id")
     own = others.select(F.col("doc_id").alias("o_key"), "__id", "__tie")
     placed = stored(
         groups.join(own, F.col("key") == F.col("o_key"), "left").select(

@@ -138,6 +138,17 @@ def test_jaccard_of_repeated_rows_and_empty_table(spark):
     assert jaccard.similarity_groups(df.limit(0)).count() == 0
 
 
+def test_jaccard_of_other_shingles_and_bars(spark):
+    text = lambda c, n, changed=(): " ".join(f"{c}{i}" if i not in changed else f"x{i}" for i in range(n))
+    # five-word similarity 0.8 or more, four-word similarity under 0.85; the last pair is below both
+    rows = [(1, text("a", 50)), (2, text("a", 50, [25])), (3, text("b", 98)), (4, text("b", 98, [30, 60])), (5, text("c", 40)), (6, text("c", 40, [20]))]
+    df = spark.createDataFrame(rows, DOCS)
+    assert sorted(r.doc_id for r in jaccard.keep_one(df).collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.doc_id for r in jaccard.keep_one(df, 5, 80).collect()) == [1, 3, 5, 6]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similarity_groups(df, 5, 80).collect()}
+    assert got == {1: (46, 1), 2: (46, 1), 3: (94, 3), 4: (94, 3), 5: (36, 5), 6: (36, 6)}
+
+
 def test_stages_judge_rows_not_ids(spark):
     text = lambda c: " ".join(f"{c}{i}" for i in range(60))
     a, b, c, d = map(text, "abcd")
