@@ -6,8 +6,8 @@ constant where enough lines of the leaf have it at its place, otherwise the plac
 line's template is its leaf with the variable places left open. Templates that recur in
 ``MIN_DOCS`` documents or more, and of which enough places are constant, are boilerplate: their lines are dropped.
 
-A leaf with one wording is its own template; only lines of leaves that recur and vary are taken apart
-into tokens, once per distinct line. All steps are counts that are combined before they are
+Only lines of leaves that recur are taken apart into tokens, once per distinct line; open places are
+never constant, so a leaf of nothing but numbers is no boilerplate, with one wording or several. All steps are counts that are combined before they are
 shuffled, so that a line that a third of all documents share is one row per task.
 
 Cases: NULL and empty texts have no lines and stay as they are; lines of fewer than ``MIN_TOKENS`` tokens are
@@ -59,13 +59,10 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFram
     lines = stored(parsed.withColumn("wording", F.xxhash64("masked")).drop("masked"), "lines")
     held = lines.select("leaf", "wording", "doc_id", "code").distinct()
     wordings = stored(held.groupBy("leaf", "wording").agg(F.count("*").alias("docs")), "wordings")
-    leaves = wordings.groupBy("leaf").agg(F.sum("docs").alias("held"), F.count("*").alias("kinds")).where(f"held >= {min_docs}")
-    leaves = stored(leaves, "leaves")
-    single = wordings.join(leaves.where("kinds = 1").select(F.col("leaf").alias("s_leaf")), F.col("leaf") == F.col("s_leaf"))
-    alone = single.select("leaf", "wording", F.col("wording").alias("template"), "docs")
+    leaves = wordings.groupBy("leaf").agg(F.sum("docs").alias("held")).where(f"held >= {min_docs}")
+    leaves = stored(leaves.select(F.col("leaf").alias("h_leaf")), "leaves")
 
-    varied = leaves.where("kinds > 1").select(F.col("leaf").alias("v_leaf"))
-    texts = parsed.join(varied, F.col("leaf") == F.col("v_leaf"), "left_semi").withColumn("wording", F.xxhash64("masked"))
+    texts = parsed.join(leaves, F.col("leaf") == F.col("h_leaf"), "left_semi").withColumn("wording", F.xxhash64("masked"))
     once = texts.groupBy("leaf", "wording").agg(F.min("masked").alias("masked"))
     counted = once.join(wordings.withColumnsRenamed({"leaf": "w_leaf", "wording": "w"}), (F.col("leaf") == F.col("w_leaf")) & (F.col("wording") == F.col("w")))
     tokens = stored(
@@ -86,7 +83,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFram
     )
     named = places.where(f"100 * constant >= {CONSTANT_PERCENT} * places")
     general = named.select("leaf", "wording", F.xxhash64("leaf", "named", "constant").alias("template"), "docs")
-    templates = stored(alone.unionByName(general), "templates")
+    templates = stored(general, "templates")
 
     often = templates.select(F.col("leaf").alias("t_leaf"), F.col("wording").alias("t_wording"), "template")
     on = (F.col("leaf") == F.col("t_leaf")) & (F.col("wording") == F.col("t_wording"))

@@ -248,6 +248,13 @@ def test_recurring_templates_are_dropped(spark):
     assert templates.drop_recurring(df.limit(0)).count() == 0
 
 
+def test_number_tables_are_no_boilerplate(spark):
+    rows = [(i, f"{i} {i + 1} {i + 2} {i + 3}\nrow {i} {i * 7} {i * 9}\nsold {i} boxes today here") for i in range(12)]
+    got = {r.doc_id: r for r in templates.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, text in rows:
+        assert got[i].text == text.rsplit("\n", 1)[0] and got[i].n_dropped == got[i].n_templates == 1
+
+
 def test_template_query_equals_plain_parse(spark):
     """The same definition, one dictionary at a time."""
     import re
