@@ -4,15 +4,15 @@ Lines are parsed to a fixed depth: by their number of tokens, then by their lead
 with a digit counts as variable. Inside such a leaf, fields generalise by position: a token stays
 constant where enough lines of the leaf have it at its place, otherwise the place is variable. A
 line's template is its leaf with the variable places left open. Templates that recur in
-``MIN_DOCS`` documents or more, and of which enough places are constant, are boilerplate: their lines are dropped.
+``MIN_DOCS`` different texts or more, and of which enough places are constant, are boilerplate: their lines are dropped.
 
 Only lines of leaves that recur are taken apart into tokens, once per distinct line; open places are
 never constant, so a leaf of nothing but numbers is no boilerplate, with one wording or several. All steps are counts that are combined before they are
 shuffled, so that a line that a third of all documents share is one row per task.
 
 Cases: NULL and empty texts have no lines and stay as they are; lines of fewer than ``MIN_TOKENS`` tokens are
-always kept; a line repeated within one document counts once; repeated documents are one document here
-(the same id and text); an empty table gives no rows. Other columns pass through.
+always kept; a line repeated within one document counts once; documents of one text count as one here,
+whatever their ids; an empty table gives no rows. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -57,7 +57,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFram
     """(lines without their texts, wordings that are dropped): columns doc_id, code, at, leaf, wording; leaf, wording, template."""
     parsed = parsed_lines(docs)
     lines = stored(parsed.withColumn("wording", F.xxhash64("masked")).drop("masked"), "lines")
-    held = lines.select("leaf", "wording", "doc_id", "code").distinct()
+    held = lines.select("leaf", "wording", "code").distinct()
     wordings = stored(held.groupBy("leaf", "wording").agg(F.count("*").alias("docs")), "wordings")
     leaves = wordings.groupBy("leaf").agg(F.sum("docs").alias("held")).where(f"held >= {min_docs}")
     leaves = stored(leaves.select(F.col("leaf").alias("h_leaf")), "leaves")
@@ -87,7 +87,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFram
 
     often = templates.select(F.col("leaf").alias("t_leaf"), F.col("wording").alias("t_wording"), "template")
     on = (F.col("leaf") == F.col("t_leaf")) & (F.col("wording") == F.col("t_wording"))
-    spread = held.join(often, on).select("template", "doc_id", "code").distinct().groupBy("template").count()
+    spread = held.join(often, on).select("template", "code").distinct().groupBy("template").count()
     recurring = spread.where(f"count >= {min_docs}").select(F.col("template").alias("r"))
     dropped = templates.join(recurring, F.col("template") == F.col("r")).select("leaf", "wording", "template")
     return lines, stored(dropped, "dropped")

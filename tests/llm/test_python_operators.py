@@ -255,6 +255,15 @@ def test_number_tables_are_no_boilerplate(spark):
         assert got[i].text == text.rsplit("\n", 1)[0] and got[i].n_dropped == got[i].n_templates == 1
 
 
+def test_copies_do_not_drop_their_own_lines(spark):
+    own = "a line that only the copied text has\nand another such line of prose"
+    shared = "This line is in every text of the site"
+    rows = [(i, own) for i in range(25)] + [(100 + i, f"{shared}\nx{'abcdefghij'[i] * 3} stands alone in this document") for i in range(10)]
+    got = {r.doc_id: r for r in templates.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i].text == own and got[i].n_dropped == 0 for i in range(25))
+    assert all(shared not in got[100 + i].text and got[100 + i].n_dropped == 1 for i in range(10))
+
+
 def test_template_query_equals_plain_parse(spark):
     """The same definition, one dictionary at a time."""
     import re
