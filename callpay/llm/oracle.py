@@ -113,9 +113,91 @@ FROM measured m JOIN verdicts v ON m.source IS NOT DISTINCT FROM v.source
 """
 
 
+OP11 = r"""
+WITH RECURSIVE said AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place
+    FROM conversations
+), drawn AS (
+    -- crc32, bit by bit
+    SELECT *, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(place, ''), lambda c: ord(c)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+            lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 20 AS d
+    FROM said
+), spoiled AS (
+    SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+           CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM drawn, unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) WHERE d <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial
+    FROM spoiled
+), judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+    FROM placed
+), counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+), inserts (a, m, cost, audit, lines) AS (
+    -- states: 0 nothing, 1 system, 2 user, 3 assistant; rows inserted before one that stays or goes
+    VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+           (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (3, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']),
+           (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:'])
+), edits (m, b, edit, cost, initial, role) AS (
+    VALUES (0, 0, 'D', 2, NULL, NULL), (1, 1, 'D', 2, NULL, NULL), (2, 2, 'D', 2, NULL, NULL), (3, 3, 'D', 2, NULL, NULL),
+           (0, 1, 'K', 0, 's', NULL), (0, 2, 'K', 0, 'u', NULL), (1, 2, 'K', 0, 'u', NULL), (2, 3, 'K', 0, 'a', NULL),
+           (3, 2, 'K', 0, 'u', NULL),
+           (0, 2, 'R', 1, NULL, 'user'), (1, 2, 'R', 1, NULL, 'user'), (2, 3, 'R', 1, NULL, 'assistant'), (3, 2, 'R', 1, NULL, 'user')
+), walk AS (
+    SELECT conv_id, 0::BIGINT AS i, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS best FROM counted
+    UNION ALL
+    SELECT j.conv_id, j.i, e.b, min({
+        'cost': w.best.cost + n.cost + e.cost + CASE WHEN j.fault = 'truncated' AND e.edit <> 'D' THEN 5 ELSE 0 END,
+        'audit': w.best.audit || n.audit || e.edit,
+        'lines': list_concat(w.best.lines, n.lines, CASE WHEN e.edit = 'D' THEN [] ELSE [coalesce(e.role, j.role) || ':' || j.text] END)})
+    FROM walk w
+    JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1
+    JOIN inserts n ON n.a = w.state
+    JOIN edits e ON e.m = n.m AND (e.initial IS NULL OR e.initial = j.initial)
+                AND (e.edit = 'D' OR j.fault NOT IN ('blank', 'duplicate'))
+    GROUP BY j.conv_id, j.i, e.b
+), ended AS (
+    SELECT c.conv_id, min({'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.audit, 'lines': list_concat(w.best.lines, n.lines)}) AS best
+    FROM counted c
+    JOIN walk w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n
+    JOIN inserts n ON n.a = w.state AND n.m IN (0, 3)
+    GROUP BY c.conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP13 = """
+WITH kept AS (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+    FROM kept q JOIN kept c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op2_chat_prefix_targets": OP2,
     "op4_winnowed_benchmark": OP4,
     "op9_jaccard_groups": OP9,
     "op10_host_rules": _host_rules(),
+    "op11_hirschberg_repair": OP11.strip(),
+    "op13_norm_sorted_top_k": OP13.strip(),
 }

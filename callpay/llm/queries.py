@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callpay.llm import chat, classifier, decontaminate, jaccard, katz, licenses, mixing, quality_rules, sharding, templates
+from callpay.llm import (
+    chat,
+    classifier,
+    decontaminate,
+    dialogue,
+    innerproduct,
+    jaccard,
+    katz,
+    licenses,
+    mixing,
+    quality_rules,
+    sharding,
+    templates,
+    whitening,
+)
 from callpay.llm.shared import held_by, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +140,20 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op11_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return dialogue.conversation_report(turns, dialogue.damage(turns))
+
+
+@query
+def op12_bitsliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fitted = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitening.component_rows(rows, fitted)
+
+
+@query
+def op13_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return innerproduct.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
