@@ -5,21 +5,20 @@ event: the latest anchor (a running ``max`` of (time, id)), or the number of
 anchors whose window is open (a running ``sum`` of +1/-1). Neither ever forms
 event-anchor pairs.
 
-Ordinary keys take one shuffle: anchors and events are united, partitioned by
-key and scanned in time order. A key with more than ``hot_rows`` rows would
-make that scan one endless task, so such keys take a second route:
+One plan serves keys of any size, a scan in two levels:
 
-1. events and anchors shrink to one row per distinct (key, instant), combined
+1. anchors and events shrink to one row per distinct (key, instant), combined
    map-side;
-2. those are scanned per (key, minute), a group bounded by clock resolution;
-3. one row per (key, minute) carries the value of earlier minutes forward;
-4. the answer per (key, instant) joins back onto the events, an equi join
+2. those are scanned per (key, slice of time): no group is larger than the
+   instants of one slice, a minute unless ``slice_of`` says otherwise (any
+   function of the instant that never falls as time goes on);
+3. the last row of each slice, its whole fold, is scanned per key; that hands
+   the fold of all earlier slices to each slice, one narrow row apiece;
+4. the answers at events' instants join back onto the events, an equi join
    whose event side adaptive execution may split.
 
-Hot keys are found by one job that reads only the key columns. At most
-``MAX_HOT_KEYS`` of them, the largest, are listed and broadcast; a key beyond
-that list holds less than ``rows / MAX_HOT_KEYS`` rows and is safe on the first
-route. With no hot key the plan is the first route alone.
+Nothing is counted beforehand: building the plan runs no job, and there is
+no list of large keys, no size at which the plan changes.
 
 Timestamps are expected as TIMESTAMP_NTZ.
 """
@@ -27,7 +26,6 @@ Timestamps are expected as TIMESTAMP_NTZ.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,71 +34,6 @@ from callpay.functions.columns import days, minute_number
 from callpay.operators.filters import require
 from callpay.operators.keys import join_keys
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
-
-
-def _hot_keys(events: DataFrame, points: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """The largest keys with more than ``hot_rows`` rows, or None when there are none."""
-    keys = require(events.select(*by).unionAll(points.select(*by)), *by)
-    sizes = keys.groupBy(*by).count().where(F.col("count") > hot_rows)
-    hot = sizes.orderBy(F.col("count").desc(), *by).select(*by).limit(MAX_HOT_KEYS)
-    found = hot.collect()
-    return events.sparkSession.createDataFrame(found, hot.schema) if found else None
-
-
-def _scan_whole_keys(events, points, by, event_ts, fold) -> DataFrame:
-    """One window per key. Events without key or time get a group of their own."""
-    lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in (*by, event_ts)])
-    lonely = F.when(lacking, F.xxhash64(*events.columns))
-    timeline = points.withColumn("_kind", F.lit(0)).unionByName(
-        events.withColumns({"_at": F.col(event_ts), "_kind": F.lit(1), "_lonely": lonely}),
-        allowMissingColumns=True,
-    )
-    so_far = (
-        Window.partitionBy(*by, "_lonely")
-        .orderBy("_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        timeline.withColumn("_run", fold(F.col("_value")).over(so_far))
-        .where(F.col("_kind") == 1)
-        .select(*events.columns, "_run")
-    )
-
-
-def _scan_by_minute(events, points, by, event_ts, fold, merge, at_instant, value) -> DataFrame:
-    """The route of hot keys: no group larger than the instants of one minute.
-
-    ``at_instant`` combines the points of one instant in plain numbers, a hash aggregate; ``value`` makes of
-    them what ``fold`` takes.
-    """
-    instants = (
-        points.drop("_value")
-        .unionByName(events.select(*by, F.col(event_ts).alias("_at")), allowMissingColumns=True)
-        .groupBy(*by, "_at")
-        .agg(*at_instant)
-        .withColumns({"_value": value, "_minute": minute_number("_at")})
-    )
-    in_minute = (
-        Window.partitionBy(*by, "_minute")
-        .orderBy("_at")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    earlier = Window.partitionBy(*by).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        instants.groupBy(*by, "_minute")
-        .agg(fold(F.col("_value")).alias("_total"))
-        .select(*by, "_minute", fold(F.col("_total")).over(earlier).alias("_carry"))
-    )
-    answers = (
-        instants.select(*by, "_minute", "_at", fold(F.col("_value")).over(in_minute).alias("_here"))
-        .join(carried, [*by, "_minute"])
-        .select(*by, "_at", merge(F.col("_here"), F.col("_carry")).alias("_run"))
-    )
-    joined = join_keys(events, answers, by, "left", extra=F.col(event_ts) == F.col("_at"))
-    return joined.select(*events.columns, "_run")
-
 
 def _running(
     events: DataFrame,
@@ -109,25 +42,43 @@ def _running(
     event_ts: str,
     fold: Callable[[Column], Column],
     merge: Callable[[Column, Column], Column],
-    hot_rows: int,
     at_instant: Sequence[Column],
     value: Column,
+    slice_of: Callable[[str], Column],
 ) -> DataFrame:
-    """``events`` plus ``_run``, the fold of ``points`` (key, _at, _value, and a number) up to each event."""
-    points = require(points, *by, "_at")
-    hot = _hot_keys(events, points, by, hot_rows)
-    if hot is None:
-        return _scan_whole_keys(events, points, by, event_ts, fold)
-    hot, timed = F.broadcast(hot), F.col(event_ts).isNotNull()
-    ordinary = _scan_whole_keys(
-        join_keys(events, hot, by, "left_anti", extra=timed), join_keys(points, hot, by, "left_anti"),
-        by, event_ts, fold,
+    """``events`` plus ``_run``, the fold of ``points`` (key, _at, number) up to each event.
+
+    ``at_instant`` combines the points of one instant in plain numbers, a hash aggregate; ``value`` makes of
+    them what ``fold`` takes. Events without key or time match no answer.
+    """
+    asked = events.select(*by, F.col(event_ts).alias("_at"), F.lit(1).alias("_asked"))
+    timed = require(points.unionByName(asked, allowMissingColumns=True), *by, "_at")
+    instants = (
+        # the planner would see to this filter in one reader of ``scanned`` only, and so not share its shuffles
+        timed.where(slice_of("_at").isNotNull())
+        .groupBy(*by, "_at")
+        .agg(*at_instant, F.max("_asked").alias("_asked"))
+        .select(*by, "_at", slice_of("_at").alias("_slice"), value.alias("_value"), "_asked")
+    )
+    in_slice = Window.partitionBy(*by, "_slice").orderBy("_at")
+    so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = instants.select(
+        *by, "_slice", "_at", "_asked", fold(F.col("_value")).over(so_far).alias("_here"),
+        F.lead("_at").over(in_slice).isNull().alias("_last"),
     )
-    sliced = _scan_by_minute(
-        join_keys(events, hot, by, "left_semi", extra=timed), join_keys(points, hot, by, "left_semi"),
-        by, event_ts, fold, merge, at_instant, value,
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # names _asked, always true here, so that both readers of ``scanned`` need the same columns and share its shuffles
+    ends = scanned.where("_last AND (_asked IS NULL OR _asked = 1)")
+    carried = ends.select(*by, "_slice", fold(F.col("_here")).over(earlier).alias("_carry"))
+    answers = (
+        scanned.where("_asked = 1")
+        .join(carried, [*by, "_slice"])
+        .select(*by, "_at", merge(F.col("_here"), F.col("_carry")).alias("_run"))
     )
-    return ordinary.unionByName(sliced)
+    # both sides are shuffled for this join, so that a hot instant can be split (see join_per_key)
+    at = answers.withColumnRenamed("_at", "_b_at")
+    joined = join_keys(events, at, by, "left", null_safe=True, extra=F.col(event_ts).eqNullSafe(F.col("_b_at")))
+    return joined.select(*events.columns, "_run")
 
 
 def attribute_nearest(
@@ -140,7 +91,7 @@ def attribute_nearest(
     anchor_id: str,
     within_days: int,
     out: str,
-    hot_rows: int = HOT_ROWS,
+    slice_of: Callable[[str], Column] = minute_number,
 ) -> DataFrame:
     """Every event, with the id of the latest anchor of its key in (event - N days, event].
 
@@ -152,14 +103,13 @@ def attribute_nearest(
         *by,
         F.col(anchor_ts).alias("_at"),
         F.col(anchor_id).alias("_id"),
-        F.struct(F.col(anchor_ts).alias("at"), F.col(anchor_id).alias("id")).alias("_value"),
+        F.lit(1).alias("_point"),
     )
     latest = [F.max("_id").alias("_id"), F.count("_point").alias("_points")]
     value = F.when(F.col("_points") > 0, F.struct(F.col("_at").alias("at"), F.col("_id").alias("id")))
     run = _running(
-        events, points.withColumn("_point", F.lit(1)), by, event_ts, F.max,
-        lambda here, carry: F.coalesce(here, carry), hot_rows, latest, value,
-    ).drop("_id", "_point")
+        events, points, by, event_ts, F.max, lambda here, carry: F.coalesce(here, carry), latest, value, slice_of
+    )
     in_window = F.col("_run.at") > F.col(event_ts) - days(within_days)
     return run.withColumn(out, F.when(in_window, F.col("_run.id"))).drop("_run")
 
@@ -173,21 +123,21 @@ def count_in_window(
     anchor_ts: str,
     within_days: int,
     out: str,
-    hot_rows: int = HOT_ROWS,
+    slice_of: Callable[[str], Column] = minute_number,
 ) -> DataFrame:
     """Every event, with the number of anchors of its key in (event - N days, event].
 
     This is the interval join counted without its pairs: each anchor opens its
     window (+1) at its own time and closes it (-1) N days later.
     """
-    opens = anchors.select(*by, F.col(anchor_ts).alias("_at"), F.lit(1).cast("bigint").alias("_value"))
-    closes = anchors.select(
-        *by, (F.col(anchor_ts) + days(within_days)).alias("_at"), F.lit(-1).cast("bigint").alias("_value")
+    turns = F.array(
+        F.struct(F.col(anchor_ts).alias("_at"), F.lit(1).cast("bigint").alias("_step")),
+        F.struct((F.col(anchor_ts) + days(within_days)).alias("_at"), F.lit(-1).cast("bigint").alias("_step")),
     )
-    steps = opens.unionAll(closes).withColumn("_step", F.col("_value"))
+    steps = anchors.select(*by, F.inline(turns))
     run = _running(
         events, steps, by, event_ts, F.sum,
         lambda here, carry: F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0)),
-        hot_rows, [F.sum("_step").alias("_step")], F.col("_step"),
+        [F.sum("_step").alias("_step")], F.col("_step"), slice_of,
     )
     return run.withColumn(out, F.coalesce(F.col("_run"), F.lit(0)).cast("bigint")).drop("_run")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callpay.functions.columns import convert_amount
-from callpay.operators.asof import HOT_ROWS, attribute_nearest
+from callpay.functions.columns import convert_amount, minute_number
+from callpay.operators.asof import attribute_nearest
 from callpay.operators.filters import nonzero, only_true, require
 from callpay.operators.joins import lookup_rate
 from callpay.operators.matching import attach_match, match_ids_in_text
@@ -33,7 +33,7 @@ def attribute_payments(
     fx: DataFrame,
     window_days: int = 3,
     by: Sequence[str] = ("contract_id",),
-    hot_rows: int = HOT_ROWS,
+    slice_of: Callable[[str], Column] = minute_number,
 ) -> DataFrame:
     """Every non-zero payment with the nearest preceding call on its contract and its USD value.
 
@@ -48,7 +48,7 @@ def attribute_payments(
         anchor_id="call_log_id",
         within_days=window_days,
         out="attributed_call_log_id",
-        hot_rows=hot_rows,
+        slice_of=slice_of,
     )
     return lookup_rate(nearest, fx, "currency_code", "paid_at_utc").select(
         *payments.columns,

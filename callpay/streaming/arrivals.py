@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
-from callpay.operators.asof import HOT_ROWS, attribute_nearest
+from callpay.operators.asof import attribute_nearest
 from callpay.operators.keys import join_keys
 from callpay.sources.contracts import SourceContract
 from callpay.sources.extracts import source_file
@@ -91,7 +91,6 @@ def attribute_stream(
     *,
     by: Sequence[str] = ("contract_id",),
     window_days: int = 3,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Attribute payments as they arrive against the dispositions landed so far.
 
@@ -112,7 +111,7 @@ def attribute_stream(
             )
         attribute_nearest(
             batch, reachable, by=list(by), event_ts="paid_at_utc", anchor_ts="disposed_at_utc",
-            anchor_id="call_log_id", within_days=window_days, out="attributed_call_log_id", hot_rows=hot_rows,
+            anchor_id="call_log_id", within_days=window_days, out="attributed_call_log_id",
         ).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     (

@@ -152,12 +152,12 @@ def candidate_calls_in_window(spark, sf_dir):
 
 @query
 def candidate_calls_sliced(spark, sf_dir):
-    """The same with contracts of more than 10 rows taking the route of hot keys."""
+    """The same with slices of a day instead of a minute."""
     m = Models(spark, sf_dir)
     return asof.count_in_window(
         m.payments().select("payment_row_key", "contract_id", "paid_at_utc"), m.dispositions,
         by=["contract_id"], event_ts="paid_at_utc", anchor_ts="disposed_at_utc", within_days=3, out="candidate_calls",
-        hot_rows=10,
+        slice_of=F.to_date,
     )
 
 
@@ -168,8 +168,8 @@ def attribute_payments(spark, sf_dir):
 
 @query
 def attribute_payments_sliced(spark, sf_dir):
-    """Attribution with contracts of more than 40 rows taking the route of hot keys."""
-    return rounded(shown(Models(spark, sf_dir).attribution(hot_rows=40)), amount_usd=6)
+    """Attribution with slices of a day instead of a minute."""
+    return rounded(shown(Models(spark, sf_dir).attribution(slice_of=F.to_date)), amount_usd=6)
 
 
 @query
@@ -198,7 +198,7 @@ def nearest_order_by_status(spark, sf_dir):
     items, orders = _shipped_and_ordered(spark, sf_dir)
     return asof.attribute_nearest(
         items, orders, by=["status"], event_ts="l_shipdate", anchor_ts="o_orderdate", anchor_id="o_orderkey",
-        within_days=3, out="nearest_order", hot_rows=1000,
+        within_days=3, out="nearest_order",
     )
 
 
@@ -208,7 +208,7 @@ def orders_in_window_by_status(spark, sf_dir):
     items, orders = _shipped_and_ordered(spark, sf_dir)
     return asof.count_in_window(
         items, orders, by=["status"], event_ts="l_shipdate", anchor_ts="o_orderdate", within_days=3,
-        out="orders_in_window", hot_rows=1000,
+        out="orders_in_window",
     )
 
 

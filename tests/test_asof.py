@@ -1,14 +1,17 @@
-"""Attribution and window counts against brute force, on both routes."""
+"""Attribution and window counts against brute force, with slices of several widths."""
 
 import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from callpay.operators import asof
+from callpay.functions.columns import minute_number
 from callpay.operators.asof import attribute_nearest, count_in_window
 
 START = datetime(2024, 3, 30, 22)
+#: A minute, a day, an instant, all of time.
+SLICES = [minute_number, F.to_date, F.col, lambda c: F.lit(0)]
 
 
 def make(seed, n_events=120, n_anchors=160, keys=5, hot_share=0.4):
@@ -44,14 +47,14 @@ def frames(spark, events, anchors):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 100, 20, 0])
+@pytest.mark.parametrize("slice_of", SLICES)
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_nearest_equals_brute_force(spark, seed, hot_rows):
+def test_nearest_equals_brute_force(spark, seed, slice_of):
     events, anchors = make(seed)
     e, a = frames(spark, events, anchors)
     got = attribute_nearest(
         e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
-        hot_rows=hot_rows,
+        slice_of=slice_of,
     )
     assert got.columns == ["event_id", "k", "at", "near"]
     want = {ev[0]: (max(candidates(ev, anchors, 3))[1] if candidates(ev, anchors, 3) else None) for ev in events}
@@ -59,39 +62,26 @@ def test_nearest_equals_brute_force(spark, seed, hot_rows):
     assert len(rows) == len(events) and dict(rows) == want
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 30, 0])
+@pytest.mark.parametrize("slice_of", SLICES)
 @pytest.mark.parametrize("seed", [4, 5])
-def test_count_equals_brute_force(spark, seed, hot_rows):
+def test_count_equals_brute_force(spark, seed, slice_of):
     events, anchors = make(seed)
     e, a = frames(spark, events, anchors)
     got = count_in_window(
-        e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", within_days=3, out="n", hot_rows=hot_rows
+        e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", within_days=3, out="n", slice_of=slice_of
     )
     assert {r.event_id: r.n for r in got.collect()} == {ev[0]: len(candidates(ev, anchors, 3)) for ev in events}
 
 
-def test_more_hot_keys_than_may_be_listed(spark, monkeypatch):
-    """Keys beyond the list stay on the first route; the result is the same."""
-    monkeypatch.setattr(asof, "MAX_HOT_KEYS", 2)
-    events, anchors = make(8)
-    e, a = frames(spark, events, anchors)
-    got = attribute_nearest(
-        e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
-        hot_rows=0,
-    )
-    want = {ev[0]: (max(candidates(ev, anchors, 3))[1] if candidates(ev, anchors, 3) else None) for ev in events}
-    assert {r.event_id: r.near for r in got.collect()} == want
-
-
 def test_two_column_key(spark):
     e = spark.createDataFrame(
         [(1, 1, 7, START), (2, 2, 7, START)], "event_id long, tenant long, k long, at timestamp_ntz"
     )
     a = spark.createDataFrame([(9, 1, 7, START)], "anchor_id long, tenant long, k long, anchor_at timestamp_ntz")
-    for hot_rows in (10, 0):
+    for slice_of in SLICES:
         got = attribute_nearest(
             e, a, by=["tenant", "k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3,
-            out="near", hot_rows=hot_rows,
+            out="near", slice_of=slice_of,
         )
         assert {r.event_id: r.near for r in got.collect()} == {1: 9, 2: None}
 
@@ -109,10 +99,10 @@ def test_window_edges(spark):
         ],
         "anchor_id long, k long, anchor_at timestamp_ntz",
     )
-    for hot_rows in (10, 0):
+    for slice_of in SLICES:
         got = attribute_nearest(
             e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
-            hot_rows=hot_rows,
+            slice_of=slice_of,
         )
         assert {r.event_id: r.near for r in got.collect()} == {1: 11, 2: None, 3: 13, 4: None}
 
@@ -125,27 +115,41 @@ def test_result_does_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
         got = attribute_nearest(
             e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
-            hot_rows=0,
         )
         results.append(sorted((r.event_id, r.near) for r in got.select("event_id", "near").na.fill(-1).collect()))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert results[0] == results[1] == results[2]
 
 
-def test_no_pairs_and_one_window_without_hot_keys(spark):
-    e, a = frames(spark, *make(7))
-    got = attribute_nearest(
-        e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near"
-    )
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+def jobs_of(spark, build):
+    """What ``build`` returns, and the number of jobs it ran."""
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    try:
+        return build(), len(context.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_runs_no_job_and_one_plan_serves_all(spark):
+    """No key is looked at beforehand: the plan of one hot key and of many small ones is the same, without pairs."""
+    shapes = []
+    for hot_share in (0.0, 1.0):
+        e, a = frames(spark, *make(7, hot_share=hot_share))
+        for operator, more in ((attribute_nearest, {"anchor_id": "anchor_id"}), (count_in_window, {})):
+            got, jobs = jobs_of(
+                spark, lambda: operator(e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", within_days=3, out="x", **more)
+            )
+            assert jobs == 0
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert "Cartesian" not in plan and plan.count("Join") == 2
+            shapes.append(len(plan.splitlines()))
+    assert shapes[:2] == shapes[2:]
+    assert jobs_of(spark, lambda: e.count())[1] > 0
 
 
 def test_one_key_holding_most_rows_is_sliced(spark):
     """90 % of 60,000 events and anchors on one key: no task may see them all."""
-    from pyspark.sql import functions as F
-
     n = 30_000
     base = spark.range(n).select(
         F.col("id"),
@@ -156,6 +160,5 @@ def test_one_key_holding_most_rows_is_sliced(spark):
     a = base.select(F.col("id").alias("anchor_id"), "k", F.col("t").alias("anchor_at"))
     got = attribute_nearest(
         e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
-        hot_rows=1_000,
     )
     assert got.where("near <=> event_id").count() == n

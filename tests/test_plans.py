@@ -156,7 +156,6 @@ def test_one_instant_of_one_contract_is_split(spark, small_skew_limits):
     a = spark.createDataFrame([(7, 0, datetime(2023, 12, 31, 23))], "anchor_id long, k long, anchor_at timestamp_ntz")
     near = attribute_nearest(
         e, a, by=["k"], event_ts="at", anchor_ts="anchor_at", anchor_id="anchor_id", within_days=3, out="near",
-        hot_rows=1000,
     )
     rows, text = run_and_show(near.agg(F.count_if(F.col("near") == 7).alias("n"), F.max("payload")))
     window = sum(1 for i in range(n) if i % 3 == 0 or (i % 5000) < 71 * 60)
