@@ -9,16 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
 from callpay.operators.asof import attribute_nearest
-from callpay.operators.keys import join_keys
 from callpay.sources.contracts import SourceContract
 from callpay.sources.extracts import source_file
 from callpay.sources.tables import read_or_empty
+from callpay.streaming.settlement import state_on_disk
 
 
 #: Bytes of new files that one micro-batch takes.
@@ -59,27 +59,37 @@ def land_stream(stream: DataFrame, out: str, checkpoint: str, partition_by: Sequ
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-def land_new(stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str) -> DataFrame:
-    """Land the first row of each key, however late a copy or the first row arrives.
+def land_new(
+    stream: DataFrame, keys: Sequence[str], out: str, checkpoint: str, order: Sequence[Column] = ()
+) -> DataFrame:
+    """Land one row of each key, however late a copy or the first row arrives; NULL keys equal each other.
 
-    The landed keys are the state: every micro-batch keeps one row per key and drops the keys of
-    earlier batches, so nothing hangs on a watermark and a row never seen before always lands. A
-    batch has a folder of its own, which a repeated batch replaces.
+    The keys that landed are the state of the query, kept in RocksDB below the checkpoint: a batch looks up
+    its own keys and stores the new ones, and reads nothing of the landed table. Of several new rows of a key in one batch
+    the first in ``order`` lands, then no later one; without ``order`` (copies are alike) any does, and the
+    state holds keys alone.
     """
-    spark, schema = stream.sparkSession, T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
-
-    def land(batch: DataFrame, batch_id: int) -> None:
-        landed = read_or_empty(spark, out, schema).where(F.col("batch_id") < batch_id).select(*keys)
-        fresh = join_keys(batch.dropDuplicates(list(keys)), landed, keys, "left_anti", null_safe=True)
-        fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    (
-        stream.writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    spark = stream.sparkSession
+    if order:
+        # one time per micro-batch, the same when it is repeated
+        timed = stream.withColumn("_now", F.current_timestamp())
+        first = timed.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+            F.min_by(F.struct(*stream.columns), F.struct("_now", *order)).alias("_row"), F.min("_now").alias("_since")
+        )
+        rows = first.where(F.col("_since") == F.current_timestamp()).select("_row.*")
+    else:
+        rows = stream.dropDuplicates(list(keys))
+    with state_on_disk(spark):
+        if order:
+            writer = rows.writeStream.outputMode("update").foreachBatch(
+                lambda part, batch_id: part.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            )
+        else:
+            writer = rows.writeStream.outputMode("append").format("parquet").option("path", out)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if not order:
+        return read_or_empty(spark, out, stream.schema)
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
     return read_or_empty(spark, out, schema).drop("batch_id")
 
 

@@ -553,3 +553,4 @@ ORACLE: dict[str, str] = {
         "disp",
     ),
 }
+ORACLE["stream_late_calls"] = ORACLE["stream_attribution"]

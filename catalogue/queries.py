@@ -19,7 +19,7 @@ from callpay.plans.pipeline import run_pipeline
 from callpay.sources import extracts, landing, tables
 from callpay.sources.contracts import MARKET_ORDER, PAYMENT_COLUMNS, PAYMENT_KEY_SHORT, SOURCES, country_seed
 from callpay.session import scratch_path
-from callpay.streaming import arrivals
+from callpay.streaming import arrivals, settlement
 from catalogue import roles
 from catalogue.models import Models
 from catalogue.roles import AS_OF, table
@@ -659,3 +659,44 @@ def stream_attribution(spark, sf_dir):
         return Models(spark, sf_dir).dispositions.where("contract_id IS NOT NULL")
 
     return arrivals.attribute_stream(payments, dispositions, f"{out}/table", f"{out}/checkpoint")
+
+
+#: Rows of so many days arrive together in ``stream_late_calls``.
+ARRIVAL_DAYS = 15
+
+
+@query
+def stream_late_calls(spark, sf_dir):
+    """Two streams with state: every third call arrives a delivery later than the payments it precedes, and still counts."""
+    out = scratch_path(spark, "stream_late_calls")
+    payments = table(spark, sf_dir, "events").where("event_type = 'purchase'").select(
+        F.col("event_id").alias("payment_id"), F.col("user_id").alias("contract_id"), F.col("ts").alias("paid_at_utc")
+    )
+    calls = Models(spark, sf_dir).dispositions.select("call_log_id", "contract_id", "disposed_at_utc")
+
+    def delivery(ts: str):
+        return F.floor(F.unix_date(F.to_date(ts)) / ARRIVAL_DAYS)
+
+    sent = {
+        "payments": payments.withColumn("_delivery", delivery("paid_at_utc")),
+        "calls": calls.withColumn("_delivery", delivery("disposed_at_utc") + F.when(F.col("call_log_id") % 3 == 0, 1).otherwise(0)),
+    }
+    for name, rows in sent.items():
+        rows.write.partitionBy("_delivery").parquet(f"{out}/sent/{name}")
+    span = spark.read.parquet(f"{out}/sent/calls").unionByName(
+        spark.read.parquet(f"{out}/sent/payments"), allowMissingColumns=True
+    ).agg(F.min("_delivery").alias("first"), F.max("_delivery").alias("last")).first()
+
+    def settle() -> DataFrame:
+        streams = [arrivals.stream_table(spark, df.schema, f"{out}/landed/{n}") for n, df in (("payments", payments), ("calls", calls))]
+        return settlement.settle_stream(*streams, f"{out}/settled", f"{out}/checkpoint", late_days=2 * ARRIVAL_DAYS)
+
+    for n in range(span["first"] or 0, (span["last"] or 0) + 1):
+        for name in sent:
+            new = spark.read.parquet(f"{out}/sent/{name}").where(F.col("_delivery") == n).drop("_delivery")
+            new.write.mode("append").parquet(f"{out}/landed/{name}")
+        settle()
+    far = "9000-01-01"
+    settlement.closing_row(payments, paid_at_utc=far).write.mode("append").parquet(f"{out}/landed/payments")
+    settlement.closing_row(calls, disposed_at_utc=far, contract_id=-1).write.mode("append").parquet(f"{out}/landed/calls")
+    return settle()

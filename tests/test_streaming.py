@@ -3,8 +3,10 @@
 import shutil
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from callpay.sources.contracts import SOURCES
-from callpay.streaming import arrivals
+from callpay.streaming import arrivals, settlement
 
 AGENTS = SOURCES["agent_mapping"]
 T0 = datetime(2026, 8, 4)
@@ -80,3 +82,77 @@ def test_attribution_per_batch_equals_batch_result(spark, tmp_path):
     write(spark, src, "b", [(4, 7, T0 + timedelta(hours=3)), (5, None, T0), (6, 7, None)], schema)
     assert attribute() == ({1: 11, 2: None, 3: None, 4: 12, 5: None, 6: None}, 6)
     assert attribute()[1] == 6
+
+
+def test_first_of_a_batch_lands_by_order(spark, tmp_path):
+    schema = "id long, t timestamp_ntz, v string"
+    src, out, state = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def land(to=out):
+        stream = arrivals.stream_table(spark, spark.createDataFrame([], schema).schema, str(src))
+        return sorted(((r.id or 0, r.v) for r in arrivals.land_new(stream, ["id"], to, state, [F.col("t"), F.col("v")]).collect()))
+
+    write(spark, src, "a", [(1, T0, "b"), (1, T0, "a"), (2, T0 + timedelta(hours=1), "x"), (2, T0, "y"), (None, T0, "n")], schema)
+    assert land() == [(0, "n"), (1, "a"), (2, "y")]
+    # earlier by its time, but later than what landed
+    write(spark, src, "b", [(2, T0 - timedelta(days=9), "z"), (3, T0, "new")], schema)
+    assert land() == [(0, "n"), (1, "a"), (2, "y"), (3, "new")]
+
+
+def test_landed_rows_are_not_read_again(spark, tmp_path):
+    """The state alone knows what landed: a batch that writes to another folder still drops copies."""
+    schema = "id long, t timestamp_ntz"
+    src, state = tmp_path / "src", str(tmp_path / "state")
+
+    def land(to):
+        stream = arrivals.stream_table(spark, spark.createDataFrame([], schema).schema, str(src))
+        return sorted(r.id for r in arrivals.land_new(stream, ["id"], str(tmp_path / to), state, [F.col("t")]).collect())
+
+    write(spark, src, "a", [(i, T0) for i in range(50)], schema)
+    assert land("out") == list(range(50))
+    write(spark, src, "b", [(i, T0) for i in range(40, 60)], schema)
+    assert land("elsewhere") == list(range(50, 60))
+
+
+def test_late_calls_settle_payments(spark, tmp_path):
+    """Calls land after their payments, on one hot contract and on others; nothing is decided before it can be."""
+    import random
+
+    rng = random.Random(2)
+    pay_schema = "payment_id long, contract_id long, paid_at_utc timestamp_ntz"
+    call_schema = "call_log_id long, contract_id long, disposed_at_utc timestamp_ntz"
+
+    def moment(day):
+        return T0 + timedelta(days=day, hours=rng.randrange(24), microseconds=rng.choice([0, 0, 1]))
+
+    def contract():
+        return 7 if rng.random() < 0.4 else rng.choice([None, 8, 9, 10])
+
+    days = [([(1000 * d + i, contract(), moment(d)) for i in range(30)], [(5000 + 1000 * d + i, contract(), moment(d)) for i in range(30)]) for d in range(3)]
+    days[0][0].append((99, 7, None))
+    waiting, sizes = [], []
+
+    def settle():
+        streams = [
+            arrivals.stream_table(spark, spark.createDataFrame([], s).schema, str(tmp_path / n))
+            for n, s in (("payments", pay_schema), ("calls", call_schema))
+        ]
+        return settlement.settle_stream(*streams, str(tmp_path / "out"), str(tmp_path / "state"), late_days=2, spread=2)
+
+    for d, (payments, calls) in enumerate(days):
+        write(spark, tmp_path / "payments", f"p{d}", payments, pay_schema)
+        write(spark, tmp_path / "calls", f"c{d}", [c for c in calls if c[0] % 3] + waiting, call_schema)
+        waiting = [c for c in calls if c[0] % 3 == 0]
+        sizes.append(settle().count())
+    assert sizes[0] == 1  # only the payment without a time, the rest may still get a call
+    write(spark, tmp_path / "payments", "close-p", [(None, None, T0 + timedelta(days=900))], pay_schema)
+    write(spark, tmp_path / "calls", "close-c", [*waiting, (None, -1, T0 + timedelta(days=900))], call_schema)
+    settle()
+    got = settle().collect()
+    every = [c for _, calls in days for c in calls]
+    want = {}
+    for payments, _ in days:
+        for pid, k, at in payments:
+            near = [(c[2], c[0]) for c in every if k is not None and at and c[1] == k and at - timedelta(days=3) < c[2] <= at]
+            want[pid] = max(near)[1] if near else None
+    assert len(got) == len(want) and {r.payment_id: r.attributed_call_log_id for r in got} == want
