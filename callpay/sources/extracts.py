@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callpay.operators.keys import join_keys
 from callpay.sources.contracts import SourceContract
 
 # A line that is a complete record by itself: fields are either quoted, with
@@ -28,7 +29,7 @@ def find_files(spark: SparkSession, input_dir: str, expected: Sequence[str]) ->
     """Delivered files: (uri, path, file_name, length), content unread.
 
     A delivery is one file of the expected name, or a folder of that name with
-    any number of part files.
+    any number of part files, also in folders of their own.
     """
     listed = (
         spark.read.format("binaryFile")
@@ -36,9 +37,8 @@ def find_files(spark: SparkSession, input_dir: str, expected: Sequence[str]) ->
         .load(input_dir)
         .select(F.col("_metadata.file_path").alias("uri"), "path", "length")
     )
-    steps = F.split("path", "/")
-    own, parent = F.element_at(steps, -1), F.element_at(steps, -2)
-    name = F.when(own.isin(list(expected)), own).when(parent.isin(list(expected)), parent)
+    known = F.filter(F.split("path", "/"), lambda step: step.isin(list(expected)))
+    name = F.get(known, F.size(known) - 1)
     return listed.withColumn("file_name", name).where("file_name IS NOT NULL").select(*_FILE_COLUMNS)
 
 
@@ -48,64 +48,100 @@ def header_fields(header: Column) -> Column:
     return F.transform(F.split(plain, ","), lambda h: F.btrim(F.btrim(h), F.lit('"')))
 
 
-def profile_lines(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
-    """Per file, from one splittable pass over its lines:
+def _is_header(line: str, columns: Sequence[str]) -> Column:
+    return header_fields(_plain(line)) == F.array(*[F.lit(c) for c in columns]).cast("array<string>")
 
-    - ``header_ok``: the first line names exactly ``columns``, in order;
-    - ``broken_lines``: lines that are not complete records (a quoted newline somewhere);
-    - ``blank_lines``.
 
-    Only numbers are aggregated, so this is a hash aggregate that leaves one row
-    per file and task, whatever the size of the file. Line numbers grow within
-    the block at offset 0, which tells the first line.
-    """
-    lines = spark.read.text(list(paths)).select(
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(uri, _source_file, block, seq, value): lines in splits; seq grows within a block, a line keeps its ``\\r``."""
+    read = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(list(paths))
+    return read.select(
         F.col("_metadata.file_path").alias("uri"),
+        source_file().alias("_source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-        F.col("value"),
-    )
-    at_start = F.when(F.col("block") == 0, F.col("seq"))
-    named = header_fields(F.col("value")) == F.array(*[F.lit(c) for c in columns]).cast("array<string>")
-    first_named = F.when((F.col("block") == 0) & named, F.col("seq"))
-    return lines.groupBy("uri").agg(
-        F.coalesce(F.min(at_start) == F.min(first_named), F.lit(False)).alias("header_ok"),
-        F.count_if(~F.col("value").rlike(COMPLETE_LINE)).alias("broken_lines"),
-        F.count_if(F.trim("value") == "").alias("blank_lines"),
+        F.col("_metadata.file_size").alias("size"),
+        "value",
     )
 
 
-def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(uri, file_hash) per file, by one rule for files of any size, read in splits.
+def _plain(value: str | Column) -> Column:
+    return F.regexp_replace(value, "\\r$", "")
+
+
+def inspect_files(
+    spark: SparkSession, paths: Sequence[str], headers: Mapping[str | None, Sequence[str]]
+) -> DataFrame:
+    """Per file, from one splittable pass over its lines:
+
+    - ``file_hash``: identity of the content, by one rule for files of any size;
+    - ``header_ok``: the first line names exactly the columns that ``headers`` has for the
+      file's name (or that of the folder it was delivered in; None: any), in order;
+    - ``header_lines``: lines near the start that read like the header;
+    - ``broken_lines``: lines that are not complete records (a quoted newline somewhere);
+    - ``blank_lines``.
 
-    The hash covers every line with its number, so that other lines or the same ones in another order give
-    another hash, and it does not depend on how the file was split: lines are numbered within their
-    block, blocks follow each other by the counts of those before. Line ends count as far as
-    they are not a plain newline. Spark passes over empty files, here as in every read.
+    Only numbers are aggregated, so this is a hash aggregate that leaves one row per file and split, whatever the
+    size of the file. The hash covers size, number of lines, the sum of their codes and the sum of codes times
+    line numbers: other lines, or the same in another order, give another hash. Blocks add up: a line's number is its
+    place in the block plus the lines of earlier blocks, so the result does not depend on splits. Spark passes
+    over empty files, here as in every read.
     """
-    lines = (
-        spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(list(paths)).select(
-            F.col("_metadata.file_path").alias("uri"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-            "value",
-        )
+    place = F.col("seq").bitwiseAND((1 << 33) - 1).cast("decimal(11,0)")
+    code = F.sha2("value", 256)
+
+    def number(start: int) -> Column:
+        return F.conv(F.substring(code, start, 15), 16, 10).cast("decimal(19,0)")
+
+    steps = F.split(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), "/")
+    named = F.lit(False)
+    for name, columns in headers.items():
+        belongs = F.lit(True) if name is None else F.array_contains(steps, name)
+        named = named | (belongs & _is_header("value", columns))
+    at_start = F.when(F.col("block") == 0, F.col("seq"))
+    heading = F.when((F.col("block") == 0) & named, F.col("seq"))
+    plain = _plain("value")
+    blocks = _lines(spark, paths).groupBy("uri", "block").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(place).alias("first"),
+        *[F.sum(number(s)).alias(f"sum{s}") for s in _CODES],
+        *[F.sum(number(s) * place).alias(f"placed{s}") for s in _CODES],
+        F.max("size").alias("size"),
+        (F.min(at_start) == F.min(heading)).alias("header"),
+        F.count(heading).alias("header_lines"),
+        F.count_if(~plain.rlike(COMPLETE_LINE)).alias("broken"),
+        F.count_if(F.trim(plain) == "").alias("blank"),
     )
-    blocks = lines.groupBy("uri", "block").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
-    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = blocks.select(
-        F.col("uri").alias("b_uri"), F.col("block").alias("b_block"), "first", (F.sum("n").over(before) - F.col("n")).alias("before")
+    so_far = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    chained = blocks.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)).cast("decimal(19,0)"))
+
+    def total(s: int) -> Column:
+        shift = (F.col("before") - F.col("first")) * F.col(f"sum{s}")
+        return F.sum(F.col(f"placed{s}") + shift).cast("string")
+
+    sums = [F.max("size").cast("string"), F.sum("n").cast("string")]
+    sums += [x for s in _CODES for x in (F.sum(f"sum{s}").cast("string"), total(s))]
+    return chained.groupBy("uri").agg(
+        F.sha2(F.concat_ws(":", *sums), 256).alias("file_hash"),
+        F.coalesce(F.bool_or("header"), F.lit(False)).alias("header_ok"),
+        F.sum("header_lines").alias("header_lines"),
+        F.sum("broken").alias("broken_lines"),
+        F.sum("blank").alias("blank_lines"),
     )
-    numbered = lines.join(blocks, (F.col("uri") == F.col("b_uri")) & (F.col("block") == F.col("b_block")))
-    at = F.col("before") + F.col("seq") - F.col("first")
-    coded = numbered.select("uri", F.sha2(F.concat_ws(":", at.cast("string"), "value"), 256).alias("h"))
 
-    def total(start: int) -> Column:
-        number = F.conv(F.substring("h", start, 15), 16, 10).cast("decimal(20,0)")
-        return F.sum(number).cast("string")
 
-    sums = coded.groupBy("uri").agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), total(1), total(16)).alias("sums"))
-    return sums.select("uri", F.sha2("sums", 256).alias("file_hash"))
+#: Where the two 60-bit codes of a line begin in its SHA-256.
+_CODES = (1, 16)
+
+
+def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(uri, file_hash) per file; see ``inspect_files``."""
+    return inspect_files(spark, paths, {}).select("uri", "file_hash")
+
+
+def profile_lines(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """What ``inspect_files`` says of files with this header, whatever their names, without the hash."""
+    return inspect_files(spark, paths, {None: columns}).drop("file_hash")
 
 
 def check_headers(profile: Sequence[Row], uris: Sequence[str], contract: SourceContract) -> None:
@@ -121,20 +157,114 @@ def _field_count(raw_line: Column) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1
 
 
+def _options(multiline: bool) -> dict[str, object]:
+    return {"multiLine": multiline, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
+
+def _record_schema(contract: SourceContract) -> T.StructType:
+    return T.StructType([*contract.schema.fields, T.StructField("_corrupt", T.StringType())])
+
+
+def _parsed(records: DataFrame, contract: SourceContract, *kept: str) -> DataFrame:
+    """Raw records as text columns plus ``_corrupt``, the raw record of a row with a wrong field count or none."""
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _options(True).items()}
+    cells = F.from_csv("record", _record_schema(contract).simpleString(), options)
+    empty = F.trim("record") == ""
+    parsed = records.withColumn("_cells", F.when(~empty, cells))
+    return parsed.select(
+        *[F.col("_cells")[c].alias(c) for c in contract.columns],
+        F.when(empty, F.col("record")).otherwise(F.col("_cells._corrupt")).alias("_corrupt"),
+        "_source_file", "uri", *kept,
+    )
+
+
+def read_lines(spark: SparkSession, paths: Sequence[str], contract: SourceContract) -> DataFrame:
+    """Records of files in which every line is one, read in splits; ``block`` and ``seq`` say where in the file.
+
+    For files with one line that reads like the header, the first (``inspect_files``).
+    """
+    lines = _lines(spark, paths)
+    rows = lines.where(~((F.col("block") == 0) & _is_header("value", contract.columns)))
+    return _parsed(rows.withColumn("record", _plain("value")), contract, "block", "seq")
+
+
+def quoted_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(uri, _source_file, line_number, record, closed): records of files with newlines inside quotes, read in splits.
+
+    Whether a line begins inside quotes hangs on all quotes before it, but only on whether they are odd. Every split
+    counts its quotes, and how many records begin in it if it starts outside quotes and if it starts inside;
+    a running sum over splits, one row each, then says which holds and how many came before. Lines that are a
+    record by themselves go straight through, the others are put together by record number. A record
+    whose quote is never closed would swallow the rest of the file: its lines come out one by one, not ``closed``.
+    """
+    lines = _lines(spark, paths)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    here = Window.partitionBy("uri", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("_quotes").over(here) - F.col("_quotes")
+    counted = lines.withColumn("_quotes", quotes).withColumns({"_odd": before % 2, "_nth": F.row_number().over(
+        Window.partitionBy("uri", "block").orderBy("seq")
+    )})
+    begun = counted.withColumns({f"_begun{k}": F.sum((F.col("_odd") == k).cast("int")).over(here) for k in (0, 1)})
+    blocks = begun.groupBy("uri", "block").agg(
+        F.sum("_quotes").alias("_sum"), F.max("_nth").alias("_lines"),
+        *[F.max(f"_begun{k}").alias(f"_all{k}") for k in (0, 1)],
+    )
+    earlier = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("uri")
+    inside = blocks.withColumn("_inside", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)) % 2)
+    begins = F.when(F.col("_inside") == 0, F.col("_all0")).otherwise(F.col("_all1"))
+    starts = inside.select(
+        F.col("uri").alias("_uri"), F.col("block").alias("_block"), "_inside",
+        F.coalesce(F.sum(begins).over(earlier), F.lit(0)).alias("_records"),
+        F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"),
+        F.when(F.sum("_sum").over(whole) % 2 == 1, F.sum(begins).over(whole)).alias("_open"),
+    )
+    placed = begun.join(starts, (F.col("uri") == F.col("_uri")) & (F.col("block") == F.col("_block")))
+    outside = F.col("_odd") == F.col("_inside")
+    number = F.col("_records") + F.when(F.col("_inside") == 0, F.col("_begun0")).otherwise(F.col("_begun1"))
+    numbered = placed.select(
+        "uri", "_source_file", "value",
+        (F.col("_before") + F.col("_nth")).alias("line_number"),
+        number.alias("_record"),
+        (outside & (F.col("_quotes") % 2 == 0)).alias("_alone"),
+        (number == F.col("_open")).alias("_dangling"),
+    )
+    dangling = F.coalesce("_dangling", F.lit(False))
+    alone = numbered.where(F.col("_alone") | dangling).select(
+        "uri", "_source_file", "line_number", _plain("value").alias("record"), (~dangling).alias("closed")
+    )
+    parts = numbered.where(~F.col("_alone") & ~dangling).groupBy("uri", "_source_file", "_record").agg(
+        F.min("line_number").alias("line_number"),
+        F.sort_array(F.collect_list(F.struct("line_number", "value"))).alias("_parts"),
+    )
+    joined = parts.select(
+        "uri", "_source_file", "line_number", _plain(F.array_join("_parts.value", "\n")).alias("record"), F.lit(True).alias("closed")
+    )
+    return alone.unionByName(joined)
+
+
+def stray_quotes(records: DataFrame) -> DataFrame:
+    """(uri) of files with records whose quotes do not stand around whole fields, so that counting them misleads."""
+    return records.where(F.col("closed") & ~F.col("record").rlike(COMPLETE_LINE)).select("uri").distinct()
+
+
+def read_records(records: DataFrame, contract: SourceContract) -> DataFrame:
+    """``quoted_records`` parsed, without the header; a line of a quote that is never closed is corrupt."""
+    body = _parsed(records.where("line_number > 1"), contract, "line_number", "closed", "record")
+    corrupt = F.when(F.col("closed"), F.col("_corrupt")).otherwise(F.col("record"))
+    return body.withColumn("_corrupt", corrupt).drop("record", "closed")
+
+
 def read_extract(spark: SparkSession, paths: Sequence[str], contract: SourceContract, multiline: bool) -> DataFrame:
-    """Every record as text columns plus ``_corrupt``, the raw record of a row with a wrong field count.
+    """Every record as text columns plus ``_corrupt``, by Spark's CSV reader.
 
     Headers are verified beforehand (``check_headers``). With ``multiline`` a
-    quoted field may contain newlines and each file is read by one task;
-    without, files are read in splits.
+    quoted field may contain newlines and each file is read by one task: for files with stray quotes, whose
+    records only a reader from the start can tell. Without, files are read in splits.
     """
-    schema = T.StructType([*contract.schema.fields, T.StructField("_corrupt", T.StringType())])
     return (
-        spark.read.schema(schema)
-        .options(
-            header=True, multiLine=multiline, escape='"', mode="PERMISSIVE",
-            columnNameOfCorruptRecord="_corrupt", enforceSchema=True, columnPruning=False,
-        )
+        spark.read.schema(_record_schema(contract))
+        .options(header=True, enforceSchema=True, columnPruning=False, **_options(multiline))
         .csv(list(paths))
         .select("*", source_file().alias("_source_file"), F.col("_metadata.file_path").alias("uri"))
     )
@@ -158,7 +288,8 @@ def classify(records: DataFrame, contract: SourceContract) -> DataFrame:
             "_source_file",
             "uri",
             F.col("_corrupt").alias("raw_line"),
-            F.when(~valid, _reason(len(contract.columns), _field_count(F.col("_corrupt")))).alias("reason"),
+            F.when(~valid, _reason(len(contract.columns), F.when(F.col("_corrupt") == "", 0).otherwise(_field_count(F.col("_corrupt"))))).alias("reason"),
+            *[(F.col(c) if c in records.columns else F.lit(None)).cast("bigint").alias(c) for c in PLACE],
             F.when(valid, "valid").otherwise("rejected").alias("kind"),
         )
     )
@@ -166,22 +297,49 @@ def classify(records: DataFrame, contract: SourceContract) -> DataFrame:
     return marked.withColumns({c: F.when(F.col("kind") == "valid", F.col(c)) for c in added}) if added else marked
 
 
+#: Where a row stands in its file, as far as it is known.
+PLACE = ("line_number", "block", "seq")
+
+
 def split_rejects(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejects) of classified rows that are stored or cached.
 
     Straight from a file Spark refuses the second: it would read the corrupt
     column alone.
     """
-    valid = classified.where("kind = 'valid'").drop("raw_line", "reason", "kind")
-    rejects = classified.where("kind = 'rejected'").select("raw_line", "reason", "_source_file")
-    return valid, rejects
+    valid = classified.where("kind = 'valid'").drop("raw_line", "reason", "kind", "uri", "load_id", *PLACE)
+    return valid, _line_numbers(classified)
+
+
+def _line_numbers(classified: DataFrame) -> DataFrame:
+    """Rejected rows with the number of their (first) line in the file, the header being 1.
+
+    Where a line is a record, that is its place in the block, plus all rows of earlier blocks, plus the header. NULL in
+    files that Spark's CSV reader read.
+    """
+    rejects = classified.where("kind = 'rejected'")
+    if not {"uri", *PLACE} <= set(classified.columns):
+        return rejects.select("raw_line", "reason", "_source_file")
+    located = classified.where("block IS NOT NULL")
+    rejected_blocks = rejects.select("load_id", "uri").distinct()
+    keys = ["load_id", "uri"]
+    blocks = join_keys(located, rejected_blocks, keys, "left_semi").groupBy(*keys, "block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("seq").alias("_first")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*keys, "block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    numbered = join_keys(rejects, offsets, [*keys, "block"], "left")
+    return numbered.select(
+        "raw_line", "reason", "_source_file",
+        F.coalesce("line_number", F.col("seq") + F.col("_shift") + 2).alias("line_number"),
+    )
 
 
 def blank_line_rejects(spark: SparkSession, paths: Sequence[str], contract: SourceContract, multiline: bool) -> DataFrame:
     """Lines with nothing or only spaces on them, which the CSV reader passes over.
 
-    In files with quoted newlines (``multiline``, read by one task each as they are) a line is empty only
-    outside quotes, where the quotes before it are even in number; lines of spaces are records there.
+    For files read by ``read_extract``. With ``multiline`` a line is empty only outside quotes, where the quotes before
+    it are even in number; lines of spaces are records there.
     """
     lines = spark.read.text(list(paths)).select(
         source_file().alias("_source_file"),

@@ -7,28 +7,37 @@ from collections.abc import Iterable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
 from callpay.operators.keys import join_per_key
+from callpay.session import scratch_path
 from callpay.sources.contracts import MANIFEST_SCHEMA, SOURCES, SourceContract
 from callpay.sources.extracts import (
+    PLACE,
     blank_line_rejects,
     check_headers,
     classify,
-    file_hashes,
     find_files,
-    profile_lines,
+    inspect_files,
+    quoted_records,
     read_extract,
+    read_lines,
+    read_records,
     split_rejects,
+    stray_quotes,
 )
 from callpay.sources.tables import read_or_empty
 
 # Why a source was skipped.
 NOT_FOUND = "file_not_found"
 UNCHANGED = "unchanged_since_last_run"
+#: Why a file is left out that names other columns.
+WRONG_HEADER = "wrong_header"
+
+INSPECTED = "uri string, file_hash string, header_ok boolean, header_lines long, broken_lines long, blank_lines long"
 
 _LANDING_KEYS = ["kind", "load_id"]
 
@@ -74,7 +83,9 @@ def land_schema(contract: SourceContract) -> T.StructType:
     return T.StructType(
         [T.StructField(c, T.StringType()) for c in [*text, "_source_file"]]
         + [T.StructField("_ingested_at", T.TimestampNTZType())]
-        + [T.StructField(c, T.StringType()) for c in ("raw_line", "reason", "file_hash", "kind", "load_id")]
+        + [T.StructField(c, T.StringType()) for c in ("raw_line", "reason", "uri")]
+        + [T.StructField(c, T.LongType()) for c in PLACE]
+        + [T.StructField(c, T.StringType()) for c in ("file_hash", "kind", "load_id")]
     )
 
 
@@ -86,22 +97,12 @@ def land(
     Readers see only loads that the manifest names, so what a crashed run left behind is never
     read, whenever it is repeated. Returns the rows of this load.
     """
-    paths = [f.path for f in files]
-    profile = profile_lines(spark, paths, contract.columns).collect()
-    check_headers(profile, [f.uri for f in files], contract)
-    whole_uris = {r.uri for r in profile if r.broken_lines}
-    blank_uris = {r.uri for r in profile if r.blank_lines}
-    whole = [f.path for f in files if f.uri in whole_uris]
-    split = [f.path for f in files if f.uri not in whole_uris]
-    blank = [([f.path for f in files if f.uri in uris], many) for uris, many in ((blank_uris - whole_uris, False), (blank_uris & whole_uris, True))]
-
-    parts = [
-        classify(read_extract(spark, group, contract, multiline), contract)
-        for group, multiline in ((whole, True), (split, False))
-        if group
-    ]
-    parts += [blank_line_rejects(spark, paths, contract, many) for paths, many in blank if paths]
-
+    if not all(hasattr(f, "header_ok") for f in files):
+        found = inspect_files(spark, [f.path for f in files], {None: contract.columns}).drop("file_hash").collect()
+        known = {r.uri: r.asDict() for r in found}
+        files = [Row(path=f.path, file_hash=f.file_hash, **{**_UNREAD, **known.get(f.uri, {}), "uri": f.uri}) for f in files]
+    check_headers(files, [f.uri for f in files], contract)
+    parts = _records(spark, contract, files)
     hashes = spark.createDataFrame([(f.uri, f.file_hash) for f in files], "uri string, file_hash string")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     schema = land_schema(contract)
@@ -117,11 +118,42 @@ def land(
     return spark.read.schema(schema).parquet(target).where(F.col("load_id") == load_id)
 
 
+_UNREAD = {"header_ok": False, "header_lines": 0, "broken_lines": 0, "blank_lines": 0}
+
+
+def _records(spark: SparkSession, contract: SourceContract, files: list) -> list[DataFrame]:
+    """Classified records of files, read in splits but for those with stray quotes."""
+    quoted = [f for f in files if f.broken_lines]
+    stray, parts = set(), []
+    if quoted:
+        path = scratch_path(spark, "quoted_records")
+        quoted_records(spark, [f.path for f in quoted]).write.parquet(path)
+        records = spark.read.parquet(path)
+        stray = {r.uri for r in stray_quotes(records).collect()}
+        sound = records.where(~F.col("uri").isin(list(stray))) if stray else records
+        parts.append(classify(read_records(sound, contract), contract))
+    lines = [f.path for f in files if not f.broken_lines and f.header_lines == 1]
+    if lines:
+        parts.append(classify(read_lines(spark, lines, contract), contract))
+    # Spark's CSV reader passes over blank lines
+    twice = [f for f in files if not f.broken_lines and f.header_lines != 1]
+    for group, whole in ((twice, False), ([f for f in quoted if f.uri in stray], True)):
+        if group:
+            parts.append(classify(read_extract(spark, [f.path for f in group], contract, whole), contract))
+        blank = [f.path for f in group if f.blank_lines]
+        if blank:
+            parts.append(blank_line_rejects(spark, blank, contract, whole))
+    return parts
+
+
 def read_landed(spark: SparkSession, root: str, contract: SourceContract) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows of all committed loads of a source; empty before the first load."""
+    """(valid, rejected) rows of all committed loads of a source; empty before the first load.
+
+    Rejected rows have the number of their line in the file.
+    """
     landed = read_or_empty(spark, f"{root}/{contract.name}", land_schema(contract))
     committed = read_manifest(spark, root).where(F.col("source_name") == contract.name).select("load_id").distinct()
-    return split_rejects(landed.join(committed, "load_id", "left_semi").drop("load_id", "file_hash"))
+    return split_rejects(landed.join(committed, "load_id", "left_semi").drop("file_hash"))
 
 
 def read_raw(spark: SparkSession, root: str, contract: SourceContract) -> DataFrame:
@@ -156,23 +188,27 @@ def load_extracts(
     root: str,
     only: Iterable[str] | None = None,
     loaded_at: datetime | None = None,
+    skip_wrong_headers: bool = False,
 ) -> DataFrame:
     """Land every new file of the chosen sources and return the load summary.
 
-    The driver handles file names and hashes only, never rows.
+    A file with another header than its contract's stops the load, or with ``skip_wrong_headers`` is left out and
+    reported. The driver handles file names and what ``inspect_files`` says of them, never rows.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
     load_id = uuid.uuid4().hex
     contracts = [SOURCES[n] for n in only] if only is not None else list(SOURCES.values())
     files = find_files(spark, input_dir, [c.file_name for c in contracts])
     paths = [r.path for r in files.select("path").collect()]
-    hashes = file_hashes(spark, paths) if paths else spark.createDataFrame([], "uri string, file_hash string")
+    headers = {c.file_name: c.columns for c in contracts}
+    about = inspect_files(spark, paths, headers) if paths else spark.createDataFrame([], INSPECTED)
     manifest = read_manifest(spark, root)
-    plan_rows = plan_loads(registry_frame(spark, contracts), files.join(hashes, "uri"), manifest).collect()
-    plan = spark.createDataFrame(
-        plan_rows, "source_name string, file_name string, file_hash string, uri string, path string, "
-        "length long, reason string",
-    )
+    planned = plan_loads(registry_frame(spark, contracts), files.join(about, "uri"), manifest)
+    if skip_wrong_headers:
+        refused = F.col("reason").isNull() & ~F.col("header_ok")
+        planned = planned.withColumn("reason", F.when(refused, WRONG_HEADER).otherwise(F.col("reason")))
+    plan_rows = planned.collect()
+    plan = spark.createDataFrame(plan_rows, planned.schema)
     for contract in contracts:
         todo = [r for r in plan_rows if r.source_name == contract.name and r.reason is None]
         if not todo:

@@ -241,6 +241,12 @@ _WINDOW_COUNT = """SELECT p.payment_row_key, p.contract_id, p.paid_at_utc, count
   GROUP BY ALL"""
 _SLICE = "IN (DATE '2024-01-08', DATE '2024-01-09', DATE '2024-01-15')"
 
+_DIRTY = """WITH placed AS (
+             SELECT o_orderstatus, 'Kenya|u' || o_orderkey AS agent, o_orderkey % 13 AS fault,
+               2 + coalesce(sum(CASE WHEN o_orderkey % 13 = 3 THEN 2 ELSE 1 END) OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_number
+             FROM orders)"""
+
 ORACLE: dict[str, str] = {
     "clean_and_type_strings": """SELECT c_custkey AS custkey,
         CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS name,
@@ -537,11 +543,37 @@ ORACLE: dict[str, str] = {
              count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rejected, count(*) AS rows_readable FROM sent""",
         "sent",
     ),
-    "file_manifest": """WITH lines AS (SELECT n_nationkey AS nation, unnest(['name', n_name]) AS line, unnest([0, 1]) AS i FROM nation),
-        coded AS (SELECT nation, sha256(i || ':' || line) AS h FROM lines),
-        sums AS (SELECT nation, count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS b
-                 FROM coded GROUP BY nation)
-        SELECT nation, sha256(n || ':' || a || ':' || b) AS file_hash FROM sums""",
+    "file_manifest": """WITH lines AS (SELECT o_orderkey % 4 AS bucket, o_orderkey || ',' || o_orderstatus AS line,
+             row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) - 1 AS i FROM orders),
+        coded AS (SELECT *, CAST('0x' || substr(sha256(line), 1, 15) AS BIGINT)::HUGEINT AS a,
+             CAST('0x' || substr(sha256(line), 16, 15) AS BIGINT)::HUGEINT AS b FROM lines),
+        sums AS (SELECT bucket, sum(strlen(line) + 1) AS size, count(*) AS n, sum(a) AS a, sum(a * i) AS ai, sum(b) AS b, sum(b * i) AS bi
+                 FROM coded GROUP BY bucket)
+        SELECT bucket::INTEGER AS bucket, sha256(concat_ws(':', size, n, a, ai, b, bi)) AS file_hash FROM sums""",
+    "land_dirty_extract": f"""{_DIRTY}
+        SELECT 'valid' AS kind, CASE fault WHEN 3 THEN agent || '|Upsell|two' || chr(10) || 'lines' WHEN 4 THEN agent || '|said "hi"|x'
+             WHEN 5 THEN agent || '|a, b|x' WHEN 7 THEN agent || '||' ELSE agent || '|Team|' || o_orderstatus END AS row,
+             CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS line_number
+        FROM placed WHERE fault NOT IN (0, 1, 2, 6)
+        UNION ALL
+        SELECT 'rejected', CASE fault WHEN 0 THEN replace(agent, '|', ',') || ',Upsell,long,er' WHEN 1 THEN replace(agent, '|', ',')
+             WHEN 2 THEN '' ELSE '  ' END,
+             'expected 4 fields, got ' || CASE fault WHEN 0 THEN 5 WHEN 1 THEN 2 WHEN 2 THEN 0 ELSE 1 END, line_number::BIGINT
+        FROM placed WHERE fault IN (0, 1, 2, 6)""",
+    "load_dirty_summary": f"""{_DIRTY}
+        SELECT 'agent_mapping' AS source_name, false AS skipped, CAST(NULL AS VARCHAR) AS reason,
+             count(*) FILTER (fault NOT IN (0, 1, 2, 6)) AS rows_loaded, count(*) FILTER (fault IN (0, 1, 2, 6)) AS rejected FROM placed""",
+    "load_wrong_header": _sql(
+        """SELECT 'payments' AS source_name, false AS skipped, CAST(NULL AS VARCHAR) AS reason, count(*) AS rows_loaded,
+             CAST(0 AS BIGINT) AS rejected FROM sent
+           UNION ALL SELECT 'agent_mapping', true, 'wrong_header', 0, 0""",
+        "sent",
+    ),
+    "stage_landed_payments": _sql(
+        """SELECT payment_row_key, contract_id, paid_at_utc, 'part.csv' AS source_file, TIMESTAMP '2024-01-29 00:00:00' AS _ingested_at
+           FROM pay""",
+        "pay",
+    ),
     "stream_attribution": _sql(
         """, ranked AS (SELECT e.event_id, d.call_log_id, row_number() OVER (PARTITION BY e.event_id
              ORDER BY d.disposed_at_utc DESC, d.call_log_id DESC) AS rn

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from callpay.operators.joins import in_order
 from callpay.operators.keys import flag_duplicates, hash_key, keep_first
 from callpay.operators.matching import explode_digit_runs
 from callpay.config import PipelineConfig
-from callpay.plans import consume, marts
+from callpay.plans import consume, marts, staging
 from callpay.plans.pipeline import run_pipeline
 from callpay.sources import extracts, landing, tables
 from callpay.sources.contracts import MARKET_ORDER, PAYMENT_COLUMNS, PAYMENT_KEY_SHORT, SOURCES, country_seed
@@ -556,14 +557,106 @@ def new_documents(spark, sf_dir):
     return landing.new_files(hashes, manifest).select("doc_id", "source_name", "file_hash")
 
 
+@contextmanager
+def _splits(spark, size: int) -> Iterator[None]:
+    """Files are read in splits of ``size`` bytes."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _split_size(rows: DataFrame, row_bytes: int) -> int:
+    """Splits of 16 KB, or larger for large tables: 64 a file or so."""
+    return max(1 << 14, rows.count() * row_bytes // 256)
+
+
+def _written_lines(lines: DataFrame, folder: str) -> None:
+    """(bucket, id, value) as one text file per bucket, in the order of ids."""
+    lines.repartition("bucket").sortWithinPartitions("bucket", "id").select("bucket", "value").write.partitionBy("bucket").text(folder)
+
+
 @query
 def file_manifest(spark, sf_dir):
-    """One small text file per nation, and its identity."""
-    folder = scratch_path(spark, "nations")
-    lines = F.concat_ws("\n", F.lit("name"), "n_name").alias("value")
-    table(spark, sf_dir, "nation").select("n_nationkey", lines).write.partitionBy("n_nationkey").text(folder)
-    hashes = extracts.file_hashes(spark, [folder])
-    return hashes.select(F.regexp_extract("uri", "n_nationkey=([0-9]+)", 1).cast("int").alias("nation"), "file_hash")
+    """Orders as text, four files that take many splits each, and their identities."""
+    folder, orders = scratch_path(spark, "orders_as_text"), table(spark, sf_dir, "orders")
+    value = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus")
+    _written_lines(orders.select((F.col("o_orderkey") % 4).alias("bucket"), F.col("o_orderkey").alias("id"), value.alias("value")), folder)
+    with _splits(spark, _split_size(orders, 10)):
+        hashes = extracts.file_hashes(spark, [folder])
+        return hashes.select(F.regexp_extract("uri", "bucket=([0-9]+)", 1).cast("int").alias("bucket"), "file_hash")
+
+
+def _dirty_delivery(spark, sf_dir) -> str:
+    """An agent list made from all orders, with every fault an extract may have, in four files of a folder."""
+    key = F.col("o_orderkey")
+    agent = F.concat(F.lit("Kenya,u"), key.cast("string"))
+    fault = key % 13
+    value = (
+        F.when(fault == 0, F.concat(agent, F.lit(",Upsell,long,er")))
+        .when(fault == 1, agent)
+        .when(fault == 2, "")
+        .when(fault == 3, F.concat(agent, F.lit(',Upsell,"two\nlines"')))
+        .when(fault == 4, F.concat(agent, F.lit(',"said ""hi""",x')))
+        .when(fault == 5, F.concat(agent, F.lit(',"a, b",x')))
+        .when(fault == 6, "  ")
+        .when(fault == 7, F.concat(agent, F.lit(",,")))
+        .otherwise(F.concat(agent, F.lit(",Team,"), "o_orderstatus"))
+    )
+    rows = table(spark, sf_dir, "orders").select((key % 4).alias("bucket"), key.alias("id"), value.alias("value"))
+    header = "\ufeff" + ",".join(SOURCES["agent_mapping"].columns)
+    heads = rows.select("bucket").distinct().select("bucket", F.lit(-1).cast("bigint").alias("id"), F.lit(header).alias("value"))
+    folder = scratch_path(spark, "dirty")
+    _written_lines(heads.unionByName(rows), f"{folder}/{SOURCES['agent_mapping'].file_name}")
+    return folder
+
+
+@query
+def land_dirty_extract(spark, sf_dir):
+    """Rows that are too long, too short, blank, quoted and over two lines, read in many splits: valid and rejected ones."""
+    contract, root, folder = SOURCES["agent_mapping"], scratch_path(spark, "raw"), _dirty_delivery(spark, sf_dir)
+    with _splits(spark, _split_size(table(spark, sf_dir, "orders"), 24)):
+        landing.load_extracts(spark, folder, root, only=["agent_mapping"], loaded_at=AS_OF)
+    valid, rejects = landing.read_landed(spark, root, contract)
+    cells = F.concat_ws("|", *contract.columns)
+    return valid.select(F.lit("valid").alias("kind"), cells.alias("row"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("bigint").alias("line_number")).unionByName(
+        rejects.select(F.lit("rejected").alias("kind"), F.col("raw_line").alias("row"), "reason", "line_number")
+    )
+
+
+@query
+def load_dirty_summary(spark, sf_dir):
+    """The same delivery in numbers."""
+    root, folder = scratch_path(spark, "raw"), _dirty_delivery(spark, sf_dir)
+    return landing.load_extracts(spark, folder, root, only=["agent_mapping"], loaded_at=AS_OF)
+
+
+@query
+def load_wrong_header(spark, sf_dir):
+    """All payments and agents delivered, the agents under another header: left out and said so."""
+    folder, root = scratch_path(spark, "delivered"), scratch_path(spark, "raw")
+    for name, rows in (
+        ("payments", roles.raw_payments(spark, sf_dir)),
+        ("agent_mapping", roles.raw_agents(spark, sf_dir).withColumnRenamed(SOURCES["agent_mapping"].columns[0], "renamed")),
+    ):
+        rows.write.options(header=True, escape='"', emptyValue="").csv(f"{folder}/{SOURCES[name].file_name}")
+    return landing.load_extracts(
+        spark, folder, root, only=["payments", "agent_mapping"], loaded_at=AS_OF, skip_wrong_headers=True
+    )
+
+
+@query
+def stage_landed_payments(spark, sf_dir):
+    """Payments landed and staged, with where and when each row came from."""
+    root = scratch_path(spark, "raw")
+    landing.load_extracts(spark, _delivered(spark, sf_dir), root, only=["payments"], loaded_at=AS_OF)
+    staged = staging.stage_payments(landing.read_raw(spark, root, SOURCES["payments"]), country_seed(spark))
+    return staged.select(
+        "payment_row_key", "contract_id", "paid_at_utc", F.regexp_replace("_source_file", "^part-.*[.]", "part.").alias("source_file"), "_ingested_at"
+    )
 
 
 def _delivered(spark, sf_dir) -> str:

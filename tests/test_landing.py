@@ -1,6 +1,7 @@
 """Extracts: header, quoting, rejects, hashes, plan, repeat runs."""
 
 import hashlib
+import random
 from datetime import datetime
 
 import pytest
@@ -212,3 +213,90 @@ def test_very_long_lines_do_not_break_the_line_pattern(spark, tmp_path):
     long = '"' + 'x""y' * 100_000 + '"'
     _, valid, _ = run(spark, tmp_path, f"{HEADER}\n1,t,1,s,o,1,u,c,{long}\n")
     assert valid[0].udh_notes == 'x"y' * 100_000
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def quoted_file(path, seed, n=600):
+    """Records with newlines, commas and doubled quotes inside quotes, blank lines, rows that are too long or short."""
+    rng = random.Random(seed)
+    lines = [",".join(AGENTS.columns)]
+    for i in range(n):
+        lines.append(rng.choice([
+            f"Kenya,u{i},T,plain", f'Kenya,u{i},T,"two\nlines"', f'Kenya,u{i},"a, b","said ""x""\n\n""y"","', f"Kenya,u{i}", "",
+            f'"Kenya\n",u{i},"\n\n\n",""', f"Kenya,u{i},T,x,more", f'Kenya,u{i},"long\nrow",x,"\n"', f"Kenya,u{i},,",
+        ]))
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def parts_of(df):
+    cells = [*AGENTS.columns, "raw_line", "reason", "kind"]
+    return sorted(tuple("" if r[c] is None else r[c] for c in cells) for r in extracts.classify(df, AGENTS).select(*cells).collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quoted_newlines_in_splits_equal_the_one_task_read(spark, tmp_path, small_splits, seed):
+    path = quoted_file(tmp_path / "a.csv", seed)
+    records = extracts.quoted_records(spark, [path])
+    assert spark.read.text(path).rdd.getNumPartitions() > 3
+    assert extracts.stray_quotes(records).count() == 0
+    got = parts_of(extracts.read_records(records, AGENTS))
+    whole = parts_of(extracts.read_extract(spark, [path], AGENTS, multiline=True))
+    blank = extracts.blank_line_rejects(spark, [path], AGENTS, multiline=True).collect()
+    assert [g for g in got if g[len(AGENTS.columns)] or g[-1] == "valid"] == whole
+    assert sum(g[-1] == "rejected" and not g[len(AGENTS.columns)] for g in got) == len(blank)
+
+
+def test_line_numbers_of_rejects_in_splits(spark, tmp_path, small_splits):
+    """Plain and quoted files: the number of a reject is that of its first line, whatever the splits."""
+    for name, quoted in (("plain", False), ("quoted", True)):
+        lines, want = [",".join(AGENTS.columns)], []
+        for i in range(900):
+            if i % 7 == 3:
+                want.append((len(lines) + 1, f"short{i}"))
+                lines.append(f"short{i}")
+            elif quoted and i % 50 == 0:
+                lines += [f'Kenya,u{i},T,"a', 'b"']
+            else:
+                lines.append(f"Kenya,u{i},T,x")
+        summary, _, rejects = run(spark, tmp_path / name, "\n".join(lines) + "\n", AGENTS)
+        assert sorted((r.line_number, r.raw_line) for r in rejects) == want and summary.rejected == len(want)
+
+
+def test_a_quote_that_is_never_closed_loses_no_line(spark, tmp_path, small_splits):
+    lines = [",".join(AGENTS.columns), 'Kenya,u1,T,"a\nb"', 'Kenya,u2,T,"open', *[f"Kenya,u{i},T,x" for i in range(3, 400)]]
+    summary, valid, rejects = run(spark, tmp_path, "\n".join(lines) + "\n", AGENTS)
+    assert [v.ameyo_user_id for v in valid] == ["u1"]
+    assert sorted((r.line_number, r.raw_line) for r in rejects) == [(4 + i, x) for i, x in enumerate(lines[2:])]
+
+
+def test_stray_quotes_and_repeated_headers_go_to_the_csv_reader(spark, tmp_path):
+    text = ",".join(AGENTS.columns) + '\nKenya,u1,T,5" pipe\nKenya,u2,T,"a\nb"\nKenya,u3,T,6" pipe\nKenya,u4,T,x\n'
+    _, valid, rejects = run(spark, tmp_path / "stray", text, AGENTS)
+    assert sorted((v.ameyo_user_id, v.atlas_user_name) for v in valid) == [("u1", '5" pipe'), ("u2", "a\nb"), ("u3", '6" pipe'), ("u4", "x")]
+    header = ",".join(AGENTS.columns)
+    _, valid, rejects = run(spark, tmp_path / "twice", f"{header}\nKenya,u1,T,x\n{header}\n\n", AGENTS)
+    assert len(valid) == 2 and [r.reason for r in rejects] == ["expected 4 fields, got 0"]
+
+
+def test_a_wrong_header_may_be_left_out(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "raw")
+    deliver(folder, AGENTS, "a,b\n1,2\n")
+    deliver(folder, CALLS, f"{HEADER}\n{GOOD}\n")
+    rows = landing.load_extracts(spark, str(folder), root, only=["ameyo_calls", "agent_mapping"], loaded_at=AT, skip_wrong_headers=True)
+    assert {r.source_name: (r.skipped, r.reason, r.rows_loaded) for r in rows.collect()} == {
+        "ameyo_calls": (False, None, 1), "agent_mapping": (True, "wrong_header", 0),
+    }
+
+
+def test_a_final_newline_is_part_of_the_identity(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\ny")
+    (tmp_path / "b.csv").write_text("x\ny\n")
+    assert len(set(hashes_of(spark, tmp_path / "a.csv", tmp_path / "b.csv").values())) == 2
