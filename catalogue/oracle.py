@@ -1,8 +1,8 @@
 """SQL counterparts of the registered queries, for DuckDB over the same tables.
 
-Written from the definitions, not from the DataFrame code: attribution ranks
-its candidate pairs with ``row_number``, dedupe ranks with ``row_number``,
-counts come from joins. Each statement is the shared definitions it needs plus
+Written from the definitions, not from the DataFrame code: attribution is an
+ASOF join with one bound check, dedupe ranks with ``row_number``, sums per call
+are subqueries, counts come from joins. Each statement is the shared definitions it needs plus
 one final SELECT.
 """
 
@@ -96,38 +96,49 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("calls", "disp"),
     ),
     "attr": (
-        """WITH ranked AS (
-             SELECT p.payment_row_key, d.call_log_id, row_number() OVER (
-               PARTITION BY p.payment_row_key ORDER BY d.disposed_at_utc DESC, d.call_log_id DESC) AS rn
-             FROM pay p JOIN disp d ON d.contract_id = p.contract_id {tenant}
-               AND d.disposed_at_utc <= p.paid_at_utc AND d.disposed_at_utc > p.paid_at_utc - INTERVAL {days} DAY
-             WHERE NOT p.is_zero_amount)
-           SELECT p.* EXCLUDE (short_key), r.call_log_id AS attributed_call_log_id, f.usd_to_local_rate,
-             f.rate_is_estimated AS fx_rate_is_estimated, r.call_log_id IS NOT NULL AS is_attributed_to_a_call,
-             p.amount_local / f.usd_to_local_rate AS amount_usd
-           FROM pay p LEFT JOIN (SELECT * FROM ranked WHERE rn = 1) r USING (payment_row_key)
-           LEFT JOIN fx f ON f.currency_code = p.currency_code AND f.rate_date = CAST(p.paid_at_utc AS DATE)
-           WHERE NOT p.is_zero_amount""",
+        """WITH said AS (
+             SELECT contract_id, atlas_tenant_id, disposed_at_utc, max(call_log_id) AS call_log_id FROM disp
+             WHERE contract_id IS NOT NULL GROUP BY ALL),
+           asked AS (SELECT * EXCLUDE (short_key) FROM pay WHERE is_zero_amount = false),
+           last_said AS (
+             SELECT p.payment_row_key, d.call_log_id, d.disposed_at_utc > p.paid_at_utc - INTERVAL {days} DAY AS in_time
+             FROM asked p ASOF JOIN said d ON p.contract_id = d.contract_id {tenant} AND p.paid_at_utc >= d.disposed_at_utc),
+           found AS (
+             SELECT *, (SELECT call_log_id FROM last_said l WHERE l.payment_row_key = a.payment_row_key AND l.in_time) AS attributed_call_log_id,
+               (SELECT {'rate': usd_to_local_rate, 'guess': rate_is_estimated} FROM fx
+                WHERE rate_date = a.paid_at_utc::DATE AND fx.currency_code = a.currency_code) AS quote
+             FROM asked a)
+           SELECT * EXCLUDE (quote), quote.rate AS usd_to_local_rate, quote.guess AS fx_rate_is_estimated,
+             attributed_call_log_id IS NOT NULL AS is_attributed_to_a_call, amount_local / quote.rate AS amount_usd
+           FROM found""",
         ("pay", "disp", "fx"),
     ),
     "summ": (
-        """SELECT attributed_call_log_id AS call_log_id, count(*) AS attributed_payment_count,
-             sum(amount_local) AS attributed_payment_amount_local, sum(amount_usd) AS attributed_payment_amount_usd,
-             count(*) FILTER (amount_usd IS NULL) > 0 AS has_unconverted_payment,
-             count(*) FILTER (fx_rate_is_estimated) > 0 AS used_estimated_fx_rate,
-             min(paid_at_utc) AS first_attributed_payment_at
-           FROM attr WHERE is_attributed_to_a_call GROUP BY 1""",
+        """SELECT paid.call_log_id,
+             (SELECT count(*) FROM attr a WHERE a.attributed_call_log_id = paid.call_log_id) AS attributed_payment_count,
+             (SELECT sum(amount_local) FROM attr a WHERE a.attributed_call_log_id = paid.call_log_id) AS attributed_payment_amount_local,
+             (SELECT sum(amount_usd) FROM attr a WHERE a.attributed_call_log_id = paid.call_log_id) AS attributed_payment_amount_usd,
+             paid.call_log_id IN (SELECT attributed_call_log_id FROM attr WHERE amount_usd IS NULL AND attributed_call_log_id IS NOT NULL)
+               AS has_unconverted_payment,
+             paid.call_log_id IN (SELECT attributed_call_log_id FROM attr WHERE fx_rate_is_estimated AND attributed_call_log_id IS NOT NULL)
+               AS used_estimated_fx_rate,
+             (SELECT min(paid_at_utc) FROM attr a WHERE a.attributed_call_log_id = paid.call_log_id) AS first_attributed_payment_at
+           FROM (SELECT DISTINCT attributed_call_log_id AS call_log_id FROM attr WHERE attributed_call_log_id IS NOT NULL) paid""",
         ("attr",),
     ),
     "coding": (
-        """SELECT CAST(c.call_placed_at_local AS DATE) AS call_date_local, c.country_name AS market, c.campaign_name,
-             c.agent_ameyo_user_id, a.atlas_user_name AS agent_name, a.team AS agent_team,
-             a.has_conflicting_source_rows AS agent_has_conflicting_mapping, count(*) AS total_outbound_calls,
-             count(*) FILTER (c.is_coded) AS coded_calls,
-             count(*) FILTER (c.is_coded) / CAST(count(*) AS DOUBLE) AS coding_rate
-           FROM coded c LEFT JOIN agents a
-             ON a.country_name = c.country_name AND a.ameyo_user_id = c.agent_ameyo_user_id
-           GROUP BY ALL""",
+        """WITH placed AS (
+             SELECT CAST(call_placed_at_local AS DATE) AS call_date_local, country_name AS market, campaign_name, agent_ameyo_user_id, is_coded
+             FROM coded),
+           made AS (SELECT * EXCLUDE (is_coded), count(*) AS n FROM placed GROUP BY ALL),
+           hit AS (SELECT * EXCLUDE (is_coded), count(*) AS n FROM placed WHERE is_coded GROUP BY ALL)
+           SELECT m.call_date_local, m.market, m.campaign_name, m.agent_ameyo_user_id, a.atlas_user_name AS agent_name, a.team AS agent_team,
+             a.has_conflicting_source_rows AS agent_has_conflicting_mapping, m.n AS total_outbound_calls,
+             coalesce(h.n, 0) AS coded_calls, coalesce(h.n, 0) / m.n::DOUBLE AS coding_rate
+           FROM made m
+           LEFT JOIN hit h ON (h.call_date_local, h.market, h.campaign_name, h.agent_ameyo_user_id)
+             IS NOT DISTINCT FROM (m.call_date_local, m.market, m.campaign_name, m.agent_ameyo_user_id)
+           LEFT JOIN agents a ON (a.country_name, a.ameyo_user_id) = (m.market, m.agent_ameyo_user_id)""",
         ("coded", "agents"),
     ),
     "paid": (
@@ -168,14 +179,20 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("inbound",),
     ),
     "daily": (
-        """SELECT coalesce(c.day, p.day, i.day) AS day, coalesce(c.market, p.market, i.market) AS market,
-             total_outbound_calls, coded_calls, coded_calls / CAST(total_outbound_calls AS DOUBLE) AS coding_rate,
-             total_dispositions, paid_post_call_count,
-             paid_post_call_count / CAST(total_dispositions AS DOUBLE) AS paid_post_call_rate,
+        """WITH three AS (
+             SELECT 1 AS part, day, market FROM day_coding UNION ALL SELECT 2, day, market FROM day_paid
+             UNION ALL SELECT 3, day, market FROM day_inbound),
+           -- a day and market that equal themselves are one row for all three; others stay apart
+           listed AS (
+             SELECT DISTINCT CASE WHEN coalesce(day {eq} day AND market {eq} market, false) THEN 0 ELSE part END AS part, day, market
+             FROM three)
+           SELECT e.day, e.market, total_outbound_calls, coded_calls, coded_calls / total_outbound_calls::DOUBLE AS coding_rate,
+             total_dispositions, paid_post_call_count, paid_post_call_count / total_dispositions::DOUBLE AS paid_post_call_rate,
              value_recovered_usd, value_recovered_usd_is_estimated, still_in_window_count, inbound_call_count
-           FROM day_coding c
-           FULL JOIN day_paid p ON p.day {eq} c.day AND p.market {eq} c.market
-           FULL JOIN day_inbound i ON i.day {eq} coalesce(c.day, p.day) AND i.market {eq} coalesce(c.market, p.market)""",
+           FROM listed e
+           LEFT JOIN day_coding c ON e.part IN (0, 1) AND (c.day, c.market) IS NOT DISTINCT FROM (e.day, e.market)
+           LEFT JOIN day_paid p ON e.part IN (0, 2) AND (p.day, p.market) IS NOT DISTINCT FROM (e.day, e.market)
+           LEFT JOIN day_inbound i ON e.part IN (0, 3) AND (i.day, i.market) IS NOT DISTINCT FROM (e.day, e.market)""",
         ("day_coding", "day_paid", "day_inbound"),
     ),
     "resolved": (
