@@ -22,7 +22,7 @@ from callpay.llm.shared import let
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: What may follow `<` or `[` in a control string.
-_REST = r"(?=\|[a-zA-Z_]{1,40}\|>|/?s>|/?INST\]|</?SYS>>)"
+_REST = r"(?=\|[^|<>\[\]]{1,64}\|>|/?s>|/?(?:bos|eos|pad|unk|mask|start_of_turn|end_of_turn)>|/?INST\]|</?SYS>>)"
 _FIRST = r"([<\[])"
 REPLY = "assistant"
 

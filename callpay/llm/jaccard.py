@@ -34,7 +34,7 @@ from callpay.llm.shared import bloom_of_ids, components, drop_ids, stored
 from callpay.llm.textcodes import NOT_BLANK, batches_of, bloom_has, grams, id_codes, mix, word_codes
 
 #: Defaults: words of a shingle, and the least similarity in percent.
-SHINGLE, PERCENT = 4, 85
+SHINGLE, PERCENT = 5, 80
 COUNTER_BITS = 16
 
 

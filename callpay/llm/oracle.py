@@ -16,7 +16,7 @@ def _lower(text: str) -> str:
 
 
 _ESCAPE = (
-    r"regexp_replace({}, '([<\[])(\\*)(\|[a-zA-Z_]{{1,40}}\|>|/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"
+    r"regexp_replace({}, '([<\[])(\\*)(\|[^|<>\[\]]{{1,64}}\|>|/?s>|/?(?:bos|eos|pad|unk|mask|start_of_turn|end_of_turn)>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"
 )
 
 OP2 = f"""

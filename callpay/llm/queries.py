@@ -95,19 +95,10 @@ def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_proportional_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id",
-        "source",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + sharding.OVERHEAD).cast("bigint").alias("size"),
-        "text",
         sharding.text_crc32().alias("text_crc32"),
-    )
-    # the digest needs no texts once sizes and checksums are known
-    digests = stored(docs.drop("text"), "digests").withColumn("text", F.lit(None).cast("string"))
-    return sharding.shard(digests).select(
-        "doc_id",
-        "size",
-        "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",
@@ -129,7 +120,7 @@ def op8_mix_by_length_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similarity_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard.similarity_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, percent=85)
 
 
 @query

@@ -28,8 +28,8 @@ def text_crc32(text: str = "text"):
 def shard(docs: DataFrame, shards: int = 40, seed: int = 17) -> DataFrame:
     """``docs`` plus ``shard`` (0 .. shards - 1) and ``slot`` (0, 1, ... within the shard)."""
     keyed = docs.withColumns(
-        {"__source": named("source"), "__h": seeded(seed, "doc_id"), "__crc": text_crc32(), "__id": F.col("doc_id")}
-    )
+        {"__source": named("source"), "__crc": text_crc32(), "__id": F.col("doc_id")}
+    ).withColumn("__h", seeded(seed, "__id", "__crc"))
     tail = ["__h", "__id", "__crc"]
     # the narrow rows are ranked first; texts then only pick up what was counted
     narrow = stored(keyed.select("__source", *tail), "shard-keys")

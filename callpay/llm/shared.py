@@ -23,6 +23,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Slices whose counts are added up in one task.
+RUN = 4096
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the inputs. Python workers started from now on find this package where the driver does."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
@@ -95,16 +99,25 @@ def rank_within(
     ``position`` lies in [0, 1) and rows are ranked by it, then by ``order``. Rows meet in one task
     only per (keys, slice of positions); a slice holds about ``per_bucket`` rows when positions
     are spread evenly, as hashes and fractional ranks are. The ranks of earlier slices come from
-    counts. ``offsets_of`` has the same rows in narrow form, if ``df`` carries long texts. Columns of
+    counts, ``RUN`` slices of a key to a task. ``offsets_of`` has the same rows in narrow form, if ``df`` carries long texts. Columns of
     ``carry``, one row per ``keys`` at most, come along without a join of their own.
     """
     narrow = df if offsets_of is None else offsets_of
     slices = max(1, -(-narrow.count() // per_bucket))
     slot = F.least(F.floor(position * slices), F.lit(slices - 1)).cast("bigint")
-    before = Window.partitionBy(*keys).orderBy("__slot") if keys else Window.orderBy("__slot")
     counts = narrow.withColumn("__slot", slot).groupBy(*keys, "__slot").agg(F.count("*").alias("__n"))
-    so_far = F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offsets = counts.select(*keys, "__slot", (so_far - F.col("__n")).alias("__before"))
+    counts = counts.withColumn("__run", F.floor(F.col("__slot") / RUN))
+
+    def up_to(n: str, parts: Sequence[str], at: str) -> Column:
+        window = Window.partitionBy(*parts) if parts else Window
+        return F.sum(n).over(window.orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(n)
+
+    # two levels: sums over runs of slices, one row each, and sums inside a run
+    runs = counts.groupBy(*keys, "__run").agg(F.sum("__n").alias("__all"))
+    runs = runs.select(*keys, "__run", up_to("__all", keys, "__run").alias("__earlier"))
+    offsets = counts.join(runs, [*keys, "__run"]).select(
+        *keys, "__slot", (F.col("__earlier") + up_to("__n", [*keys, "__run"], "__slot")).alias("__before")
+    )
     offsets = stored(offsets if carry is None else offsets.join(carry, list(keys), "left"), "offsets")
     here = Window.partitionBy(*keys, "__slot").orderBy(*order)
     return (

@@ -60,9 +60,9 @@ def shingles(text, k: int = 4) -> set:
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} or {tuple(w)}
 
 
-def linked(texts: dict[int, str | None]) -> dict[int, int]:
+def linked(texts: dict[int, str | None], k: int = 4, percent: int = 85) -> dict[int, int]:
     """doc_id to the smallest doc_id reachable by links."""
-    sets = {d: shingles(t) for d, t in texts.items()}
+    sets = {d: shingles(t, k) for d, t in texts.items()}
     holders = defaultdict(list)
     for d, s in sets.items():
         for x in s:
@@ -77,7 +77,7 @@ def linked(texts: dict[int, str | None]) -> dict[int, int]:
     for d, s in sets.items():
         shared = Counter(e for x in s for e in holders[x] if e < d)
         for e, n in shared.items():
-            if 100 * n >= 85 * (len(s) + len(sets[e]) - n):
+            if 100 * n >= percent * (len(s) + len(sets[e]) - n):
                 a, b = root(d), root(e)
                 parent[max(a, b)] = min(a, b)
     return {d: root(d) for d in texts}

@@ -24,7 +24,7 @@ def test_stages(spark):
         assert all(r.asDict() == rows[r.doc_id] for r in df.collect())
     ids = [sorted(r.doc_id for r in df.collect()) for df in kept]
     assert ids[0] == sorted(want)
-    groups = linked({d: rows[d]["text"] for d in want})
+    groups = linked({d: rows[d]["text"] for d in want}, 5, 80)
     assert ids[1] == sorted(set(groups.values())) and len(ids[1]) < len(want)
     hits = contamination({d: rows[d]["text"] for d in ids[1]}, items)
     assert ids[2] == sorted(d for d in ids[1] if not hits[d][1]) and len(ids[2]) < len(ids[1])
@@ -43,5 +43,22 @@ def test_stages(spark):
 
 
 def test_run_is_the_stages(spark):
-    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert out.count() > 0 and out.columns[-2:] == ["shard", "slot"]
+    """Rows of a run are those of the stages applied one by one, also with an empty benchmark or without documents."""
+    small = "/root/testdata/sf0.001"
+    docs = table(spark, small, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, small), name)
+    out = corpus_pipeline.run(spark, small)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
+
+
+def test_stages_of_empty_tables(spark, tmp_path):
+    for name, rows in (("documents", None), ("benchmark", 0)):
+        table(spark, "/root/testdata/sf0.001", name).limit(20 if rows is None else 0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0

@@ -192,3 +192,42 @@ def test_fill_budget_is_best_choice():
         )
         assert sum(a * b for a, b in zip(lengths, take, strict=True)) == best
     assert pd.Series(mixing.fill_budget([7], [1000], 7 * 1000)).tolist() == [1000]
+
+
+def test_texts_of_one_id_get_the_same_slots_for_any_partitioning(spark):
+    rows = [(i % 20, f"text {i}", "en", f"s{i % 3}", 0) for i in range(40)] + [(None, f"none {i}", "en", "s0", 0) for i in range(9)]
+    df = spark.createDataFrame(rows, DOCS)
+    places = [
+        {(r.text, r.shard, r.slot) for r in sharding.shard(d, 4).collect()}
+        for d in (df, df.repartition(7), spark.createDataFrame(rows[::-1], DOCS), df.repartition(3, "text"))
+    ]
+    assert len(places[0]) == len(rows) and all(p == places[0] for p in places)
+
+
+def test_offsets_in_two_levels(spark, monkeypatch):
+    """Ranks do not depend on how many slices are added up in one task."""
+    from callpay.llm import shared
+
+    df = spark.range(3000).selectExpr("id", "cast(id % 3 as string) AS k", "xxhash64(id) AS h")
+    for keys in (["k"], []):
+        ranks = []
+        for run in (4096, 3, 1):
+            monkeypatch.setattr(shared, "RUN", run)
+            ranked = shared.rank_within(df, keys, shared.unit(shared.F.col("h")), ["h"], "r", per_bucket=10)
+            ranks.append({(r.id, r.r) for r in ranked.collect()})
+        assert ranks[0] == ranks[1] == ranks[2]
+        per = {}
+        for i, r in ranks[0]:
+            per.setdefault(i % 3 if keys else 0, []).append(r)
+        assert all(sorted(v) == list(range(len(v))) for v in per.values())
+
+
+def test_control_strings_of_other_templates_are_escaped(spark):
+    hard = ["<|reserved_special_token_0|>", "<|fim-prefix|>", "<start_of_turn>", "<bos>", "<\\bos>", "a <eos> <unk>", "<|im start|>"]
+    df = spark.createDataFrame([(t,) for t in hard], "t string")
+    for r in df.select("t", chat.escape(shared_col(df)).alias("e"), chat.unescape(chat.escape(shared_col(df))).alias("back")).collect():
+        assert r.back == r.t and r.e != r.t
+
+
+def shared_col(df):
+    return df["t"]
