@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameReader
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from callpay.operators.keys import join_keys
 from callpay.sources.contracts import SourceContract
@@ -31,12 +33,25 @@ def find_files(spark: SparkSession, input_dir: str, expected: Sequence[str]) ->
     A delivery is one file of the expected name, or a folder of that name with
     any number of part files, also in folders of their own.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(input_dir)
-        .select(F.col("_metadata.file_path").alias("uri"), "path", "length")
-    )
+    return _delivered(_file_reader(spark.read).load(input_dir), expected)
+
+
+def stream_files(spark: SparkSession, input_dir: str, expected: Sequence[str], batch_files: int) -> DataFrame:
+    """The same as a stream: each path once, at most ``batch_files`` in a batch."""
+    reader = _file_reader(spark.readStream).schema(_FILE_SCHEMA).option("maxFilesPerTrigger", batch_files)
+    return _delivered(reader.load(input_dir), expected)
+
+
+# The columns of Spark's source of whole files.
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _file_reader(reader: DataFrameReader | DataStreamReader) -> DataFrameReader | DataStreamReader:
+    return reader.format("binaryFile").option("recursiveFileLookup", "true")
+
+
+def _delivered(files: DataFrame, expected: Sequence[str]) -> DataFrame:
+    listed = files.select(F.col("_metadata.file_path").alias("uri"), "path", "length")
     known = F.filter(F.split("path", "/"), lambda step: step.isin(list(expected)))
     name = F.get(known, F.size(known) - 1)
     return listed.withColumn("file_name", name).where("file_name IS NOT NULL").select(*_FILE_COLUMNS)

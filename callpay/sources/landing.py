@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -195,10 +195,22 @@ def load_extracts(
     A file with another header than its contract's stops the load, or with ``skip_wrong_headers`` is left out and
     reported. The driver handles file names and what ``inspect_files`` says of them, never rows.
     """
-    loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    load_id = uuid.uuid4().hex
     contracts = [SOURCES[n] for n in only] if only is not None else list(SOURCES.values())
     files = find_files(spark, input_dir, [c.file_name for c in contracts])
+    return load_files(files, contracts, root, loaded_at, skip_wrong_headers)
+
+
+def load_files(
+    files: DataFrame,
+    contracts: Sequence[SourceContract],
+    root: str,
+    loaded_at: datetime | None = None,
+    skip_wrong_headers: bool = False,
+) -> DataFrame:
+    """Land those of the given ``files`` (as ``find_files`` lists them) that are new, and return the load summary."""
+    spark = files.sparkSession
+    loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    load_id = uuid.uuid4().hex
     paths = [r.path for r in files.select("path").collect()]
     headers = {c.file_name: c.columns for c in contracts}
     about = inspect_files(spark, paths, headers) if paths else spark.createDataFrame([], INSPECTED)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -71,31 +72,54 @@ def read_mart(spark: SparkSession, name: str, root: str | None = None) -> DataFr
     return spark.read.parquet(f"{latest.path}/{name}")
 
 
+VERSIONS_SCHEMA = T.StructType(
+    [
+        T.StructField("sequence", T.LongType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("rate_date", T.DateType()),
+    ]
+)
+
+
+def _rate_versions(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, f"{path}/versions", VERSIONS_SCHEMA)
+
+
 def ensure_fx_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rates; created empty on first use."""
-    stored = read_or_empty(spark, path, FX_SCHEMA)
-    if not stored.inputFiles():
-        stored.write.mode("append").partitionBy("rate_date").parquet(path)
-        stored = spark.read.schema(FX_SCHEMA).parquet(path)
-    return stored.select(*FX_SCHEMA.names)
+    """The stored rates as last published; empty before anything was stored.
+
+    Every change writes the days it touches to a folder of its own and is published by one file that names them; of each
+    day the last published folder counts. Files are never changed or removed, so who reads on keeps the rates of
+    the time of this call, and what a failed change left behind is not read.
+    """
+    published = _rate_versions(spark, path)
+    last = published.groupBy(F.col("rate_date").alias("_day")).agg(
+        F.max(F.struct("sequence", "version"))["version"].alias("_version")
+    )
+    # listed after the versions, so that all folders they name are there
+    schema = T.StructType([*FX_SCHEMA.fields, T.StructField("version", T.StringType())])
+    stored = read_or_empty(spark, f"{path}/data", schema)
+    current = stored.join(last, (stored.version == F.col("_version")) & stored.rate_date.eqNullSafe(F.col("_day")))
+    return current.select(*FX_SCHEMA.names)
 
 
 def store_rates(spark: SparkSession, path: str, updates: DataFrame) -> DataFrame:
-    """Upsert by (rate_date, currency), rewriting only the days that ``updates`` touches.
+    """Upsert by (rate_date, currency), writing only the days that ``updates`` touches.
 
-    Dynamic partition overwrite stages the new files and swaps them at commit,
-    so a failed job leaves the old days in place.
+    All days change at once when the version is published. Runs that store to one path do so one by one.
     """
+    days = updates.select(F.col("rate_date").alias("_day")).distinct()
     stored = ensure_fx_table(spark, path)
-    touched = stored.join(updates.select("rate_date").distinct(), "rate_date", "left_semi").select(*FX_SCHEMA.names)
+    touched = stored.join(days, stored.rate_date.eqNullSafe(F.col("_day")), "left_semi")
     merged = upsert_by_key(touched, updates, ["rate_date", "currency"])
-    (
-        merged.repartition("rate_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("rate_date")
-        .parquet(path)
+    version = uuid.uuid4().hex
+    merged.select(*FX_SCHEMA.names).repartition("rate_date").write.partitionBy("rate_date").parquet(
+        f"{path}/data/version={version}"
     )
+    before = _rate_versions(spark, path).agg(F.max("sequence").alias("n")).first().n or 0
+    written = spark.read.schema(FX_SCHEMA).parquet(f"{path}/data/version={version}").select("rate_date").distinct()
+    published = written.select(F.lit(before + 1).cast("bigint").alias("sequence"), F.lit(version).alias("version"), "rate_date")
+    published.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return ensure_fx_table(spark, path)
 
 

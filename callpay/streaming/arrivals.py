@@ -7,7 +7,7 @@ Each run takes what has arrived since its checkpoint and stops
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +15,17 @@ from pyspark.sql import types as T
 
 from callpay.functions.columns import clock
 from callpay.operators.asof import attribute_nearest
-from callpay.sources.contracts import SourceContract
-from callpay.sources.extracts import source_file
+from callpay.sources.contracts import SOURCES, SourceContract
+from callpay.sources.extracts import source_file, stream_files
+from callpay.sources.landing import load_files, read_manifest
 from callpay.sources.tables import read_or_empty
 from callpay.streaming.settlement import state_on_disk
 
 
 #: Bytes of new files that one micro-batch takes.
 BATCH_BYTES = 64 << 30
+#: Extracts that one micro-batch lands.
+BATCH_FILES = 1000
 
 
 def stream_table(spark: SparkSession, schema: T.StructType, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -50,6 +53,36 @@ def stream_extract(spark: SparkSession, folder: str, contract: SourceContract) -
     )
 
 
+def land_extracts(
+    spark: SparkSession,
+    input_dir: str,
+    root: str,
+    checkpoint: str,
+    only: Sequence[str] | None = None,
+    *,
+    loaded_at: datetime | None = None,
+    skip_wrong_headers: bool = False,
+    batch_files: int = BATCH_FILES,
+) -> DataFrame:
+    """Land the extracts that have arrived below a folder since the last run, and return the manifest.
+
+    The stream finds new files, unread; every micro-batch lands its files as the batch load does: read in splits, quoted
+    newlines included, refused headers and rejected rows alike, into the same tables and the same manifest. What the stream
+    landed is unchanged for a batch load, and a micro-batch that is repeated finds its files in the manifest. A file
+    that is replaced under its old path is not seen again; a batch load takes it. Micro-batches run
+    one after another; a batch load of the same ``root`` should not run meanwhile.
+    """
+    contracts = [SOURCES[n] for n in only] if only is not None else list(SOURCES.values())
+
+    def load(files: DataFrame, batch_id: int) -> None:
+        load_files(files, contracts, root, loaded_at, skip_wrong_headers)
+
+    files = stream_files(spark, input_dir, [c.file_name for c in contracts], batch_files)
+    writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return read_manifest(spark, root)
+
+
 def land_stream(stream: DataFrame, out: str, checkpoint: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Append everything that has arrived to a Parquet table, each file exactly once."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)

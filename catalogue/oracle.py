@@ -603,3 +603,6 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["stream_late_calls"] = ORACLE["stream_attribution"]
+ORACLE["stream_dirty_extract"] = ORACLE["land_dirty_extract"]
+ORACLE["stream_then_batch_load"] = f"""SELECT source_name, true AS skipped, 'unchanged_since_last_run' AS reason,
+    CAST(0 AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS rejected, rows_loaded AS rows_readable FROM ({ORACLE["load_summary"]})"""

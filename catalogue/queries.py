@@ -620,6 +620,11 @@ def land_dirty_extract(spark, sf_dir):
     contract, root, folder = SOURCES["agent_mapping"], scratch_path(spark, "raw"), _dirty_delivery(spark, sf_dir)
     with _splits(spark, _split_size(table(spark, sf_dir, "orders"), 24)):
         landing.load_extracts(spark, folder, root, only=["agent_mapping"], loaded_at=AS_OF)
+    return _landed_rows(spark, root, contract)
+
+
+def _landed_rows(spark, root: str, contract) -> DataFrame:
+    """Valid rows and rejected ones, these with their reason and line."""
     valid, rejects = landing.read_landed(spark, root, contract)
     cells = F.concat_ws("|", *contract.columns)
     return valid.select(F.lit("valid").alias("kind"), cells.alias("row"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("bigint").alias("line_number")).unionByName(
@@ -731,6 +736,33 @@ def stream_landing(spark, sf_dir):
     return arrivals.land_stream(_event_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint")
 
 
+@query
+def stream_dirty_extract(spark, sf_dir):
+    """The dirty delivery of ``land_dirty_extract`` landed by a stream, two files a micro-batch."""
+    contract, root, folder = SOURCES["agent_mapping"], scratch_path(spark, "raw"), _dirty_delivery(spark, sf_dir)
+    with _splits(spark, _split_size(table(spark, sf_dir, "orders"), 24)):
+        arrivals.land_extracts(
+            spark, folder, root, f"{root}/checkpoint", ["agent_mapping"], loaded_at=AS_OF, batch_files=2
+        )
+    return _landed_rows(spark, root, contract)
+
+
+@query
+def stream_then_batch_load(spark, sf_dir):
+    """All extracts landed by a stream, run twice; then the batch load finds nothing new and every row is there."""
+    root, folder = scratch_path(spark, "raw"), _delivered(spark, sf_dir)
+    for _ in range(2):
+        arrivals.land_extracts(spark, folder, root, f"{root}/checkpoint", loaded_at=AS_OF)
+    summary = landing.load_extracts(spark, folder, root, loaded_at=AS_OF + timedelta(days=1))
+    readable = [
+        landing.read_raw(spark, root, c).groupBy().agg(F.count(F.lit(1)).alias("rows_readable")).select(
+            F.lit(c.name).alias("source_name"), "rows_readable"
+        )
+        for c in SOURCES.values()
+    ]
+    return summary.join(checks.run_suite(readable), "source_name")
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """Events of 100 and more arrive twice; one copy lands."""

@@ -94,6 +94,27 @@ def test_stored_rates_keep_untouched_days(spark, tmp_path):
     assert [r.rate_date for r in fx.latest_rates(ensure_fx_table(spark, path), 2).collect()] == [D3, D2]
 
 
+def test_a_reader_finishes_with_the_rates_it_started_with(spark, tmp_path):
+    path = str(tmp_path / "fx")
+
+    def rows(df):
+        return sorted((r.rate_date, r.currency, r.usd_to_local_rate) for r in df.collect())
+
+    store_rates(spark, path, rates(spark, (D1, "KES", 1.0), (D1, "UGX", 2.0), (D2, "KES", 3.0)))
+    reader = ensure_fx_table(spark, path)
+    store_rates(spark, path, rates(spark, (D1, "KES", 9.0), (D2, "KES", 8.0), (D3, "KES", 4.0)))
+    assert rows(reader) == [(D1, "KES", 1.0), (D1, "UGX", 2.0), (D2, "KES", 3.0)]
+    assert rows(ensure_fx_table(spark, path)) == [(D1, "KES", 9.0), (D1, "UGX", 2.0), (D2, "KES", 8.0), (D3, "KES", 4.0)]
+    # days that were written and not published, as a lost run leaves them, do not count
+    rates(spark, (D1, "KES", 77.0)).write.partitionBy("rate_date").parquet(f"{path}/data/version=lost")
+    assert rows(ensure_fx_table(spark, path))[0] == (D1, "KES", 9.0)
+    # rows without a day are a day of their own
+    store_rates(spark, path, rates(spark, (None, "KES", 5.0)))
+    store_rates(spark, path, rates(spark, (None, "UGX", 6.0)))
+    undated = ensure_fx_table(spark, path).where("rate_date IS NULL")
+    assert sorted((r.currency, r.usd_to_local_rate) for r in undated.collect()) == [("KES", 5.0), ("UGX", 6.0)]
+
+
 def test_export_is_one_file_per_day_and_leaves_other_days(spark, tmp_path):
     out = tmp_path / "export"
     export_json_by_date(rates(spark, (D1, "KES", 1.0), (D1, "UGX", 2.0)), str(out), "rate_date")

@@ -3,8 +3,11 @@
 import shutil
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from callpay.sources import landing
 from callpay.sources.contracts import SOURCES
 from callpay.streaming import arrivals, settlement
 
@@ -46,6 +49,37 @@ def test_csv_stream_splits_valid_and_rejected(spark, tmp_path):
     assert rows["rejected"].raw_line == "Kenya,u2"
 
 
+def test_extract_stream_shares_the_manifest_with_the_batch_load(spark, tmp_path):
+    src, root, state = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "state")
+    folder = src / AGENTS.file_name
+    folder.mkdir(parents=True)
+    header = ",".join(AGENTS.columns)
+
+    def stream(**more):
+        return arrivals.land_extracts(spark, str(src), root, state, ["agent_mapping"], loaded_at=T0, **more)
+
+    (folder / "a.csv").write_text(f'{header}\nKenya,u1,,"Jo\n"\nKenya,u2\n')
+    (folder / "b.csv").write_text(f"{header}\nKenya,u3,T,x\n\n")
+    assert sorted((r.row_count, r.rejected_count) for r in stream(batch_files=1).collect()) == [(1, 1), (1, 1)]
+    assert stream().count() == 2
+    batch = landing.load_extracts(spark, str(src), root, only=["agent_mapping"], loaded_at=T0).first()
+    assert (batch.skipped, batch.reason) == (True, "unchanged_since_last_run")
+    # landed by the batch load first, and a copy of what is there: the stream lands neither again
+    (folder / "c.csv").write_text(f"{header}\nKenya,u4,T,x\n")
+    assert landing.load_extracts(spark, str(src), root, only=["agent_mapping"], loaded_at=T0).first().rows_loaded == 1
+    (folder / "d.csv").write_bytes((folder / "b.csv").read_bytes())
+    assert stream().count() == 3
+    valid, rejects = landing.read_landed(spark, root, AGENTS)
+    assert sorted(r.ameyo_user_id for r in valid.collect()) == ["u1", "u3", "u4"]
+    assert sorted((r.raw_line, r.line_number) for r in rejects.collect()) == [("", 3), ("Kenya,u2", 4)]
+    # a wrong header stops the micro-batch and is tried again, or is left out
+    (folder / "e.csv").write_text("a,b\n1,2\n")
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="header is not"):
+            stream()
+    assert stream(skip_wrong_headers=True).count() == 3
+
+
 def test_copies_are_dropped_across_batches(spark, tmp_path):
     schema = "id long, t timestamp_ntz"
     src, out, state = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "state")
