@@ -2,7 +2,8 @@
 
 Checks that look at rows are aggregate columns, and ``measure`` evaluates all
 of one table's in a single pass. Checks that look at keys aggregate by key
-first, combined map-side, so a hot key costs one row per task.
+first, combined map-side, so a hot key costs one row per task; ``measure_keys`` groups
+by all keys of one table at once.
 """
 
 from __future__ import annotations
@@ -128,16 +129,64 @@ def _counted(failing: DataFrame, check: str, target: str, severity: str = ERROR,
     return failing.agg(n.alias("n")).select(*_result(F.lit(check), F.lit(target), F.lit(severity), F.col("n")))
 
 
+@dataclass(frozen=True)
+class KeyRule:
+    """A check whose failures are keys: groups of equal ``keys`` for which ``fails`` holds."""
+
+    check: str
+    target: str
+    keys: tuple[str, ...]
+    fails: Column
+    severity: str = ERROR
+
+
+def unique_rule(c: str) -> KeyRule:
+    """Values that occur more than once; NULLs never fail."""
+    return KeyRule("unique", c, (c,), (F.count(F.lit(1)) > 1) & F.max(F.col(c).isNotNull()))
+
+
+def unique_combination_rule(cols: Sequence[str]) -> KeyRule:
+    """Combinations that occur more than once; NULLs equal each other."""
+    return KeyRule("unique_combination", ",".join(cols), tuple(cols), F.count(F.lit(1)) > 1)
+
+
+def one_to_one_rule(key: str, value: str, where: str | None = None) -> KeyRule:
+    """Keys with more than one distinct ``value``, NULLs aside, among the rows of ``where``."""
+    held = F.col(value) if where is None else F.when(F.expr(where), F.col(value))
+    return KeyRule("one_to_one", f"{key}->{value}", (key,), F.min(held) < F.max(held))
+
+
+def measure_keys(df: DataFrame, rules: Sequence[KeyRule], prefix: str = "") -> DataFrame:
+    """All key rules of one table in one scan and one shuffle.
+
+    Rows are grouped by the keys of every rule at once (grouping sets), combined map-side; rules on the same keys share
+    their groups. What is left is one number per rule.
+    """
+    columns = list(dict.fromkeys(c for r in rules for c in r.keys))
+    sets = list(dict.fromkeys(tuple(c for c in columns if c in r.keys) for r in rules))
+    # grouping columns are copies, NULL where a set leaves them out; rules see the rows' own
+    copies = {c: f"_key{i}" for i, c in enumerate(columns)}
+    keyed = df.withColumns({k: F.col(c) for c, k in copies.items()})
+    groups = keyed.groupingSets([[copies[c] for c in s] for s in sets], *copies.values()).agg(
+        F.grouping_id().alias("_set"), *[F.coalesce(r.fails, F.lit(False)).alias(f"_fails{i}") for i, r in enumerate(rules)]
+    )
+
+    def set_of(rule: KeyRule) -> int:
+        return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in rule.keys)
+
+    counted = [
+        Rule(r.check, r.target, F.count_if((F.col("_set") == set_of(r)) & F.col(f"_fails{i}")), r.severity)
+        for i, r in enumerate(rules)
+    ]
+    return measure(groups, counted, prefix)
+
+
 def unique(df: DataFrame, c: str, prefix: str = "") -> DataFrame:
-    """Counts the values that occur more than once; NULLs never fail."""
-    repeated = df.where(F.col(c).isNotNull()).groupBy(c).count().where("count > 1")
-    return _counted(repeated, "unique", prefix + c)
+    return measure_keys(df, [unique_rule(c)], prefix)
 
 
 def unique_combination(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
-    """Counts the combinations that occur more than once; NULLs equal each other."""
-    repeated = df.groupBy(*cols).count().where("count > 1")
-    return _counted(repeated, "unique_combination", prefix + ",".join(cols))
+    return measure_keys(df, [unique_combination_rule(cols)], prefix)
 
 
 def relationships(
@@ -161,7 +210,7 @@ def several_values(df: DataFrame, key: str, value: str, out: str = "value_count"
 
 
 def one_to_one(df: DataFrame, key: str, value: str, prefix: str = "") -> DataFrame:
-    return _counted(several_values(df, key, value), "one_to_one", f"{prefix}{key}->{value}")
+    return measure_keys(df, [one_to_one_rule(key, value)], prefix)
 
 
 def covers_dates(payments: DataFrame, fx: DataFrame, dates_only: bool = False, prefix: str = "") -> DataFrame:

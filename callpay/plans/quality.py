@@ -17,12 +17,13 @@ from callpay.operators.checks import (
     has_rows_rule,
     key_present_rule,
     measure,
+    measure_keys,
     not_null_rule,
-    one_to_one,
+    one_to_one_rule,
     relationships,
     run_suite,
-    unique,
-    unique_combination,
+    unique_combination_rule,
+    unique_rule,
 )
 from callpay.sources.contracts import MARKETS
 
@@ -91,9 +92,13 @@ def checks_of(model: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
     df, prefix = tables[model], f"{model}."
     rules = row_rules().get(model)
     results = [measure(df, rules, prefix)] if rules else []
-    results += [unique(df, c, prefix) for c in UNIQUE.get(model, [])]
+    keys = [unique_rule(c) for c in UNIQUE.get(model, [])]
     if model in UNIQUE_TOGETHER:
-        results.append(unique_combination(df, UNIQUE_TOGETHER[model], prefix))
+        keys.append(unique_combination_rule(UNIQUE_TOGETHER[model]))
+    if model == "int_payment_attribution":
+        keys.append(one_to_one_rule("payment_row_key", "attributed_call_log_id", "is_attributed_to_a_call"))
+    if keys:
+        results.append(measure_keys(df, keys, prefix))
     if model == "int_payment_attribution":
         results.append(
             relationships(
@@ -101,8 +106,6 @@ def checks_of(model: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
                 "attributed_call_log_id IS NOT NULL", prefix,
             )
         )
-        attributed = df.where("is_attributed_to_a_call")
-        results.append(one_to_one(attributed, "payment_row_key", "attributed_call_log_id", prefix))
     return results
 
 

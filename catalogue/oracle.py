@@ -606,3 +606,14 @@ ORACLE["stream_late_calls"] = ORACLE["stream_attribution"]
 ORACLE["stream_dirty_extract"] = ORACLE["land_dirty_extract"]
 ORACLE["stream_then_batch_load"] = f"""SELECT source_name, true AS skipped, 'unchanged_since_last_run' AS reason,
     CAST(0 AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS rejected, rows_loaded AS rows_readable FROM ({ORACLE["load_summary"]})"""
+ORACLE["check_keys_of_a_table"] = " UNION ALL ".join(
+    _check(check, f"orders.{target}", "count(*)", f"(SELECT {keys} FROM orders GROUP BY {keys} HAVING {fails})")
+    for check, target, keys, fails in (
+        ("unique", "o_orderkey", "o_orderkey", "count(*) > 1"),
+        ("unique", "o_custkey", "o_custkey", "count(*) > 1"),
+        ("unique_combination", "o_custkey,o_orderdate", "o_custkey, o_orderdate", "count(*) > 1"),
+        ("one_to_one", "o_custkey->o_orderpriority", "o_custkey", "count(DISTINCT o_orderpriority) > 1"),
+        ("one_to_one", "o_custkey->o_orderstatus", "o_custkey",
+         "count(DISTINCT o_orderstatus) FILTER (o_totalprice > 100000) > 1"),
+    )
+)

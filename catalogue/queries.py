@@ -488,6 +488,19 @@ def check_one_to_one(spark, sf_dir):
     return checks.one_to_one(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
 
 
+@query
+def check_keys_of_a_table(spark, sf_dir):
+    """Every key rule of one table, in one scan and one shuffle."""
+    rules = [
+        checks.unique_rule("o_orderkey"),
+        checks.unique_rule("o_custkey"),
+        checks.unique_combination_rule(["o_custkey", "o_orderdate"]),
+        checks.one_to_one_rule("o_custkey", "o_orderpriority"),
+        checks.one_to_one_rule("o_custkey", "o_orderstatus", "o_totalprice > 100000"),
+    ]
+    return checks.measure_keys(table(spark, sf_dir, "orders"), rules, "orders.")
+
+
 @query
 def several_values_per_key(spark, sf_dir):
     return checks.several_values(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")

@@ -137,6 +137,23 @@ def test_materialize(spark, tmp_path):
         materialize(df, "x", "stream")
 
 
+def test_key_rules_of_one_table_together(spark):
+    rows = [(1, "a", 1.0, True), (1, "a", None, True), (2, None, 2.0, True), (2, "b", 2.0, False), (None, "c", 1.0, True),
+            (None, "c", 5.0, True), (3, "b", 1.0, True), (3, "d", 1.0, True)]
+    df = spark.createDataFrame(rows, "k long, t string, v double, ok boolean")
+    rules = [
+        checks.unique_rule("k"), checks.unique_rule("t"), checks.unique_combination_rule(["t", "k"]),
+        checks.unique_combination_rule(["k", "t"]), checks.one_to_one_rule("k", "v"), checks.one_to_one_rule("k", "t"),
+        checks.one_to_one_rule("k", "t", "ok AND v = 1"),
+    ]
+    got = checks.measure_keys(df, rules, "x.")
+    assert [(r.check, r.target, r.failures) for r in got.collect()] == [
+        ("unique", "x.k", 3), ("unique", "x.t", 3), ("unique_combination", "x.t,k", 2), ("unique_combination", "x.k,t", 2),
+        ("one_to_one", "x.k->v", 1), ("one_to_one", "x.k->t", 1), ("one_to_one", "x.k->t", 1),
+    ]
+    assert all(r.failures == 0 and r.passed for r in checks.measure_keys(df.limit(0), rules).collect())
+
+
 def outcome(df):
     r = df.first()
     return r.failures, r.passed

@@ -168,3 +168,15 @@ def test_orphans_are_counted_after_shrinking(spark):
     text = plan(checks.relationships(li, "l_partkey", table(spark, SF_SMALL, "part"), "p_partkey"))
     tree = text.split("\n\n")[0]
     assert tree.index("HashAggregate") < tree.rindex("HashAggregate") and "LeftAnti" in text
+
+
+def test_key_rules_of_a_model_share_one_scan_and_one_shuffle(spark, tmp_path):
+    from callpay.plans.quality import UNIQUE, checks_of
+    from callpay.sources.contracts import country_seed
+
+    country_seed(spark).write.parquet(str(tmp_path / "seed"))
+    results = checks_of("country_code_mapping", {"country_code_mapping": spark.read.parquet(str(tmp_path / "seed"))})
+    assert len(UNIQUE["country_code_mapping"]) == 3 and len(results) == 2
+    steps = results[1]._jdf.queryExecution().executedPlan().toString()
+    assert steps.count("FileScan") == 1 and steps.count("Expand") == 1
+    assert steps.count("Exchange hashpartitioning") == 1 and steps.count("Exchange") == 2
