@@ -5,6 +5,8 @@ with a digit counts as variable. Inside such a leaf, fields generalise by positi
 constant where enough lines of the leaf have it at its place, otherwise the place is variable. A
 line's template is its leaf with the variable places left open. Templates that recur in
 ``MIN_DOCS`` different texts or more, and of which enough places are constant, are boilerplate: their lines are dropped.
+A line of ``LONG_TOKENS`` tokens or more that stands word for word, digits too, in ``LONG_DOCS`` different texts is
+dropped as well: so long a wording recurs only where it was copied.
 
 Only lines of leaves that recur are taken apart into tokens, once per distinct line; open places are
 never constant, so a leaf of nothing but numbers is no boilerplate, with one wording or several. All steps are counts that are combined before they are
@@ -25,36 +27,48 @@ from callpay.llm.shared import BLANK_RUN, BLANKS, let, stored
 DEPTH = 3
 MIN_TOKENS, MIN_DOCS = 4, 10
 CONSTANT_PERCENT = 60
+#: A line of so many tokens is no coincidence: word for word in so many different texts it is a repeated passage.
+LONG_TOKENS, LONG_DOCS = 50, 2
 OPEN = "<*>"
 
 
-def mask(line: Column) -> Column:
-    """Tokens with a digit become open places; runs of blanks become one."""
+def spaced(line: Column) -> Column:
+    """The line without outer blanks, each run of blanks as one space."""
+    trimmed = F.btrim(line, F.lit(BLANKS))
+    return F.when(trimmed.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(trimmed, BLANK_RUN, " ")).otherwise(trimmed)
 
-    def opened(trimmed: Column) -> Column:
-        digits = F.regexp_replace(trimmed, r"[^ ]*[0-9][^ ]*", OPEN)
-        return F.when(trimmed.rlike("[0-9]"), digits).otherwise(trimmed)
 
-    trimmed = F.btrim(line, F.lit(BLANKS))
-    plain = F.when(trimmed.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(trimmed, BLANK_RUN, " ")).otherwise(trimmed)
-    return let(plain, opened)
+def mask(plain: Column) -> Column:
+    """Tokens with a digit become open places."""
+    digits = F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", OPEN)
+    return F.when(plain.rlike("[0-9]"), digits).otherwise(plain)
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text code, line number, leaf, masked line) of all lines that are long enough."""
+    """(doc_id, text code, line number, leaf, masked line, digest of a long line) of all lines that are long enough."""
 
-    def parsed(masked: Column) -> Column:
+    def parsed(plain: Column, masked: Column) -> Column:
         tokens = F.length(masked) - F.length(F.replace(masked, F.lit(" "))) + 1
         leaf = F.xxhash64(tokens, F.substring_index(masked, " ", DEPTH))
-        return F.struct(masked.alias("masked"), tokens.alias("tokens"), leaf.alias("leaf"))
+        exact = F.when(tokens >= LONG_TOKENS, F.md5(plain))
+        return F.struct(masked.alias("masked"), tokens.alias("tokens"), leaf.alias("leaf"), exact.alias("exact"))
 
-    lines = F.transform(F.split("text", "\n"), lambda line: let(mask(line), parsed))
+    lines = F.transform(
+        F.split("text", "\n"), lambda line: let(spaced(line), lambda plain: let(mask(plain), lambda m: parsed(plain, m)))
+    )
     rows = docs.select("doc_id", F.xxhash64("text").alias("code"), F.posexplode(lines).alias("at", "line"))
-    return rows.where(F.col("line.tokens") >= MIN_TOKENS).select("doc_id", "code", "at", "line.masked", "line.leaf")
+    long_enough = rows.where(F.col("line.tokens") >= MIN_TOKENS)
+    return long_enough.select("doc_id", "code", "at", "line.masked", "line.leaf", "line.exact")
+
+
+def repeated_passages(lines: DataFrame) -> DataFrame:
+    """(exact) of long lines that stand word for word in ``LONG_DOCS`` different texts or more."""
+    held = lines.where("exact is not null").select("exact", "code").distinct()
+    return stored(held.groupBy("exact").count().where(f"count >= {LONG_DOCS}").select("exact"), "passages")
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
-    """(lines without their texts, wordings that are dropped): columns doc_id, code, at, leaf, wording; leaf, wording, template."""
+    """(lines without their texts, wordings that are dropped): columns doc_id, code, at, leaf, exact, wording; leaf, wording, template."""
     parsed = parsed_lines(docs)
     lines = stored(parsed.withColumn("wording", F.xxhash64("masked")).drop("masked"), "lines")
     held = lines.select("leaf", "wording", "code").distinct()
@@ -94,10 +108,17 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFram
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, plus n_lines, n_dropped and n_templates."""
+    """``docs`` with boilerplate lines taken out of ``text``, plus n_lines, n_dropped and n_templates.
+
+    ``n_templates`` counts templates and repeated long wordings that the dropped lines belong to.
+    """
     lines, dropped = recurring_lines(docs.select("doc_id", "text"), min_docs)
     wanted = dropped.withColumnsRenamed({c: f"d_{c}" for c in dropped.columns})
     gone = lines.join(wanted, (F.col("leaf") == F.col("d_leaf")) & (F.col("wording") == F.col("d_wording")))
+    passages = repeated_passages(lines).withColumnRenamed("exact", "d_exact")
+    long = lines.where("exact is not null").join(passages, F.col("exact") == F.col("d_exact"))
+    found = ["doc_id", "code", "at"]
+    gone = gone.select(*found, "d_template").unionByName(long.select(*found, F.xxhash64("exact").alias("d_template")))
     per_doc = stored(
         gone.groupBy(F.col("doc_id").alias("__id"), F.col("code").alias("__code")).agg(
             F.collect_set("at").alias("__gone"), F.countDistinct("d_template").alias("__templates")

@@ -264,6 +264,22 @@ def test_copies_do_not_drop_their_own_lines(spark):
     assert all(shared not in got[100 + i].text and got[100 + i].n_dropped == 1 for i in range(10))
 
 
+def test_long_passages_repeat_from_two_texts_on(spark):
+    long = " ".join(f"word{'abcdefghij'[i % 10]}{chr(97 + i % 26)}" for i in range(50))
+    numbers = " ".join(str(i) for i in range(60))
+    other, short = long.replace("worda", "wordz", 1), long.rsplit(" ", 1)[0]
+    rows = [
+        (1, f"alpha own line here\n{long}\nend"), (2, f"beta own line here\n  {long.replace(' ', '  ')}\t"),
+        (3, other), (4, f"{short}\nx"), (5, f"{short}\ny"), (6, numbers), (7, numbers + "\nz"), (8, numbers + " 60"),
+        (9, other), (9, other), (10, None), (11, ""),
+    ]
+    got = {r.doc_id: r for r in templates.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+    assert (got[1].text, got[1].n_dropped, got[1].n_templates) == ("alpha own line here\nend", 1, 1)
+    assert got[2].text == "beta own line here" and (got[6].text, got[7].text) == ("", "z")
+    # other words, one token too few, copies of one text, other numbers: kept
+    assert all(got[i].text == text for i, text in rows if i in (3, 4, 5, 8, 9, 10, 11))
+
+
 def test_template_query_equals_plain_parse(spark):
     """The same definition, one dictionary at a time."""
     import re
@@ -271,35 +287,35 @@ def test_template_query_equals_plain_parse(spark):
 
     docs = {r.doc_id: r.text for r in table(spark, "/root/testdata/sf0.01", "documents").collect()}
     got = {r.doc_id: r for r in QUERIES["op3_template_lines"](spark, "/root/testdata/sf0.01").collect()}
-    wording, held, leaves = {}, defaultdict(set), defaultdict(set)
-    for d, text in docs.items():
+    wording, plain, held, leaves, passages = {}, {}, defaultdict(set), defaultdict(set), defaultdict(set)
+    for text in set(docs.values()):
         for line in (text or "").split("\n"):
-            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in WORD.findall(line))
+            own = WORD.findall(line)
+            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in own)
             if len(tokens) >= templates.MIN_TOKENS:
-                wording[line] = tokens
-                held[tokens].add(d)
+                wording[line], plain[line] = tokens, tuple(own)
+                held[tokens].add(text)
                 leaves[len(tokens), tokens[:3]].add(tokens)
+            if len(tokens) >= templates.LONG_TOKENS:
+                passages[tuple(own)].add(text)
     names = {}
     for own in leaves.values():
-        if sum(len(held[w]) for w in own) < templates.MIN_DOCS:
-            continue
         n = defaultdict(int)
         for w in own:
             for i, t in enumerate(w):
                 n[i, t] += len(held[w])
         for w in own:
             t = tuple(x if x != "<*>" and n[i, x] >= templates.MIN_DOCS else None for i, x in enumerate(w))
-            if len(own) == 1:
-                names[w] = w
-            elif 100 * sum(x is not None for x in t) >= templates.CONSTANT_PERCENT * len(t):
+            if 100 * sum(x is not None for x in t) >= templates.CONSTANT_PERCENT * len(t):
                 names[w] = t
     spread = defaultdict(set)
     for w, t in names.items():
         spread[t] |= held[w]
     gone = {w for w, t in names.items() if len(spread[t]) >= templates.MIN_DOCS}
-    assert gone
+    repeated = {w for w, texts in passages.items() if len(texts) >= templates.LONG_DOCS}
+    assert gone and repeated
     for d, text in docs.items():
-        kept = "\n".join(x for x in (text or "").split("\n") if wording.get(x) not in gone)
+        kept = "\n".join(x for x in (text or "").split("\n") if wording.get(x) not in gone and plain.get(x) not in repeated)
         assert got[d].kept_sha256 == sha(kept), d
 
 
