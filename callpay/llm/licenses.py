@@ -1,23 +1,25 @@
 """License scans by conditional compression.
 
-Candidate blocks are the sentences around words that licences use. A block is compressed on its own and
-again with each template's wording as a raw zstandard dictionary; what the dictionary saves ranks the
-templates. The best one is confirmed by its exact wording: the words that differ are listed, and the block
-counts as that licence if hardly any do and none of them is a version or one of the words that
-tell licences apart.
-
-A template of several sentences is held against as many sentences of the text, placed by the sentence that
-has the cue. Only documents with a cue reach Python, one at a time, whole.
-
-Cases: NULL and empty texts have no blocks; a text without cue gives one row with no block; repeated
-rows repeat their result; very long texts are split into sentences first; an empty table gives no rows.
-Other columns do not pass through.
+A candidate block is a window of words around a word that licences use, as long as the template it is held against
+and placed so that both have that word at the same place. Words are runs of letters or numbers, so a window runs over line
+ends, comment marks and quotes. A block is compressed on its own and again with the template's wording as a raw
+zstandard dictionary; the bytes that the dictionary saves rank the templates. In that order they are confirmed by
+their exact wording: the words that differ are listed, and the block counts as that licence if hardly any do and none
+of them is a version or one of the words that tell licences apart. Words before and after the block are no
+difference, unless they deny it or allow later versions.
+
+Only documents with such a word reach Python, in batches of bounded size, whole.
+
+Cases: NULL and empty texts have no blocks; a text without cue gives one row with no block, and so does one whose cues no
+template has; repeated rows repeat their result; a block at the start or end of a text is as long as the text
+allows; an empty table gives no rows. Other columns do not pass through.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 from functools import cache
 
@@ -26,6 +28,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callpay.llm.shared import arrow_rows, stored
+
 #: Public wordings of licence notices.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -55,83 +59,171 @@ TEMPLATES = {
         " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
         " option) any later version."
     ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation; either version 2 of the License, or (at your"
+        " option) any later version."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"
+        " (at your option) any later version."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version."
+    ),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+        " not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "BSD-2-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+        " following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this"
+        " list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above"
+        " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution."
+    ),
+    "BSD-3-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+        " following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this"
+        " list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above"
+        " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+        " materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its"
+        " contributors may be used to endorse or promote products derived from this software without specific prior"
+        " written permission."
+    ),
 }
-#: Words of a sentence that may belong to a licence.
-CUE = r"(?i)\b(licen[cs]ed?|sublicense|permission is hereby|redistribute|public domain|CC0|CC BY|Mozilla Public)\b"
+#: Words, in this order, that a licence notice has.
+CUES = (
+    ("licensed",), ("licenced",), ("license",), ("licence",), ("sublicense",), ("permission", "is", "hereby"),
+    ("permission", "to", "use"), ("is", "hereby", "granted"), ("redistribute",), ("redistribution",), ("redistributions",),
+    ("public", "domain"), ("cc0",), ("cc", "by"), ("mozilla", "public"),
+)
+#: The same as a pattern, for documents that have one.
+CUE = "(?i)(?<![a-z])(?:" + "|".join("[^a-z0-9]+".join(c) for c in CUES) + ")(?![a-z0-9])"
 #: Words that tell licences apart; a difference in one of them is a difference in kind.
 TELLING = {"mit", "apache", "gnu", "lesser", "affero", "mozilla", "bsd", "cc", "by", "nc", "sa", "nd", "cc0", "not", "general"}
 MAX_DIFFERENCE = 0.15
-_SENTENCE = re.compile(r"[^\n]+?(?:[.:;](?=\s)|(?=\n)|$)")
-_WORD = re.compile(r"[a-z]+[0-9]*|[0-9]+(?:\.[0-9]+)*")
+#: Texts that are handed to Python together.
+TEXT_ROWS = 200
+#: Directly before a block they deny it.
+DENIALS = {"not", "never", "no", "nor", "isn", "aren", "without"}
+_WORD = re.compile(r"[A-Za-z]+[0-9]*|[0-9]+(?:\.[0-9]+)*")
 
 
-def sentences(text: str) -> list[tuple[int, str]]:
-    """(start, sentence) of a text, whole; a line end or a stop before a blank ends one."""
-    found = []
-    for m in _SENTENCE.finditer(text):
-        s = m.group()
-        if s.strip():
-            found.append((m.start() + len(s) - len(s.lstrip()), s.strip()))
-    return found
+def words(text: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(text)]
 
 
-def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def cue_places(found: Sequence[str]) -> list[tuple[int, tuple[str, ...]]]:
+    """(place, cue) of every cue among words."""
+    return [
+        (i, cue) for i, w in enumerate(found) for cue in _BEGINS.get(w, ()) if tuple(found[i : i + len(cue)]) == cue
+    ]
+
+
+_BEGINS = {c[0]: [d for d in CUES if d[0] == c[0]] for c in CUES}
+
+
+@cache
+def _template(name: str) -> tuple[list[str], Counter]:
+    found = words(TEMPLATES[name])
+    return found, Counter(found)
+
+
+@cache
+def _anchors(cue: tuple[str, ...]) -> list[tuple[str, int]]:
+    """Templates with that cue, and the place where they first have it."""
+    placed = ((name, [i for i, c in cue_places(words(TEMPLATES[name])) if c == cue]) for name in TEMPLATES)
+    return [(name, at[0]) for name, at in placed if at]
 
 
 @cache
 def _compressor(name: str | None) -> zstandard.ZstdCompressor:
     if name is None:
         return zstandard.ZstdCompressor(level=3)
-    raw = zstandard.ZstdCompressionDict(TEMPLATES[name].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=3, dict_data=raw)
+    raw = " ".join(_template(name)[0]).encode()
+    wording = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=3, dict_data=wording)
 
 
-@cache
-def _shape(name: str) -> tuple[int, int]:
-    """Sentences of a template, and which of them has the first cue."""
-    parts = [s for _, s in sentences(TEMPLATES[name])]
-    return len(parts), next((i for i, s in enumerate(parts) if re.search(CUE, s)), 0)
+def sizes(block: Sequence[str], name: str) -> tuple[int, int]:
+    """Compressed size of a block alone, and with the template as dictionary."""
+    raw = " ".join(block).encode()
+    return len(_compressor(None).compress(raw)), len(_compressor(name).compress(raw))
+
 
+def limit(name: str) -> int:
+    """Words in which a block may differ from a template."""
+    return int(MAX_DIFFERENCE * len(_template(name)[0]))
 
-def saving(block: str, name: str) -> float:
-    """Share of the block's compressed size that the template as dictionary saves."""
-    raw = block.encode()
-    alone = len(_compressor(None).compress(raw))
-    return 1 - len(_compressor(name).compress(raw)) / alone
 
+def differences(found: Sequence[str], start: int, name: str) -> tuple[int, bool, int, int]:
+    """(words that differ, whether one tells licences apart, first and next word) of the block near ``start``.
 
-def differences(block: str, name: str) -> tuple[int, bool]:
-    """Words that differ from the template, and whether one of them tells licences apart."""
-    a, b = words(TEMPLATES[name]), words(block)
-    changed = []
+    The block may be longer than the template by the words it may differ in, at both ends; what it has before
+    its first and after its last counterpart is not part of it.
+    """
+    a, bag = _template(name)
+    low, high = max(0, start - limit(name)), min(len(found), start + len(a) + limit(name))
+    b = found[low:high]
+    missing = sum((bag - Counter(b)).values())
+    if missing > limit(name):  # no order of these words comes closer
+        return missing, False, start, min(len(found), start + len(a))
+    changed, telling, first, after = 0, False, low, high
     for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-        if kind != "equal":
-            changed += a[i:j] if j - i >= m - k else b[k:m]
-            if any(x in TELLING or x[0].isdigit() for x in (*a[i:j], *b[k:m])):
-                return max(len(changed), 1), True
-    return len(changed), False
+        if kind == "equal":
+            continue
+        if j == len(a):  # what follows the block
+            m = min(m, k + j - i)
+            after = low + m
+        if i == 0:  # what precedes it
+            k = max(k, m - (j - i))
+            first = low + k
+        changed += max(j - i, m - k)
+        telling = telling or any(x in TELLING or x[0].isdigit() for x in (*a[i:j], *b[k:m]))
+    return changed, telling, first, after
+
+
+def _qualified(found: Sequence[str], first: int, after: int) -> bool:
+    """Do the words around a block deny it, or allow later versions?"""
+    following = found[after : after + 6]
+    return bool(DENIALS & set(found[max(0, first - 2) : first])) or (following[:1] == ["or"] and "later" in following)
 
 
 def scan(text: str) -> list[tuple[int, str, float, int, bool]]:
     """Per candidate block: start, best template, its saving, words that differ, confirmed."""
-    parts, found = sentences(text), []
-    for i, (start, sentence) in enumerate(parts):
-        if not re.search(CUE, sentence):
+    matches = list(_WORD.finditer(text))
+    found = [m.group().lower() for m in matches]
+    blocks, covered, tried = [], 0, 0
+    for at, cue in cue_places(found):
+        if at < covered:
             continue
         ranked = []
-        for name in TEMPLATES:
-            n, cue = _shape(name)
-            low = max(0, i - cue)
-            block = " ".join(s for _, s in parts[low : low + n])
-            if len(block) <= 4 * len(TEMPLATES[name]):  # a dictionary cannot explain what is far longer than itself
-                ranked.append((saving(block, name), name, parts[low][0], block))
-        if ranked:
-            best = max(ranked, key=lambda x: (x[0], x[1]))
-            n, telling = differences(best[3], best[1])
-            ok = not telling and n <= MAX_DIFFERENCE * len(words(TEMPLATES[best[1]]))
-            found.append((best[2], best[1], best[0], n, ok))
-    return found
+        for name, offset in _anchors(cue):
+            start = max(0, at - offset)
+            alone, given = sizes(found[start : at - offset + len(_template(name)[0])], name)
+            ranked.append((alone - given, 1 - given / alone, name, start))
+        ranked.sort(key=lambda r: (-r[0], r[2]))
+        for _, share, name, start in ranked:
+            n, telling, first, after = differences(found, start, name)
+            if not telling and n <= limit(name) and not _qualified(found, first, after):
+                blocks.append((matches[first].start(), name, share, n, True))
+                covered = after
+                break
+        else:
+            if ranked and at >= tried:
+                _, share, name, start = ranked[0]
+                n, _, first, after = differences(found, start, name)
+                blocks.append((matches[first].start(), name, share, max(n, 1), False))
+                tried = max(after, at + 1)
+    return blocks
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -152,7 +244,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     schema = f"doc_id {kind}, block int, start bigint, license string, saving double, n_differences bigint, confirmed boolean"
     rows = docs.select("doc_id", "text")
     has_cue = F.coalesce(F.col("text").rlike(CUE), F.lit(False))
-    scanned = rows.where(has_cue).mapInArrow(search, schema)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        scanned = stored(rows.where(has_cue).mapInArrow(search, schema), "license-blocks")
     none = rows.where(~has_cue).select(
         "doc_id",
         F.lit(0).alias("block"),

@@ -335,6 +335,60 @@ def test_license_blocks():
     assert licenses.scan("") == []
 
 
+@pytest.mark.parametrize("mark", ["# ", "// ", " * ", "", "-- ", "> "])
+def test_wrapped_and_commented_notices(mark):
+    import textwrap
+
+    for name, wording in licenses.TEMPLATES.items():
+        for width in (30, 72):
+            notice = textwrap.fill(wording, width, initial_indent=mark, subsequent_indent=mark)
+            text = f"Copyright 2020 the authors\n{notice}\n{mark}\n{mark}More prose follows the notice and goes on for a while"
+            found = licenses.scan(text)
+            assert [f[1] for f in found if f[4]] == [name], (name, width, found)
+
+
+def test_changed_notices_are_not_confirmed():
+    for text in (
+        "Licensed under the Apache License,\n# Version 3.0.",
+        "This is not released under the MIT License.",
+        "This work is licensed under the GNU General Public License, version 2 or any later version.",
+        "Released under the old MIT style licence",
+        licenses.TEMPLATES["GPL-3.0-header"].replace("version 3", "version 4"),
+        licenses.TEMPLATES["MIT-text"].replace("without restriction", "with many a restriction of our own that we made up here and there"),
+    ):
+        assert not any(f[4] for f in licenses.scan(text)), text
+    one_word = licenses.TEMPLATES["MIT-text"].replace("associated", "attached")
+    assert [(f[1], f[3], f[4]) for f in licenses.scan("x " + one_word)] == [("MIT-text", 1, True)]
+
+
+def test_license_scan_equals_a_diff_at_every_place(spark):
+    """No cue, no compression: each template held against every place of every text."""
+    from difflib import SequenceMatcher
+
+    docs = [r.text or "" for r in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    docs += ["\n".join(f"# {x}" for x in w.split(", ")) for w in licenses.TEMPLATES.values()]
+    seen = set()
+    for text in docs:
+        found = licenses.words(text)
+        want = set()
+        for name, wording in licenses.TEMPLATES.items():
+            a = licenses.words(wording)
+            for at in range(len(found) - len(a) + 1):
+                b = found[at : at + len(a)]
+                if len(set(a) & set(b)) < len(set(a)) - licenses.limit(name):
+                    continue
+                ops = [o for o in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if o[0] != "equal"]
+                other = [x for _, i, j, k, m in ops for x in (*a[i:j], *b[k:m])]
+                if any(x in licenses.TELLING or x[0].isdigit() for x in other):
+                    continue
+                if sum(max(j - i, m - k) for _, i, j, k, m in ops) <= licenses.limit(name):
+                    want.add(name)
+        got = {f[1] for f in licenses.scan(text) if f[4]}
+        assert got <= want and bool(got) == bool(want), (got, want, text[:200])
+        seen |= got
+    assert seen == set(licenses.TEMPLATES)
+
+
 def test_license_query(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op7_license_blocks"](spark, sf).toPandas()
