@@ -422,7 +422,7 @@ def fx_upsert(spark, sf_dir):
 
 @query
 def fx_store_rates(spark, sf_dir):
-    """The same upsert against a stored table, day partitions rewritten in place."""
+    """The same upsert against a stored table: the touched days are written anew and published as one version."""
     path = scratch_path(spark, "fx_rates")
     tables.store_rates(spark, path, roles.raw_fx(spark, sf_dir))
     updates = fx.resolved_only(fx.resolve_rates(*_rate_sources(spark, sf_dir), fetched_at=AS_OF))
