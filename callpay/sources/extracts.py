@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -203,24 +206,54 @@ def read_lines(spark: SparkSession, paths: Sequence[str], contract: SourceContra
     return _parsed(rows.withColumn("record", _plain("value")), contract, "block", "seq")
 
 
+def _tallied(lines: DataFrame) -> DataFrame:
+    """Lines (uri, block, _quotes, ...) with ``_nth`` in their split, ``_odd`` quotes before them there, and ``_begun1``, odd lines so far.
+
+    A task reads the lines of a split one after another, so the counts run along with the scan: nothing is shuffled, sorted or
+    held but a batch.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, quotes_before, n, begun = None, 0, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            uri, block = batch.column("uri"), batch.column("block").to_numpy()
+            quotes = batch.column("_quotes").to_numpy().astype(np.int64)
+            nth, odd, begun1 = (np.empty(len(quotes), np.int64) for _ in range(3))
+            other = (block[1:] != block[:-1]) | pc.not_equal(uri[1:], uri[:-1]).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(other) + 1).tolist(), len(quotes)]
+            for a, b in zip(cuts, cuts[1:]):
+                here = (uri[a].as_py(), int(block[a]))
+                if here != split:
+                    split, quotes_before, n, begun = here, 0, 0, 0
+                upto = quotes_before + np.cumsum(quotes[a:b])
+                odd[a:b] = (upto - quotes[a:b]) % 2
+                nth[a:b] = np.arange(n + 1, n + 1 + b - a)
+                begun1[a:b] = begun + np.cumsum(odd[a:b])
+                quotes_before, n, begun = int(upto[-1]), n + b - a, int(begun1[b - 1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *map(pa.array, (nth, odd, begun1))], [*batch.schema.names, "_nth", "_odd", "_begun1"]
+            )
+
+    added = [T.StructField(c, T.LongType()) for c in ("_nth", "_odd", "_begun1")]
+    counted = lines.mapInArrow(tally, T.StructType([*lines.schema.fields, *added]))
+    return counted.withColumn("_begun0", F.col("_nth") - F.col("_begun1"))
+
+
 def quoted_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(uri, _source_file, line_number, record, closed): records of files with newlines inside quotes, read in splits.
 
     Whether a line begins inside quotes hangs on all quotes before it, but only on whether they are odd. Every split
     counts its quotes, and how many records begin in it if it starts outside quotes and if it starts inside;
-    a running sum over splits, one row each, then says which holds and how many came before. Lines that are a
+    a running sum over splits, one row each, then says which holds and how many came before. These rows are broadcast, as many as
+    the splits that the driver plans for any read of the files. Lines that are a
     record by themselves go straight through, the others are put together by record number. A record
     whose quote is never closed would swallow the rest of the file: its lines come out one by one, not ``closed``.
     """
-    lines = _lines(spark, paths)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    here = Window.partitionBy("uri", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum("_quotes").over(here) - F.col("_quotes")
-    counted = lines.withColumn("_quotes", quotes).withColumns({"_odd": before % 2, "_nth": F.row_number().over(
-        Window.partitionBy("uri", "block").orderBy("seq")
-    )})
-    begun = counted.withColumns({f"_begun{k}": F.sum((F.col("_odd") == k).cast("int")).over(here) for k in (0, 1)})
-    blocks = begun.groupBy("uri", "block").agg(
+    lines = _lines(spark, paths).select("uri", "_source_file", "block", quotes.alias("_quotes"), "value")
+    blocks = _tallied(lines.select("uri", "block", "_quotes")).groupBy("uri", "block").agg(
         F.sum("_quotes").alias("_sum"), F.max("_nth").alias("_lines"),
         *[F.max(f"_begun{k}").alias(f"_all{k}") for k in (0, 1)],
     )
@@ -234,7 +267,7 @@ def quoted_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"),
         F.when(F.sum("_sum").over(whole) % 2 == 1, F.sum(begins).over(whole)).alias("_open"),
     )
-    placed = begun.join(starts, (F.col("uri") == F.col("_uri")) & (F.col("block") == F.col("_block")))
+    placed = _tallied(lines).join(F.broadcast(starts), (F.col("uri") == F.col("_uri")) & (F.col("block") == F.col("_block")))
     outside = F.col("_odd") == F.col("_inside")
     number = F.col("_records") + F.when(F.col("_inside") == 0, F.col("_begun0")).otherwise(F.col("_begun1"))
     numbered = placed.select(

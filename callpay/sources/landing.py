@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -40,6 +41,8 @@ WRONG_HEADER = "wrong_header"
 INSPECTED = "uri string, file_hash string, header_ok boolean, header_lines long, broken_lines long, blank_lines long"
 
 _LANDING_KEYS = ["kind", "load_id"]
+#: More than the folders that one load writes to (two kinds of rows), or Spark goes back to sorting.
+OPEN_FILES = 8
 
 
 def manifest_path(root: str) -> str:
@@ -89,6 +92,18 @@ def land_schema(contract: SourceContract) -> T.StructType:
     )
 
 
+@contextmanager
+def _unsorted_write(spark: SparkSession) -> Iterator[None]:
+    """A task holds a file of each kind open and writes rows as they come, instead of sorting all its rows by folder first."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def land(
     spark: SparkSession, contract: SourceContract, files: list, root: str, loaded_at: datetime, load_id: str
 ) -> DataFrame:
@@ -107,14 +122,10 @@ def land(
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     schema = land_schema(contract)
     target = f"{root}/{contract.name}"
-    (
-        rows.join(hashes, "uri")
-        .withColumns({"_ingested_at": clock(loaded_at), "load_id": F.lit(load_id)})
-        .select(*schema.names)
-        .write.mode("append")
-        .partitionBy(*_LANDING_KEYS)
-        .parquet(target)
-    )
+    # the list of files is broadcast: a join by file would put all rows of a file in one task
+    stamped = rows.join(F.broadcast(hashes), "uri").withColumns({"_ingested_at": clock(loaded_at), "load_id": F.lit(load_id)})
+    with _unsorted_write(spark):
+        stamped.select(*schema.names).write.mode("append").partitionBy(*_LANDING_KEYS).parquet(target)
     return spark.read.schema(schema).parquet(target).where(F.col("load_id") == load_id)
 
 

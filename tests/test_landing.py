@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from callpay.sources import extracts, landing
 from callpay.sources.contracts import SOURCES
@@ -254,6 +256,34 @@ def test_quoted_newlines_in_splits_equal_the_one_task_read(spark, tmp_path, smal
     assert sum(g[-1] == "rejected" and not g[len(AGENTS.columns)] for g in got) == len(blank)
 
 
+def test_lines_of_a_file_are_neither_sorted_nor_shuffled_by_it(spark, tmp_path, small_splits):
+    """A task holds a batch of its split: lines go to no task by file or block, only parts of records do, by record."""
+    path = quoted_file(tmp_path / "a.csv", 4)
+    plan = extracts.quoted_records(spark, [path])._jdf.queryExecution().executedPlan().toString()
+    for shuffle in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan):
+        assert "_record" in shuffle or "value" not in shuffle
+    assert not re.search(r"Sort \[uri#\d+ ASC NULLS FIRST, block#\d+L ASC NULLS FIRST, seq", plan)
+    assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_one_file_is_landed_by_many_tasks(spark, tmp_path, small_splits):
+    """Rows of a plain and of a quoted file keep the tasks that read them; before, one task sorted and wrote each file."""
+    plain = ",".join(AGENTS.columns) + "\n" + "".join(f"Kenya,u{i},T,x\nshort{i}\n" for i in range(2000))
+    (tmp_path / "quoted").mkdir()
+    quoted = open(quoted_file(tmp_path / "quoted" / "a.csv", 5, 3000)).read()
+    old = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    for name, text in (("plain", plain), ("quoted", quoted)):
+        deliver(tmp_path / name / "in", AGENTS, text)
+        root = str(tmp_path / name / "raw")
+        summary = landing.load_extracts(spark, str(tmp_path / name / "in"), root, only=["agent_mapping"], loaded_at=AT).first()
+        landed = spark.read.parquet(f"{root}/agent_mapping").withColumn("part", F.input_file_name())
+        files = landed.groupBy("kind").agg(F.countDistinct("part").alias("files"), F.count("*").alias("n")).collect()
+        found = {r.kind: r.files for r in files}
+        assert min(found["valid"], found["rejected"]) > 3, name
+        assert {r.kind: r.n for r in files} == {"valid": summary.rows_loaded, "rejected": summary.rejected}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == old
+
+
 def test_line_numbers_of_rejects_in_splits(spark, tmp_path, small_splits):
     """Plain and quoted files: the number of a reject is that of its first line, whatever the splits."""
     for name, quoted in (("plain", False), ("quoted", True)):
