@@ -19,6 +19,9 @@ whatever their ids; an empty table gives no rows. Other columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +38,13 @@ OPEN = "<*>"
 def spaced(line: Column) -> Column:
     """The line without outer blanks, each run of blanks as one space."""
     trimmed = F.btrim(line, F.lit(BLANKS))
-    return F.when(trimmed.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(trimmed, BLANK_RUN, " ")).otherwise(trimmed)
+    uneven = reduce(or_, [trimmed.contains(run) for run in ("  ", *BLANKS[1:])])
+    return F.when(uneven, F.regexp_replace(trimmed, BLANK_RUN, " ")).otherwise(trimmed)
 
 
 def mask(plain: Column) -> Column:
     """Tokens with a digit become open places."""
-    digits = F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", OPEN)
+    digits = F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", OPEN)
     return F.when(plain.rlike("[0-9]"), digits).otherwise(plain)
 
 
@@ -69,15 +73,16 @@ def repeated_passages(lines: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """(lines without their texts, wordings that are dropped): columns doc_id, code, at, leaf, exact, wording; leaf, wording, template."""
-    parsed = parsed_lines(docs)
-    lines = stored(parsed.withColumn("wording", F.xxhash64("masked")).drop("masked"), "lines")
+    # texts are parsed once: masked lines are stored as a column that one later step reads, the others pass over it
+    lines = stored(parsed_lines(docs).withColumn("wording", F.xxhash64("masked")), "lines")
     held = lines.select("leaf", "wording", "code").distinct()
     wordings = stored(held.groupBy("leaf", "wording").agg(F.count("*").alias("docs")), "wordings")
     leaves = wordings.groupBy("leaf").agg(F.sum("docs").alias("held")).where(f"held >= {min_docs}")
     leaves = stored(leaves.select(F.col("leaf").alias("h_leaf")), "leaves")
 
-    texts = parsed.join(leaves, F.col("leaf") == F.col("h_leaf"), "left_semi").withColumn("wording", F.xxhash64("masked"))
-    once = texts.groupBy("leaf", "wording").agg(F.min("masked").alias("masked"))
+    texts = lines.join(leaves, F.col("leaf") == F.col("h_leaf"), "left_semi").select("leaf", "wording", "masked")
+    # made distinct by hash first: a minimum of strings is sorted
+    once = texts.distinct().groupBy("leaf", "wording").agg(F.min("masked").alias("masked"))
     counted = once.join(wordings.withColumnsRenamed({"leaf": "w_leaf", "wording": "w"}), (F.col("leaf") == F.col("w_leaf")) & (F.col("wording") == F.col("w")))
     tokens = stored(
         counted.select("leaf", "wording", "docs", F.posexplode(F.split("masked", " ")).alias("place", "token")).withColumn(
@@ -104,7 +109,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFram
     spread = held.join(often, on).select("template", "code").distinct().groupBy("template").count()
     recurring = spread.where(f"count >= {min_docs}").select(F.col("template").alias("r"))
     dropped = templates.join(recurring, F.col("template") == F.col("r")).select("leaf", "wording", "template")
-    return lines, stored(dropped, "dropped")
+    return lines.drop("masked"), stored(dropped, "dropped")
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

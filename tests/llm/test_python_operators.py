@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from brute import ALNUM, WORD, contamination, crc, linked, lower, shingles
+from pyspark.sql import functions as F
 
 from callpay.llm import classifier, decontaminate, jaccard, licenses, templates, textcodes
 from callpay.llm.queries import QUERIES
@@ -280,6 +281,30 @@ def test_long_passages_repeat_from_two_texts_on(spark):
     assert all(got[i].text == text for i, text in rows if i in (3, 4, 5, 8, 9, 10, 11))
 
 
+def test_texts_are_parsed_once(spark, monkeypatch):
+    """One of the stored steps takes texts apart; the wordings of recurring leaves come from what it stored."""
+    plans, stored = [], templates.stored
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(templates, "stored", noted)
+    rows = [(i, f"This line is in every text of the site\nx{'abcdefghijkl'[i] * 3} stands alone in this document") for i in range(12)]
+    _, dropped = templates.recurring_lines(spark.createDataFrame(rows, DOCS))
+    assert dropped.count() == 1
+    assert sum("split(text" in p for p in plans) == 1
+
+
+@pytest.mark.parametrize("line", ["a b c", "  a\tb \x0b c1 ", "1", "x9y 8 a  b", "", "\r", "é1 ü 2", "a1b2 c3 - 4.5,6 z"])
+def test_spaced_and_masked_lines(spark, line):
+    row = spark.createDataFrame([(line,)], "line string").select(templates.spaced(F.col("line")).alias("plain"))
+    got = row.select("plain", templates.mask(F.col("plain")).alias("masked")).first()
+    own = WORD.findall(line)
+    assert got.plain == " ".join(own)
+    assert got.masked == " ".join("<*>" if any(c in "0123456789" for c in t) else t for t in own)
+
+
 def test_template_query_equals_plain_parse(spark):
     """The same definition, one dictionary at a time."""
     import re
